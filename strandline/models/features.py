@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 FEATURES = "features"
 
@@ -59,15 +59,16 @@ def one_hot_rows(model: PipelineModel, df: DataFrame, key: str) -> DataFrame:
 
     It gives one row per level for every input row, as the dense matrix does.
     """
-    encoded = model.transform(df)
-    parts = []
-    for c, levels in level_names(model).items():
-        slots = F.arrays_zip(
-            F.array(*[F.lit(v) for v in levels]).alias("level"),
-            vector_to_array(F.col(f"{c}__levels")).alias("hot"),
+
+    def slots(c: str, levels: list[str]) -> Column:
+        names = F.array(*[F.lit(v) for v in levels])
+        return F.zip_with(
+            names,
+            vector_to_array(f"{c}__levels"),
+            lambda level, hot: F.struct(
+                F.lit(c).alias("feature"), level.alias("level"), hot.cast("int").alias("hot")
+            ),
         )
-        parts.append(F.transform(slots, lambda s, c=c: F.struct(
-            F.lit(c).alias("feature"), s["level"].alias("level"), s["hot"].cast("int").alias("hot")
-        )))
-    every = parts[0] if len(parts) == 1 else F.concat(*parts)
-    return encoded.select(key, F.inline(every))
+
+    every = F.concat(*[slots(c, levels) for c, levels in level_names(model).items()])
+    return model.transform(df).select(key, F.inline(every))

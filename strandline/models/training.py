@@ -53,7 +53,6 @@ def train_logistic(
         regParam=1.0 / (c * n),
         elasticNetParam=0.0,
         standardization=False,
-        tol=1e-8,
     )
     return Pipeline(stages=[*feature_stages(categorical, numeric), classifier]).fit(rows)
 

@@ -12,6 +12,8 @@ from strandline.schemas import Table
 from strandline.session import path_exists
 from strandline.sources.zones import CSV_OPTIONS
 
+# Partition columns of the streamed Silver files, beside the columns of the table.
+DAY, BATCH = "stream_day", "stream_batch"
 NO_DAY = "none"
 
 
@@ -63,15 +65,15 @@ def silver_exact(stream: DataFrame, table: Table, silver: str, checkpoint: str)
         rows = _with_day(clean(batch, table), table)
         if path_exists(batch.sparkSession, silver):
             stored = _stored(batch.sparkSession, table, silver)
-            stored = stored.where(F.col("batch") < number).drop("batch")
-            touched = stored.join(rows.select("day").distinct(), "day", "left_semi")
+            stored = stored.where(F.col(BATCH) < number).drop(BATCH)
+            touched = stored.join(rows.select(DAY).distinct(), DAY, "left_semi")
             same = [rows[c].eqNullSafe(touched[c]) for c in rows.columns]
             rows = rows.join(touched, same, "left_anti")
         (
-            rows.withColumn("batch", F.lit(number).cast("long"))
+            rows.withColumn(BATCH, F.lit(number).cast("long"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day", "batch")
+            .partitionBy(DAY, BATCH)
             .parquet(silver)
         )
 
@@ -102,15 +104,15 @@ def silver_bounded(stream: DataFrame, table: Table, delay: str) -> DataFrame:
 def _with_day(rows: DataFrame, table: Table) -> DataFrame:
     """Partition by the day of the event time; rows without one share a partition."""
     day = F.coalesce(F.date_format(table.time, "yyyy-MM-dd"), F.lit(NO_DAY))
-    return rows.withColumn("day", day)
+    return rows.withColumn(DAY, day)
 
 
 def _stored(spark: SparkSession, table: Table, silver: str) -> DataFrame:
     layout = T.StructType(
         [
             *table.silver_schema.fields,
-            T.StructField("day", T.StringType()),
-            T.StructField("batch", T.LongType()),
+            T.StructField(DAY, T.StringType()),
+            T.StructField(BATCH, T.LongType()),
         ]
     )
     return spark.read.schema(layout).parquet(silver)
