@@ -17,7 +17,7 @@ from strandline.operators.aggregates import top_k
 from strandline.operators.evaluate import accuracy, confusion, roc_auc, roc_curve
 from strandline.operators.split import class_weights, stratified_split
 from strandline.plans.catalogue.inputs import given
-from strandline.session import scratch_path
+from strandline.session import keep, scratch_path
 from strandline.sources.zones import write_json
 from pyspark.ml.functions import vector_to_array
 
@@ -145,10 +145,7 @@ def model_input(spark: SparkSession, folder: str) -> DataFrame:
 
 def split_input(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Train and test rows, stored once as the fits read them many times."""
-    path = scratch_path(spark, "split")
-    marked = stratified_split(model_input(spark, folder), TARGET, ["doc_id"])
-    marked.write.parquet(path)
-    stored = spark.read.parquet(path)
+    stored = keep(stratified_split(model_input(spark, folder), TARGET, ["doc_id"]), "split")
     return stored.where("not is_test").drop("is_test"), stored.where("is_test").drop("is_test")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "strandline", master: str | None = None, **conf) -> SparkSession:
@@ -52,10 +52,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/strandline/{name}-{uuid.uuid4().hex}"
 
 
-def keep(df):
-    """Cut the lineage of a small, reused intermediate in reliable storage."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+def keep(df: DataFrame, name: str = "kept") -> DataFrame:
+    """Store a reused intermediate in the shared folder and read it back.
+
+    It is computed once, outlives lost executors, and its size is known to the
+    planner.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -104,14 +104,12 @@ def register_zone(
         if database:
             full = f"`{database}`.`{name}`"
             spark.sql(f"DROP TABLE IF EXISTS {full}")
-            options = CSV_OPTIONS if source == "csv" else {}
             if source == "csv":
-                spark.catalog.createTable(
-                    full, path=path, source=source, schema=df.schema, **options
-                )
+                spark.catalog.createTable(full, path, source, df.schema, **CSV_OPTIONS)
             else:
-                # partition columns are found in the folder names
-                spark.catalog.createTable(full, path=path, source=source)
+                spark.catalog.createTable(full, path, source)
+                if any(c.isPartition for c in spark.catalog.listColumns(full)):
+                    spark.catalog.recoverPartitions(full)
         else:
             df.createOrReplaceTempView(name)
         found += [
