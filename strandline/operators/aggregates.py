@@ -130,6 +130,6 @@ def top_k(df: DataFrame, by: str, k: int, tie_break: Sequence[str] = ()) -> Data
     return df.orderBy(*order).limit(k)
 
 
-def preview(df: DataFrame, key: str, n: int = 10) -> DataFrame:
-    """The first ``n`` rows by key."""
-    return df.orderBy(F.asc_nulls_last(key)).limit(n)
+def preview(df: DataFrame, n: int = 10, key: str | None = None) -> DataFrame:
+    """Some ``n`` rows, read from as few files as possible; with a ``key`` the first by it."""
+    return df.limit(n) if key is None else df.orderBy(F.asc_nulls_last(key)).limit(n)

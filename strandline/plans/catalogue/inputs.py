@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 
 from strandline.functions.columns import ts_text
 from strandline.schemas import MOMENT, REAL, TEXT, WHOLE, Table
+from strandline.session import size_for
 
 
 def given(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    size_for(spark, path)
+    return spark.read.parquet(path)
 
 
 def with_copies(df: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ LINE_KEY = ("l_orderkey", "l_linenumber")
 
 
 def preview_query(spark: SparkSession, folder: str) -> DataFrame:
-    return preview(given(spark, folder, "orders"), "o_orderkey", 10)
+    return preview(given(spark, folder, "orders"), 10, "o_orderkey")
 
 
 def project_cols(spark: SparkSession, folder: str) -> DataFrame:

@@ -14,7 +14,7 @@ from strandline.operators.aggregates import avg_of, band_rate, daily_trend, kpi_
 from strandline.operators.clean import clean
 from strandline.operators.joins import join_kpi
 from strandline.schemas import AGE_BANDS, AGE_REST, HOSPITAL, OPERATIONS, PATIENTS
-from strandline.session import build_session
+from strandline.session import build_session, size_for
 from strandline.sources.zones import read_bronze, read_curated, table_path, write_parquet
 
 
@@ -99,6 +99,7 @@ def gold(spark: SparkSession, silver_zone: str, gold_zone: str) -> None:
 
 def medallion_run(spark: SparkSession, bronze_zone: str, silver_zone: str, gold_zone: str) -> None:
     """Bronze to Silver to Gold. Running it again replaces all six tables."""
+    size_for(spark, bronze_zone)
     silver(spark, bronze_zone, silver_zone)
     gold(spark, silver_zone, gold_zone)
 

@@ -11,9 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 def build_session(app: str = "strandline", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the jobs rely on.
 
-    Partition counts are left to adaptive execution: it starts from
-    ``spark.sql.shuffle.partitions`` (set that to a few times the cores of the
-    cluster), merges small partitions and splits skewed ones.
+    ``size_for`` fits the partition counts to an input; adaptive execution merges
+    small partitions and splits skewed ones.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -32,6 +31,34 @@ def build_session(app: str = "strandline", master: str | None = None, **conf) ->
     return builder.getOrCreate()
 
 
+SPLIT_BYTES = 128 << 20  # Spark's own default
+MOST_SCAN_TASKS = 100_000
+SHUFFLE_BYTES = 1 << 30
+
+
+def size_for(spark: SparkSession, *paths: str) -> None:
+    """Fit scan splits and shuffle partitions to the size of the input.
+
+    The input is split into at most ``MOST_SCAN_TASKS`` tasks, and a shuffle that
+    moves all of it gets one partition per ``SHUFFLE_BYTES``: for 100 TB about
+    100,000 of each, few enough for the driver to track. Settings are raised
+    only, never lowered; adaptive execution merges partitions that turn out small.
+    """
+    total = sum(_bytes_below(spark, p) for p in paths)
+    split = total // MOST_SCAN_TASKS
+    if split > SPLIT_BYTES:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    wanted = total // SHUFFLE_BYTES
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+
+
+def _bytes_below(spark: SparkSession, path: str) -> int:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

@@ -60,7 +60,8 @@ def test_top_k_and_preview_keep_k_rows_per_task(spark):
     got = A.top_k(df, "v", 3, ["id"])
     assert [tuple(r) for r in got.collect()] == [(6, 6), (13, 6), (20, 6)]
     assert "TakeOrderedAndProject" in plan(got)
-    assert [r.id for r in A.preview(df, "id", 2).collect()] == [0, 1]
+    assert [r.id for r in A.preview(df, 2, "id").collect()] == [0, 1]
+    assert A.preview(df, 2).count() == 2
 
 
 def test_a_hot_group_is_merged_before_the_shuffle(spark):
