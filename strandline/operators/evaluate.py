@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from strandline.operators.joins import join_checked
 from strandline.session import keep
 
-ROWS_PER_TASK = 1_000_000
+ROWS_PER_TASK = 250_000
 MOST_BUCKETS = 10_000  # beyond this many, buckets grow instead; their sort spills to disk
 
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from strandline.functions.columns import PERCENT_FIELDS
-from strandline.sources.zones import write_csv
+from strandline.sources.zones import scan_csv, write_csv
 
 
 def register_functions(spark: SparkSession) -> None:
@@ -42,4 +42,4 @@ def run_sql(
     if output is None:
         return df
     write_csv(df, output)
-    return spark.read.schema(df.schema).option("header", "true").csv(output)
+    return scan_csv(spark, output, df.schema)

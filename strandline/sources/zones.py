@@ -11,7 +11,15 @@ from pyspark.sql import types as T
 from strandline.schemas import HOSPITAL, Table
 from strandline.session import child_folders
 
-CSV_OPTIONS = {"header": "true"}
+# Files in folders below the table folder belong to the table: streamed batches
+# come in folders of their own.
+CSV_READ = {"header": "true", "recursiveFileLookup": "true"}
+# Text goes out as it is, with its blanks.
+CSV_WRITE = {
+    "header": "true",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def table_path(zone: str, table: str) -> str:
@@ -26,11 +34,13 @@ def scan_csv(
 ) -> DataFrame:
     """CSV with a header line.
 
-    With a schema the files are read once; ``infer=True`` costs a further pass.
+    With a schema the files are read once, and a file whose header does not name
+    the columns in that order fails the job instead of filling the wrong columns;
+    ``infer=True`` costs a further pass.
     """
-    reader = spark.read.options(**CSV_OPTIONS)
+    reader = spark.read.options(**CSV_READ)
     if schema is not None:
-        return reader.schema(schema).csv(path)
+        return reader.schema(schema).option("enforceSchema", "false").csv(path)
     return reader.option("inferSchema", str(infer).lower()).csv(path)
 
 
@@ -64,7 +74,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    df.write.mode("overwrite").options(**CSV_WRITE).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -105,7 +115,7 @@ def register_zone(
             full = f"`{database}`.`{name}`"
             spark.sql(f"DROP TABLE IF EXISTS {full}")
             if source == "csv":
-                spark.catalog.createTable(full, path, source, df.schema, **CSV_OPTIONS)
+                spark.catalog.createTable(full, path, source, df.schema, **CSV_READ)
             else:
                 spark.catalog.createTable(full, path, source)
                 if any(c.isPartition for c in spark.catalog.listColumns(full)):

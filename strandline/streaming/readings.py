@@ -10,44 +10,39 @@ from pyspark.sql.streaming import StreamingQuery
 from strandline.operators.clean import clean, typed
 from strandline.schemas import Table
 from strandline.session import path_exists
-from strandline.sources.zones import CSV_OPTIONS
+from strandline.sources.zones import CSV_READ, write_csv
 
 # Partition columns of the streamed Silver files, beside the columns of the table.
 DAY, BATCH = "stream_day", "stream_batch"
 NO_DAY = "none"
 
 
-def arriving_csv(
+def arriving(
     spark: SparkSession, path: str, table: Table, files_per_batch: int | None = None
 ) -> DataFrame:
-    """New CSV files of a folder, as text columns."""
-    reader = spark.readStream.options(**CSV_OPTIONS).schema(table.bronze_schema)
+    """New CSV files of a folder and the folders below it, as text columns."""
+    reader = spark.readStream.options(**CSV_READ).option("enforceSchema", "false")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
-    return reader.csv(path)
-
-
-def arriving_bronze(
-    spark: SparkSession, path: str, table: Table, files_per_batch: int | None = None
-) -> DataFrame:
-    """New rows of the Bronze folder that ``ingest`` appends to."""
-    reader = spark.readStream.schema(table.bronze_schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
-    return reader.parquet(path)
+    return reader.schema(table.bronze_schema).csv(path)
 
 
 def ingest(stream: DataFrame, bronze: str, checkpoint: str) -> StreamingQuery:
-    """Append what has arrived to Bronze, each row once, then stop.
+    """Append what has arrived to the Bronze table in folder ``bronze``, then stop.
 
-    Nothing is cast or dropped here: Bronze keeps the text as it came.
+    Nothing is cast or dropped here: Bronze keeps the text as it came. Each batch
+    has a folder of its own beside the files that were loaded in bulk, and a batch
+    that runs again replaces its folder, so every row is there once.
     """
+
+    def append(batch: DataFrame, number: int) -> None:
+        write_csv(batch, f"{bronze}/batch-{number:010d}")
+
     return (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
+        stream.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(bronze)
+        .start()
     )
 
 
@@ -94,8 +89,9 @@ def silver_bounded(stream: DataFrame, table: Table, delay: str) -> DataFrame:
     """Clean a stream with bounded state: copies within ``delay`` are removed.
 
     Unlike ``silver_exact`` and the batch job, it drops rows that arrive later
-    than the watermark, and copies further apart than ``delay`` both remain. Use
-    it where the sources keep that bound and latency matters.
+    than the watermark, and copies further apart than ``delay`` both remain, as do
+    copies without an event time that come in different batches. Use it where the
+    sources keep that bound and latency matters.
     """
     rows = typed(stream, table).withWatermark(table.time, delay)
     return rows.dropDuplicatesWithinWatermark(table.silver_schema.names)

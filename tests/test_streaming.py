@@ -2,7 +2,7 @@ import pytest
 
 from strandline.operators.clean import clean
 from strandline.schemas import VITALS
-from strandline.sources.zones import scan_csv
+from strandline.sources.zones import read_bronze, scan_csv
 from strandline.streaming import readings as R
 from tests.conftest import rows
 
@@ -37,12 +37,10 @@ def put(folder, *names):
 
 
 def run(spark, base):
-    R.ingest(
-        R.arriving_csv(spark, str(base / "arrived"), VITALS, files_per_batch=1),
-        str(base / "bronze"),
-        str(base / "c1"),
-    ).awaitTermination()
-    stream = R.arriving_bronze(spark, str(base / "bronze"), VITALS, files_per_batch=1)
+    bronze = str(base / "bronze")
+    arrived = R.arriving(spark, str(base / "arrived"), VITALS, files_per_batch=1)
+    R.ingest(arrived, bronze, str(base / "c1")).awaitTermination()
+    stream = R.arriving(spark, bronze, VITALS, files_per_batch=1)
     R.silver_exact(stream, VITALS, str(base / "silver"), str(base / "c2")).awaitTermination()
     return rows(R.read_silver_stream(spark, VITALS, str(base / "silver")))
 
@@ -57,13 +55,40 @@ def test_stream_equals_batch_with_late_copies(spark, folders):
     assert got == rows(batch) and len(got) == 4
     # nothing new: nothing changes, in Bronze either
     assert run(spark, base) == got
-    assert spark.read.parquet(str(base / "bronze")).count() == sum(map(len, FILES.values()))
+    bronze = scan_csv(spark, str(base / "bronze"), VITALS.bronze_schema)
+    assert rows(bronze) == rows(scan_csv(spark, str(arrived), VITALS.bronze_schema))
+
+
+def test_the_batch_job_sees_streamed_and_bulk_rows(spark, folders):
+    arrived, base = folders
+    bulk = base / "bronze" / "vitals"
+    bulk.mkdir(parents=True)
+    put(bulk, "1.csv")
+    put(arrived, "2.csv")
+    stream = R.arriving(spark, str(arrived), VITALS)
+    R.ingest(stream, str(bulk), str(base / "c1")).awaitTermination()
+    assert read_bronze(spark, str(base / "bronze"), VITALS).count() == 5
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, folders):
+    """The state of the last batch is lost after its rows were written."""
+    arrived, base = folders
+    put(arrived, "1.csv", "2.csv", "3.csv")
+    got = run(spark, base)
+    for checkpoint in ("c1", "c2"):
+        commits = base / checkpoint / "commits"
+        last = max((f for f in commits.iterdir() if f.name.isdigit()), key=lambda f: int(f.name))
+        last.unlink()
+        (commits / f".{last.name}.crc").unlink(missing_ok=True)
+    assert run(spark, base) == got
+    bronze = scan_csv(spark, str(base / "bronze"), VITALS.bronze_schema)
+    assert bronze.count() == sum(map(len, FILES.values()))
 
 
 def test_bounded_stream_removes_near_copies(spark, folders):
     arrived, base = folders
     put(arrived, "1.csv", "2.csv")
-    stream = R.arriving_csv(spark, str(arrived), VITALS)
+    stream = R.arriving(spark, str(arrived), VITALS)
     query = (
         R.silver_bounded(stream, VITALS, "1 day")
         .writeStream.format("parquet")

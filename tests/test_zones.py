@@ -37,6 +37,19 @@ def test_csv_round_trip_keeps_quotes_and_nulls(spark, tmp_path):
     assert scan_csv(spark, str(tmp_path / "t")).dtypes == [("a", "string"), ("b", "string")]
 
 
+def test_text_goes_out_with_its_blanks(spark, tmp_path):
+    df = spark.createDataFrame([(" 72 ", "a"), (None, "c")], "a string, b string")
+    write_csv(df, str(tmp_path / "t"))
+    assert rows(scan_csv(spark, str(tmp_path / "t"), df.schema)) == rows(df)
+
+
+def test_a_file_with_other_columns_fails(spark, tmp_path):
+    write_csv(spark.createDataFrame([("x", "y")], "b string, a string"), str(tmp_path / "t"))
+    df = scan_csv(spark, str(tmp_path / "t"), "a string, b string")
+    with pytest.raises(Exception, match="(?i)header"):
+        df.collect()
+
+
 def test_writes_replace_the_whole_table(spark, tmp_path):
     path = str(tmp_path / "t")
     two = spark.createDataFrame([("a", 1), ("b", 2)], "d string, v int")
