@@ -21,11 +21,12 @@ LABEL = "label"
 def weighted(train: DataFrame, target: str) -> tuple[DataFrame, int]:
     """Training rows with a double label and balanced class weights, and their number."""
     weights = keep(class_weights(train, target))
-    n = weights.agg(F.sum("class_rows")).first()[0]
+    classes, n = weights.agg(F.count(F.lit(1)), F.sum("class_rows")).first()
     labelled = join_checked(
         train.where(F.col(target).isNotNull()),
         weights.select(target, F.col("weight").alias(WEIGHT)),
         target,
+        small_rows=classes,
     )
     return labelled.withColumn(LABEL, F.col(target).cast("double")), int(n)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.operators.joins import join_checked
@@ -55,34 +55,16 @@ def running_counts(
             F.count_if(F.col(label) != 1).alias("neg"),
         )
     )
-    pieces = min(MOST_BUCKETS, max(1, math.ceil(counts.count() / rows_per_task)))
-    if pieces == 1:
-        bucketed = counts.withColumn("bucket", F.lit(0.0))
+    pieces = min(MOST_BUCKETS, math.ceil(counts.count() / rows_per_task))
+    if pieces <= 1:
+        bucketed = counts.withColumns({"bucket": F.lit(0), "p_above": F.lit(0), "n_above": F.lit(0)})
+        bucketed = bucketed.withColumns(_totals("bucket", "pos", "neg"))
     else:
-        at = [i / pieces for i in range(1, pieces)]
-        inner = sorted(set(counts.approxQuantile("score", at, 0.25 / pieces)))
-        splits = [-math.inf, *inner, math.inf]
-        bucketed = Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(counts)
-
-    totals = bucketed.groupBy("bucket").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    # one row per bucket, so this window is small whatever the data
-    above = Window.partitionBy(F.lit(0)).orderBy(F.desc("bucket")).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    everything = Window.partitionBy(F.lit(0))
-    starts = keep(
-        totals.select(
-            "bucket",
-            F.coalesce(F.sum("p").over(above), F.lit(0)).alias("p_above"),
-            F.coalesce(F.sum("n").over(above), F.lit(0)).alias("n_above"),
-            F.sum("p").over(everything).alias("positives"),
-            F.sum("n").over(everything).alias("negatives"),
-        )
-    )
+        bucketed = _in_buckets(counts, pieces)
     down = Window.partitionBy("bucket").orderBy(F.desc("score")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return join_checked(bucketed, starts, "bucket").select(
+    return bucketed.select(
         "score",
         "pos",
         "neg",
@@ -93,6 +75,32 @@ def running_counts(
     )
 
 
+def _totals(partition: str, pos: str, neg: str) -> dict[str, Column]:
+    whole = Window.partitionBy(partition)
+    return {"positives": F.sum(pos).over(whole), "negatives": F.sum(neg).over(whole)}
+
+
+def _in_buckets(counts: DataFrame, pieces: int) -> DataFrame:
+    """Add ``bucket`` and what lies above each bucket, and the totals of all."""
+    at = [i / pieces for i in range(1, pieces)]
+    inner = sorted(set(counts.approxQuantile("score", at, 0.25 / pieces)))
+    cut = Bucketizer(
+        splits=[-math.inf, *inner, math.inf], inputCol="score", outputCol="bucket"
+    ).transform(counts)
+    sums = cut.groupBy("bucket").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    # one row per bucket, so these windows are small whatever the data
+    above = Window.partitionBy("all").orderBy(F.desc("bucket")).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    starts = sums.withColumn("all", F.lit(0)).select(
+        "bucket",
+        F.coalesce(F.sum("p").over(above), F.lit(0)).alias("p_above"),
+        F.coalesce(F.sum("n").over(above), F.lit(0)).alias("n_above"),
+        *[c.alias(name) for name, c in _totals("all", "p", "n").items()],
+    )
+    return join_checked(cut, keep(starts), "bucket")
+
+
 def roc_auc(df: DataFrame, label: str, score: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Area under the ROC curve; a tie between the classes counts one half.
 

@@ -18,16 +18,18 @@ def join_checked(
     on: str | Sequence[str],
     how: str = "inner",
     max_rows: int = BROADCAST_ROWS,
+    small_rows: int | None = None,
 ) -> DataFrame:
     """Join with a side that is expected to be small, without trusting that.
 
-    The small side is counted, reading no more than ``max_rows + 1`` rows of it.
-    Only within the bound it is broadcast; beyond, the join is left to Spark,
-    which shuffles both sides and splits skewed keys at run time. Hand in a
-    stored frame, since the count evaluates it.
+    Only within ``max_rows`` rows it is broadcast; beyond, the join is left to
+    Spark, which shuffles both sides and splits skewed keys at run time. Unless
+    ``small_rows`` says how many there are, the small side is counted, reading no
+    more than ``max_rows + 1`` of its rows; hand in a stored frame then.
     """
-    fits = small.limit(max_rows + 1).count() <= max_rows
-    return big.join(F.broadcast(small) if fits else small, on, how)
+    if small_rows is None:
+        small_rows = small.limit(max_rows + 1).count()
+    return big.join(F.broadcast(small) if small_rows <= max_rows else small, on, how)
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: str | Sequence[str]) -> DataFrame:

@@ -29,57 +29,59 @@ def _with_running_count(counts: DataFrame) -> DataFrame:
     return counts.withColumn("__through", F.sum("__rows").over(order) + F.col("__before"))
 
 
-def _cutoffs(hashed: DataFrame, fraction: float, leaf_rows: int) -> DataFrame:
-    """The largest hash of the test part, per class.
+def _counted(hashed: DataFrame, digits: int, *carried: str) -> DataFrame:
+    piece = F.substring("__hash", 1, digits).alias("__piece")
+    return hashed.groupBy("__class", *carried, piece).agg(F.count(F.lit(1)).alias("__rows"))
+
+
+def _edge(counts: DataFrame) -> DataFrame:
+    """Per class the piece in which the wanted count is reached, with the count before it."""
+    before = F.col("__through") - F.col("__rows")
+    reached = (F.col("__through") >= F.col("__target")) & (before < F.col("__target"))
+    return keep(
+        _with_running_count(counts)
+        .where(reached)
+        .select(
+            "__class",
+            "__target",
+            "__rows",
+            F.col("__piece").alias("__edge"),
+            before.alias("__before"),
+        )
+    )
+
+
+def _cutoffs(hashed: DataFrame, fraction: float, leaf_rows: int) -> tuple[DataFrame, int]:
+    """The largest hash of the test part per class, and the number of such classes.
 
     Ranking a whole class would put it in one task. Instead rows are counted per
     class and hash prefix; only the prefix in which the wanted count is reached
     is looked at more closely, until it is small enough to rank.
     """
     digits = STEP
-    counts = hashed.groupBy("__class", F.substring("__hash", 1, digits).alias("__piece")).agg(
-        F.count(F.lit(1)).alias("__rows")
-    )
-    size = Window.partitionBy("__class")
-    counts = counts.withColumns(
-        {
-            "__before": F.lit(0).cast("long"),
-            "__target": F.floor(F.sum("__rows").over(size) * F.lit(fraction) + 0.5),
-        }
-    )
-    reached = (F.col("__through") >= F.col("__target")) & (
-        F.col("__through") - F.col("__rows") < F.col("__target")
+    size = F.sum("__rows").over(Window.partitionBy("__class"))
+    counts = _counted(hashed, digits).withColumns(
+        {"__before": F.lit(0), "__target": F.floor(size * F.lit(fraction) + 0.5)}
     )
     while True:
-        edge = keep(_with_running_count(counts).where(reached))
-        edge = edge.select(
-            "__class",
-            "__target",
-            "__rows",
-            F.col("__piece").alias("__edge"),
-            (F.col("__through") - F.col("__rows")).alias("__before"),
-        )
-        largest = edge.agg(F.max("__rows")).first()[0] or 0
+        edge = _edge(counts)
+        classes, largest = edge.agg(F.count(F.lit(1)), F.max("__rows")).first()
         inside = join_checked(
             hashed.withColumn("__edge", F.substring("__hash", 1, digits)),
             edge.drop("__rows"),
             ["__class", "__edge"],
+            small_rows=classes,
         )
-        leaf = largest <= leaf_rows or digits >= DIGITS
-        digits = DIGITS if leaf else digits + STEP
-        counts = inside.groupBy(
-            "__class", "__before", "__target", F.substring("__hash", 1, digits).alias("__piece")
-        ).agg(F.count(F.lit(1)).alias("__rows"))
-        if leaf:
-            taken = _with_running_count(counts).where(F.col("__through") <= F.col("__target"))
-            best = taken.groupBy("__class").agg(F.max("__piece").alias("__cut"))
-            # nothing of the edge prefix fits: the test part ends just before it
-            edges = edge.select("__class", "__edge")
-            return keep(
-                edges.join(best, "__class", "left").select(
-                    "__class", F.coalesce("__cut", "__edge").alias("__cut")
-                )
-            )
+        if classes == 0 or largest <= leaf_rows or digits >= DIGITS:
+            break
+        digits += STEP
+        counts = _counted(inside, digits, "__before", "__target")
+
+    ranked = _with_running_count(_counted(inside, DIGITS, "__before", "__target", "__edge"))
+    fits = F.when(F.col("__through") <= F.col("__target"), F.col("__piece"))
+    # where no row of the edge prefix fits, the test part ends just before the prefix
+    cut = F.coalesce(F.max(fits), F.max("__edge"))
+    return keep(ranked.groupBy("__class").agg(cut.alias("__cut"))), classes
 
 
 def stratified_split(
@@ -100,8 +102,9 @@ def stratified_split(
     hashed = df.where(F.col(label).isNotNull()).select(
         F.col(label).alias("__class"), position.alias("__hash")
     )
-    cuts = _cutoffs(hashed, fraction, leaf_rows).withColumnRenamed("__class", label)
-    marked = join_checked(df, cuts, label, "left")
+    cuts, classes = _cutoffs(hashed, fraction, leaf_rows)
+    cuts = cuts.withColumnRenamed("__class", label)
+    marked = join_checked(df, cuts, label, "left", small_rows=classes)
     inside = F.coalesce(position <= F.col("__cut"), F.lit(False))
     return marked.select(
         *[F.col(c) for c in df.columns],
