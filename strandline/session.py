@@ -31,7 +31,6 @@ def build_session(app: str = "strandline", master: str | None = None, **conf) ->
     return builder.getOrCreate()
 
 
-SPLIT_BYTES = 128 << 20  # Spark's own default
 MOST_SCAN_TASKS = 100_000
 SHUFFLE_BYTES = 1 << 30
 
@@ -41,13 +40,19 @@ def size_for(spark: SparkSession, *paths: str) -> None:
 
     The input is split into at most ``MOST_SCAN_TASKS`` tasks, and a shuffle that
     moves all of it gets one partition per ``SHUFFLE_BYTES``: for 100 TB about
-    100,000 of each, few enough for the driver to track. Settings are raised
-    only, never lowered; adaptive execution merges partitions that turn out small.
+    100,000 of each, few enough for the driver to track. Rebalanced writes aim at
+    files of the same size. Settings are raised only, never lowered; adaptive
+    execution merges partitions that turn out small.
     """
     total = sum(_bytes_below(spark, p) for p in paths)
+    in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
     split = total // MOST_SCAN_TASKS
-    if split > SPLIT_BYTES:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    for key in (
+        "spark.sql.files.maxPartitionBytes",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+    ):
+        if split > in_bytes(spark.conf.get(key)):
+            spark.conf.set(key, str(split))
     wanted = total // SHUFFLE_BYTES
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))

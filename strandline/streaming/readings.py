@@ -15,6 +15,7 @@ from strandline.sources.zones import CSV_READ, write_csv
 # Partition columns of the streamed Silver files, beside the columns of the table.
 DAY, BATCH = "stream_day", "stream_batch"
 NO_DAY = "none"
+MOST_DAYS = 1000  # folders of single days a batch looks up
 
 
 def arriving(
@@ -46,7 +47,9 @@ def ingest(stream: DataFrame, bronze: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def silver_exact(stream: DataFrame, table: Table, silver: str, checkpoint: str) -> StreamingQuery:
+def silver_exact(
+    stream: DataFrame, table: Table, silver: str, checkpoint: str, most_days: int = MOST_DAYS
+) -> StreamingQuery:
     """Clean what has arrived and append the rows Silver does not hold yet.
 
     The result is that of the batch job on the same rows, however late a copy
@@ -57,20 +60,21 @@ def silver_exact(stream: DataFrame, table: Table, silver: str, checkpoint: str)
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        rows = _with_day(clean(batch, table), table)
-        if path_exists(batch.sparkSession, silver):
-            stored = _stored(batch.sparkSession, table, silver)
-            stored = stored.where(F.col(BATCH) < number).drop(BATCH)
-            touched = stored.join(rows.select(DAY).distinct(), DAY, "left_semi")
-            same = [rows[c].eqNullSafe(touched[c]) for c in rows.columns]
-            rows = rows.join(touched, same, "left_anti")
+        rows = _with_day(clean(batch, table), table).persist()
+        stored = _stored_days(rows, table, silver, most_days)
+        fresh = rows
+        if stored is not None:
+            stored = stored.where(F.col(BATCH) < number)
+            same = [rows[c].eqNullSafe(stored[c]) for c in rows.columns]
+            fresh = rows.join(stored, same, "left_anti")
         (
-            rows.withColumn(BATCH, F.lit(number).cast("long"))
+            fresh.withColumn(BATCH, F.lit(number).cast("long"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(DAY, BATCH)
             .parquet(silver)
         )
+        rows.unpersist()
 
     return (
         stream.writeStream.foreachBatch(merge)
@@ -103,7 +107,24 @@ def _with_day(rows: DataFrame, table: Table) -> DataFrame:
     return rows.withColumn(DAY, day)
 
 
-def _stored(spark: SparkSession, table: Table, silver: str) -> DataFrame:
+def _stored_days(rows: DataFrame, table: Table, silver: str, most: int) -> DataFrame | None:
+    """What Silver holds for the days of ``rows``; None where it holds nothing.
+
+    Only the folders of those days are listed. A batch of more than ``most`` days
+    takes the way without a list of days: all of Silver, reduced by a semi join.
+    """
+    spark = rows.sparkSession
+    found = rows.select(DAY).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        if not path_exists(spark, silver):
+            return None
+        return _stored(spark, table, silver).join(rows.select(DAY).distinct(), DAY, "left_semi")
+    folders = [f"{silver}/{DAY}={r[0]}" for r in found]
+    folders = [f for f in folders if path_exists(spark, f)]
+    return _stored(spark, table, silver, *folders) if folders else None
+
+
+def _stored(spark: SparkSession, table: Table, silver: str, *folders: str) -> DataFrame:
     layout = T.StructType(
         [
             *table.silver_schema.fields,
@@ -111,4 +132,5 @@ def _stored(spark: SparkSession, table: Table, silver: str) -> DataFrame:
             T.StructField(BATCH, T.LongType()),
         ]
     )
-    return spark.read.schema(layout).parquet(silver)
+    reader = spark.read.schema(layout).option("basePath", silver)
+    return reader.parquet(*(folders or (silver,)))

@@ -47,7 +47,11 @@ def test_the_job_writes_its_tables(spark, silver, tmp_path):
 
 
 def test_settings_follow_the_input_and_only_rise(spark, monkeypatch):
-    keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    keys = (
+        "spark.sql.shuffle.partitions",
+        "spark.sql.files.maxPartitionBytes",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+    )
     before = {k: spark.conf.get(k) for k in keys}
     try:
         monkeypatch.setattr(session, "_bytes_below", lambda s, p: 100)
@@ -56,7 +60,7 @@ def test_settings_follow_the_input_and_only_rise(spark, monkeypatch):
         monkeypatch.setattr(session, "_bytes_below", lambda s, p: 100 * 10**12)
         session.size_for(spark, "large")
         assert int(spark.conf.get(keys[0])) == 100 * 10**12 // 2**30
-        assert int(spark.conf.get(keys[1])) == 10**9
+        assert int(spark.conf.get(keys[1])) == int(spark.conf.get(keys[2])) == 10**9
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)

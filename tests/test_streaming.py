@@ -36,25 +36,27 @@ def put(folder, *names):
         (folder / name).write_text("\n".join([HEADER, *FILES[name]]) + "\n")
 
 
-def run(spark, base):
+def run(spark, base, most_days=R.MOST_DAYS):
     bronze = str(base / "bronze")
     arrived = R.arriving(spark, str(base / "arrived"), VITALS, files_per_batch=1)
     R.ingest(arrived, bronze, str(base / "c1")).awaitTermination()
     stream = R.arriving(spark, bronze, VITALS, files_per_batch=1)
-    R.silver_exact(stream, VITALS, str(base / "silver"), str(base / "c2")).awaitTermination()
-    return rows(R.read_silver_stream(spark, VITALS, str(base / "silver")))
+    silver = str(base / "silver")
+    R.silver_exact(stream, VITALS, silver, str(base / "c2"), most_days).awaitTermination()
+    return rows(R.read_silver_stream(spark, VITALS, silver))
 
 
-def test_stream_equals_batch_with_late_copies(spark, folders):
+@pytest.mark.parametrize("most_days", [R.MOST_DAYS, 0])
+def test_stream_equals_batch_with_late_copies(spark, folders, most_days):
     arrived, base = folders
     put(arrived, "1.csv")
-    assert len(run(spark, base)) == 2
+    assert len(run(spark, base, most_days)) == 2
     put(arrived, "2.csv", "3.csv")
-    got = run(spark, base)
+    got = run(spark, base, most_days)
     batch = clean(scan_csv(spark, str(arrived), VITALS.bronze_schema), VITALS)
     assert got == rows(batch) and len(got) == 4
     # nothing new: nothing changes, in Bronze either
-    assert run(spark, base) == got
+    assert run(spark, base, most_days) == got
     bronze = scan_csv(spark, str(base / "bronze"), VITALS.bronze_schema)
     assert rows(bronze) == rows(scan_csv(spark, str(arrived), VITALS.bronze_schema))
 
