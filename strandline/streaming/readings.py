@@ -60,21 +60,22 @@ def silver_exact(
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        rows = _with_day(clean(batch, table), table).persist()
-        stored = _stored_days(rows, table, silver, most_days)
-        fresh = rows
+        # the days need no dedupe: this reads one column of the batch
+        days = _with_day(typed(batch, table), table).select(DAY).distinct()
+        stored = _stored_days(days, table, silver, most_days)
+        fresh = rows = _with_day(clean(batch, table), table)
         if stored is not None:
             stored = stored.where(F.col(BATCH) < number)
             same = [rows[c].eqNullSafe(stored[c]) for c in rows.columns]
             fresh = rows.join(stored, same, "left_anti")
         (
             fresh.withColumn(BATCH, F.lit(number).cast("long"))
+            .hint("rebalance", F.col(DAY))  # few files per day, none too large
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(DAY, BATCH)
             .parquet(silver)
         )
-        rows.unpersist()
 
     return (
         stream.writeStream.foreachBatch(merge)
@@ -107,18 +108,18 @@ def _with_day(rows: DataFrame, table: Table) -> DataFrame:
     return rows.withColumn(DAY, day)
 
 
-def _stored_days(rows: DataFrame, table: Table, silver: str, most: int) -> DataFrame | None:
-    """What Silver holds for the days of ``rows``; None where it holds nothing.
+def _stored_days(days: DataFrame, table: Table, silver: str, most: int) -> DataFrame | None:
+    """What Silver holds for ``days``; None where it holds nothing.
 
     Only the folders of those days are listed. A batch of more than ``most`` days
     takes the way without a list of days: all of Silver, reduced by a semi join.
     """
-    spark = rows.sparkSession
-    found = rows.select(DAY).distinct().limit(most + 1).collect()
+    spark = days.sparkSession
+    found = days.limit(most + 1).collect()
     if len(found) > most:
         if not path_exists(spark, silver):
             return None
-        return _stored(spark, table, silver).join(rows.select(DAY).distinct(), DAY, "left_semi")
+        return _stored(spark, table, silver).join(days, DAY, "left_semi")
     folders = [f"{silver}/{DAY}={r[0]}" for r in found]
     folders = [f for f in folders if path_exists(spark, f)]
     return _stored(spark, table, silver, *folders) if folders else None
