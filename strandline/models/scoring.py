@@ -65,7 +65,8 @@ def report(
         area = roc_auc(scored, target, f"{name}_score")
         parts.append(
             F.struct(
-                F.round(hits.scalar(), 3).alias("accuracy"), F.round(area.scalar(), 3).alias("roc_auc")
+                F.round(hits.scalar(), 3).alias("accuracy"),
+                F.round(area.scalar(), 3).alias("roc_auc"),
             ).alias(alias)
         )
     matrix = confusion(scored, target, f"{forest}_prediction").agg(
@@ -78,7 +79,9 @@ def report(
     ranked = best.agg(
         F.transform(
             F.reverse(F.array_sort(F.collect_list(F.struct("importance", "feature")))),
-            lambda r: F.struct(r["feature"].alias("feature"), F.round(r["importance"], 3).alias("importance")),
+            lambda r: F.struct(
+                r["feature"].alias("feature"), F.round(r["importance"], 3).alias("importance")
+            ),
         )
     )
     tested = scored.where(F.col(target).isNotNull()).agg(F.count(F.lit(1)))

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.schemas import HOSPITAL, Table
+from strandline.schemas import HOSPITAL, MOMENT, Table
 from strandline.session import child_folders
 
 # Files in folders below the table folder belong to the table: streamed batches
-# come in folders of their own.
-CSV_READ = {"header": "true", "recursiveFileLookup": "true"}
+# come in folders of their own. Headers are checked against the declared columns.
+CSV_READ = {"header": "true", "recursiveFileLookup": "true", "enforceSchema": "false"}
 # Text goes out as it is, with its blanks.
 CSV_WRITE = {
     "header": "true",
@@ -40,7 +40,7 @@ def scan_csv(
     """
     reader = spark.read.options(**CSV_READ)
     if schema is not None:
-        return reader.schema(schema).option("enforceSchema", "false").csv(path)
+        return reader.schema(schema).csv(path)
     return reader.option("inferSchema", str(infer).lower()).csv(path)
 
 
@@ -94,10 +94,9 @@ def register_zone(
     """Find the table folders of a zone and make them queryable by name.
 
     ``source`` is ``csv`` or ``parquet``. With a ``database`` external tables are
-    created in it, else temporary views. The column types of CSV tables are
-    inferred, and those of Parquet tables are in their files. A folder that is a
-    ``known`` CSV table of text columns needs no pass over its files: measures
-    are declared, timestamps stay text as a crawler leaves them.
+    created in it, else temporary views. Parquet files carry their types, and
+    ``known`` CSV tables are declared, with timestamps left as text; the types of
+    any other CSV table are inferred, which reads its files once.
 
     Returns (table_name, column_name, data_type, position), one row per column.
     """
@@ -133,14 +132,5 @@ def register_zone(
 def crawled_schema(table: Table) -> T.StructType:
     """Types a crawler would find: numbers as numbers, timestamps as text."""
     silver = table.silver_schema
-    return T.StructType(
-        [
-            T.StructField(
-                c,
-                T.StringType()
-                if isinstance(silver[c].dataType, T.TimestampType)
-                else silver[c].dataType,
-            )
-            for c in table.columns
-        ]
-    )
+    kinds = {c: T.StringType() if k == MOMENT else silver[c].dataType for c, k in table.columns.items()}
+    return T.StructType([T.StructField(c, kind) for c, kind in kinds.items()])

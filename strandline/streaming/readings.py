@@ -22,7 +22,7 @@ def arriving(
     spark: SparkSession, path: str, table: Table, files_per_batch: int | None = None
 ) -> DataFrame:
     """New CSV files of a folder and the folders below it, as text columns."""
-    reader = spark.readStream.options(**CSV_READ).option("enforceSchema", "false")
+    reader = spark.readStream.options(**CSV_READ)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
     return reader.schema(table.bronze_schema).csv(path)

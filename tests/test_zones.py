@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from strandline.plans.hospital import department_kpis
 from strandline.schemas import HOSPITAL, OPERATIONS
 from strandline.sources.sql_text import run_sql
 from strandline.sources.zones import (
@@ -12,7 +13,7 @@ from strandline.sources.zones import (
     write_json,
     write_parquet,
 )
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 PATIENT = "P1,70,F,General,Planned,Asthma,2025-01-01 10:00:00,2025-01-03 10:00:00,2,1"
 OPERATION = "2025-01-01 05:00:00,General,50,25,0.5,3,20"
@@ -81,6 +82,18 @@ def test_partition_column_returns_to_its_place(spark, tmp_path):
     assert read_curated(spark, str(tmp_path), OPERATIONS).columns == schema.names
 
 
+def test_curated_reads_prune_partitions_and_columns(spark, tmp_path):
+    schema = OPERATIONS.silver_schema
+    df = spark.createDataFrame([(None, "General", 50, 25, 0.5, 3, 20, None)], schema)
+    write_parquet(df, table_path(str(tmp_path), "operations"), ["department"])
+    operations = read_curated(spark, str(tmp_path), OPERATIONS)
+    text = plan(operations.where("department = 'General' and beds_total > 10").select("beds_total"))
+    assert "PartitionFilters: [isnotnull(department" in text
+    assert "GreaterThan(beds_total,10)" in text and "ReadSchema: struct<beds_total:int>" in text
+    text = plan(department_kpis(operations))
+    assert "ReadSchema: struct<occupancy_rate:double,patients_waiting:int,avg_wait_minutes:int>" in text
+
+
 def test_registering_as_views(spark, bronze):
     found = register_zone(spark, bronze, "csv")
     types = {(r.table_name, r.column_name): r.data_type for r in found.collect()}
