@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strandline.operators.joins import join_checked
 from strandline.session import keep
 
-STEP = 4  # hex digits added per counting pass: at most 65,536 groups per class
+STEP = 3  # hex digits added per counting pass: at most 4,096 groups per class and task
 LEAF_ROWS = 1_000_000  # rows of one class that may be ranked in one task
 DIGITS = 32
 
