@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -67,34 +68,51 @@ def _bytes_below(spark: SparkSession, path: str) -> int:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (a local run) is one made here.
+    A local session that names none gets a temporary one. On a cluster that would
+    be a folder of the driver's machine alone, so there its absence is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    known = spark.sparkContext.getCheckpointDir()
-    if not known:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strandline-"))
-        known = spark.sparkContext.getCheckpointDir()
-    return known.rstrip("/")
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; nothing is created there yet."""
-    return f"{shared_folder(spark)}/strandline/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, deleted when the application ends.
+
+    Nothing is created there yet.
+    """
+    path = f"{shared_folder(spark)}/strandline/{name}-{uuid.uuid4().hex}"
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return path
 
 
 def keep(df: DataFrame, name: str = "kept") -> DataFrame:
     """Store a reused intermediate in the shared folder and read it back.
 
     It is computed once, outlives lost executors, and its size is known to the
-    planner.
+    planner. It is deleted when the application ends, or earlier by ``discard``.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*kept: DataFrame) -> None:
+    """Delete what ``keep`` stored, once nothing reads it any more."""
+    for df in kept:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        files = df.inputFiles()
+        for folder in {f.rsplit("/", 1)[0] for f in files}:
+            hadoop_path = jvm.org.apache.hadoop.fs.Path(folder)
+            hadoop_path.getFileSystem(conf).delete(hadoop_path, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
