@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.llm.text import buffer_of
 from strandline.llm.tokens import default_tokenizer, encoder
 from strandline.session import keep
 
@@ -166,13 +167,14 @@ def pack(
     source: str = "source",
     tokenizer: str | None = None,
     end_id: int = 2,
+    with_ids: bool = True,
 ) -> DataFrame:
     """Cut all documents into pieces and place them in sequences of ``length`` ids.
 
     ``weights`` are the token shares that every sequence should have of each source;
     a source without one gets the smallest of them, and without any all are alike.
-    Returns doc_id, source, start, length, doc_tokens, sequence_id, offset, ids (the
-    piece's ids as little-endian numbers of 2 or 4 bytes) and ids_crc32.
+    Returns doc_id, source, start, length, doc_tokens, sequence_id, offset, ids_crc32
+    and, unless ``with_ids`` is false, ids: the piece's as little-endian numbers of 2 or 4 bytes.
 
     Only the last sequence is not full. A null or empty text is the end id alone. Rows
     without a source are a queue of their own. Rows with a null or repeated doc_id are
@@ -200,45 +202,64 @@ def pack(
     number = {q: i for i, q in enumerate(queues)}
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = "<u2" if width == 2 else "<u4"
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                yield from cut(batch.slice(at, 500), kind)
-
-    def cut(batch: pa.RecordBatch, kind: str) -> Iterator[pa.RecordBatch]:
-        out: list[list] = [[] for _ in range(9)]
-        columns = (batch.column(c).to_pylist() for c in ("queue", "doc_id", "place", "n", "ids"))
-        for queue, doc, first, n, blob in zip(*columns):
-            wide = np.frombuffer(blob, kind)
-            starts, places = place(phases, number[queue], first, first + n, length)
-            own = (starts - first).tolist()
-            ends = [*own[1:], n]
-            crcs = [zlib.crc32(wide[a:b].astype("<u4")) for a, b in zip(own, ends)]
-            k = len(own)
-            for column, values in zip(
-                out,
-                (
-                    [doc] * k, [None if queue == NO_SOURCE else queue] * k, own,
-                    [b - a for a, b in zip(own, ends)], [n] * k,
-                    (places // length).tolist(), (places % length).tolist(),
-                    [wide[a:b].tobytes() for a, b in zip(own, ends)], crcs,
-                ),
-            ):
-                column += values
-        schema = pa.schema(
-            [("doc_id", pa.int64()), ("source", pa.string()), ("start", pa.int64()), ("length", pa.int64()),
-             ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
-             ("ids", pa.binary()), ("ids_crc32", pa.int64())]
-        )
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
+            for at in range(0, batch.num_rows, 1000):
+                yield cut(batch.slice(at, 1000))
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        first, sizes = (batch.column(c).to_numpy() for c in ("place", "n"))
+        runs: dict[tuple, list[int]] = {}
+        for i, key in enumerate(zip(batch.column("queue").to_pylist(), batch.column("task").to_pylist())):
+            runs.setdefault(key, []).append(i)
+        parts = []
+        for (queue, _), members in runs.items():
+            # documents of one task stand next to each other in their queue
+            own = np.array(members)[np.argsort(first[members], kind="stable")]
+            lo = int(first[own[0]])
+            hi = int(first[own[-1]] + sizes[own[-1]])
+            starts, places = place(phases, number[queue], lo, hi, length)
+            bounds = first[own]
+            new = bounds[~np.isin(bounds, starts)]
+            before = np.searchsorted(starts, new, "right") - 1
+            starts, places = (
+                np.concatenate([starts, new]), np.concatenate([places, places[before] + new - starts[before]])
+            )
+            order = np.argsort(starts, kind="stable")
+            starts, places = starts[order], places[order]
+            ends = np.append(starts[1:], hi)
+            which = np.searchsorted(bounds, starts, "right") - 1
+            # rows between two of the run may be in another batch
+            inside = starts < bounds[which] + sizes[own[which]]
+            ends = np.minimum(ends, bounds[which] + sizes[own[which]])
+            parts.append([x[inside] for x in (own[which], starts - bounds[which], ends - starts, places)])
+        row, start, size, at = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((start, row))
+        row, start, size, at = row[order], start[order], size[order], at[order]
+        data, _ = buffer_of(batch.column("ids"))
+        wide = memoryview(data.view("<u2" if width == 2 else "<u4").astype("<u4").tobytes())
+        edges = np.concatenate([[0], np.cumsum(size)])
+        bytes_at = (4 * edges).tolist()
+        crcs = [zlib.crc32(wide[a:b]) for a, b in zip(bytes_at, bytes_at[1:])]
+        columns = [
+            batch.column("doc_id").take(pa.array(row)), batch.column("source").take(pa.array(row)),
+            *(pa.array(x) for x in (start, size, sizes[row], at // length, at % length)),
+            pa.array(crcs, pa.int64()),
+        ]
+        names = ["doc_id", "source", "start", "length", "doc_tokens", "sequence_id", "offset", "ids_crc32"]
+        if with_ids:
+            offsets = pa.py_buffer((width * edges).astype(np.int32))
+            names.append("ids")
+            columns.append(
+                pa.Array.from_buffers(pa.binary(), len(row), [None, offsets, pa.py_buffer(data.tobytes())])
+            )
+        return pa.RecordBatch.from_arrays(columns, names)
 
     placed = rows.join(starts.select("queue", "task", "before"), ["queue", "task"]).select(
-        "queue", "doc_id", (F.col("before") + F.col("inside")).alias("place"), "n", "ids"
+        "queue", "task", "doc_id", (F.col("before") + F.col("inside")).alias("place"), "n", "ids",
+        F.when(F.col("queue") != NO_SOURCE, F.col("queue")).alias("source"),
     )
-    return placed.mapInArrow(
-        pieces,
+    schema = (
         "doc_id long, source string, start long, length long, doc_tokens long, sequence_id long, "
-        "offset long, ids binary, ids_crc32 long",
+        "offset long, ids_crc32 long"
     )
-
-
+    return placed.mapInArrow(pieces, schema + ", ids binary" if with_ids else schema)

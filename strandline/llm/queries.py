@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strandline.llm import binary, packing
+from strandline.llm import binary, licenses, packing, quality, substring_dedup, suffix_dedup, topk
 from strandline.session import scratch_path
 
 
@@ -15,7 +16,141 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_pack(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents")).drop("ids")
+    return packing.pack(table(spark, folder, "documents"), with_ids=False)
+
+
+def op3_substring(spark: SparkSession, folder: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(table(spark, folder, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SUBSTRING = r"""
+WITH words AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), starts AS (
+  SELECT doc_id, unnest(generate_series(1, len(w) - 34)) AS i, w FROM words WHERE len(w) >= 35
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM starts
+), repeated AS (
+  SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY h) > 1
+), gone AS (
+  SELECT doc_id, list(DISTINCT p) AS places
+  FROM (SELECT doc_id, unnest(generate_series(i, i + 34)) AS p FROM repeated) GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(len(places), 0) AS n_removed,
+         list_filter(w, lambda x, p: NOT list_contains(coalesce(places, []), p)) AS k
+  FROM words LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept
+"""
+
+
+def op4_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+def _template_rows() -> str:
+    rows = []
+    for name, text in licenses.TEMPLATES.items():
+        grams = ", ".join(f"'{g}'" for g in licenses.template_bigrams(text))
+        rows.append(f"('{name}', [{grams}])")
+    return ", ".join(rows)
+
+
+LICENSES = rf"""
+WITH templates(license, t) AS (VALUES {_template_rows()}),
+blocks AS (
+  SELECT doc_id, unnest(list_distinct(list_concat(
+    string_split(text, chr(10)), string_split_regex(text, '\n[ \t\r]*\n'), [text]))) AS block
+  FROM documents
+), words AS (
+  SELECT doc_id, string_split(trim(regexp_replace(lower(block), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM blocks
+), grams AS (
+  SELECT doc_id, list_distinct(list_transform(
+    generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) AS g
+  FROM words WHERE len(w) > 1
+), hits AS (
+  SELECT doc_id, license, 2.0::DOUBLE * len(list_intersect(g, t)) / (len(g) + len(t)) AS dice
+  FROM grams, templates
+)
+SELECT doc_id, license, count(*) AS n_blocks, max(dice) AS dice FROM hits
+WHERE dice >= {licenses.THRESHOLD} GROUP BY doc_id, license
+"""
+
+
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    # the texts themselves are not needed behind the metrics
+    metrics = quality.judge(docs, carried=["doc_id", "source"])
+    return metrics.select("doc_id", "quality__.*")
+
+
+QUALITY = r"""
+WITH texts AS (
+  SELECT doc_id, source, coalesce(text, '') AS text,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS x
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS i FROM texts WHERE len(w) >= 3)
+), repeated AS (
+  SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, x) > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM repeated) GROUP BY doc_id
+), base AS (
+  SELECT doc_id, source, len(w) AS n_words,
+         length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+  FROM texts LEFT JOIN covered USING (doc_id)
+), failed AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base
+), hosts AS (
+  SELECT source, count(*) AS n, count_if(base_failed) AS f FROM failed GROUP BY source
+), sums AS (
+  SELECT sum(n) AS total, sum(f) / sum(n) AS mean, sum(f * f / n) AS squares, count(*) AS hosts FROM hosts
+), priors AS (
+  SELECT mean, squares / total - mean * mean - mean * (1 - mean) * hosts / total AS spread FROM sums
+), strengths AS (
+  SELECT mean, CASE WHEN spread > 0 THEN least(1e6, greatest(1, mean * (1 - mean) / spread - 1))
+                    ELSE 1e6 END AS strength FROM priors
+), verdicts AS (
+  SELECT source, (f + mean * strength) / (n + strength) > 0.5 AS rejected FROM hosts, strengths
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT rejected AS kept
+FROM failed JOIN verdicts ON failed.source IS NOT DISTINCT FROM verdicts.source
+"""
+
+
+def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search(table(spark, folder, "embeddings"), "vec_id % 20 = 0", 20)
+
+
+TOPK = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[]) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
+
+def op9_suffix(spark: SparkSession, folder: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, folder, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op10_binary(spark: SparkSession, folder: str) -> DataFrame:
@@ -26,7 +161,17 @@ def op10_binary(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
+    "op3_substring": op3_substring,
+    "op4_licenses": op4_licenses,
+    "op6_quality": op6_quality,
+    "op8_topk": op8_topk,
+    "op9_suffix": op9_suffix,
     "op10_binary": op10_binary,
 }
 
-TWINS: dict[str, str] = {}
+TWINS: dict[str, str] = {
+    "op3_substring": SUBSTRING,
+    "op4_licenses": LICENSES,
+    "op6_quality": QUALITY,
+    "op8_topk": TOPK,
+}

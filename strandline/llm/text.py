@@ -16,7 +16,7 @@ CHUNK_BYTES = 2_000_000  # text handled at once; a longer single text is handled
 
 # An odd multiplier and its inverse modulo 2^64, and mixing constants.
 BASE = 0x9E3779B97F4A7C15
-BASE_INVERSE = pow(BASE, -1, 1 << 64)
+SECOND_BASE = 0xD1342543DE82EF95
 MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
 
@@ -81,19 +81,19 @@ def texts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
         yield lo, hi, data[bounds[lo] : bounds[hi]], bounds[lo : hi + 1] - bounds[lo]
 
 
-def prefix_hash(values: np.ndarray) -> np.ndarray:
-    """Sums of (value + 1) * BASE^position, from which any range's hash follows."""
+def prefix_hash(values: np.ndarray, base: int = BASE) -> np.ndarray:
+    """Sums of (value + 1) * base^position, from which any range's hash follows."""
     out = np.zeros(len(values) + 1, np.uint64)
     terms = values.astype(np.uint64)
     terms += np.uint64(1)
-    terms *= powers(BASE, len(values))
+    terms *= powers(base, len(values))
     np.cumsum(terms, out=out[1:])
     return out
 
 
-def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, base: int = BASE) -> np.ndarray:
     """Hash of values[start:end]; equal for equal content, at any position."""
-    shift = powers(BASE_INVERSE, len(prefix))[start]
+    shift = powers(pow(base, -1, 1 << 64), len(prefix))[start]
     length = (end - start).astype(np.uint64) * MIX_1
     return mix((prefix[end] - prefix[start]) * shift + length)
 
@@ -162,5 +162,7 @@ def minimizers(hashes: np.ndarray, window: int) -> np.ndarray:
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indexes start, start + 1, .. of every range, one range after another."""
     total = int(lengths.sum())
-    skip = np.repeat(starts - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths)
-    return skip + np.arange(total)
+    kind = np.int32 if total < 1 << 31 and int(starts.max(initial=0)) < 1 << 30 else np.int64
+    skip = np.repeat((starts - (np.cumsum(lengths) - lengths)).astype(kind), lengths)
+    skip += np.arange(total, dtype=kind)
+    return skip

@@ -9,6 +9,7 @@ parts letters from the comma or full stop behind them, so those are kept apart t
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
@@ -46,6 +47,11 @@ def lowered(text: str) -> str:
     return text if "<|" in text else text.lower()
 
 
+def plain_letters(piece: str) -> bool:
+    """Whether all are letters below U+02B0, which lower-casing keeps letters."""
+    return piece.isalpha() and max(piece) < "\u02b0" and "\u0130" not in piece
+
+
 class PieceEncoder:
     def __init__(self, path: str, most: int = MOST_PIECES):
         self.tokenizer = Tokenizer.from_file(path)
@@ -55,6 +61,9 @@ class PieceEncoder:
         self.mark_id, self.mark = max((i, str(t.content)) for i, t in added.items())
         self.special = tuple(str(t.content) for t in added.values())
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        vocabulary = self.tokenizer.get_vocab()
+        self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.word_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._reset()
 
     def _reset(self) -> None:
@@ -65,22 +74,26 @@ class PieceEncoder:
 
     def _encode_new(self, pieces: list[str]) -> None:
         """Add pieces; one of letters and a final mark is put together from both."""
-        tails = [p for p in pieces if len(p) > 1 and p[-1] in ",." and p[:-1].isalpha()]
+        tails = [p for p in pieces if len(p) > 1 and p[-1] in ",." and plain_letters(p[:-1])]
         stems = {p[:-1] for p in tails} | {p[-1] for p in tails}
         plain = set(pieces).difference(tails) | {p for p in stems if p not in self.codes}
         odd = [p for p in plain if "<|" in p and any(s in p for s in self.special)]
-        plain = list(plain.difference(odd))
+        plain.difference_update(odd)
+        # a piece of letters is one word to the tokenizer and ends with the only word-end id
+        letters = [p for p in plain if plain_letters(p)]
+        others = list(plain.difference(letters))
+        plain = letters + others
         parts, lengths = [], []
-        groups = [plain[at : at + 1024] for at in range(0, len(plain), 1024)]
-        for group in groups:
-            joined = self.mark.join(group)
-            (coded,) = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)
-            ids = np.array(coded.ids, np.uint32)
-            cuts = np.flatnonzero(ids == self.mark_id)
-            assert len(cuts) == len(group) - 1
-            edges = np.concatenate([[-1], cuts, [len(ids)]])
+        for ids in self._encode_joined(letters, " "):
+            ends = np.flatnonzero(self.word_end[ids])
+            parts.append(ids)
+            lengths.append(np.diff(ends, prepend=-1))
+        for ids in self._encode_joined(others, self.mark):
+            edges = np.concatenate([[-1], np.flatnonzero(ids == self.mark_id), [len(ids)]])
             parts.append(ids[ids != self.mark_id])
             lengths.append(np.diff(edges) - 1)
+        if sum(map(len, lengths)) != len(plain):
+            raise ValueError("the tokenizer joins or parts pieces")
         for p in odd:
             ids = np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, np.uint32)
             parts.append(ids)
@@ -92,6 +105,12 @@ class PieceEncoder:
             ids = self.pool[ragged(self.starts[both], own)]
             self._append(tails, [ids], [own.reshape(-1, 2).sum(1)])
 
+    def _encode_joined(self, pieces: list[str], mark: str) -> Iterator[np.ndarray]:
+        for at in range(0, len(pieces), 1024):
+            joined = mark.join(pieces[at : at + 1024])
+            (coded,) = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)
+            yield np.array(coded.ids, np.uint32)
+
     def _append(self, pieces: list[str], parts: list, lengths: list) -> None:
         if not pieces:
             return
