@@ -74,22 +74,19 @@ def scan(
     """
     sets = {name: grams for name, t in templates.items() if (grams := template_bigrams(t))}
     bounds = {name: size_bounds(len(g), threshold) for name, g in sets.items()}
-    least, most = min(b[0] for b in bounds.values()), max(b[1] for b in bounds.values())
     t = F.col(text).cast("string")
     blocks = F.array_distinct(F.concat(F.split(t, "\n"), F.split(t, r"\n[ \t\r]*\n"), F.array(t)))
     words = F.split(F.btrim(F.regexp_replace(F.lower("block"), "[^a-z0-9]+", " ")), " ")
-    rows = (
-        df.select(F.col(doc_id).alias("doc_id"), F.explode(blocks).alias("block"))
-        .select("doc_id", words.alias("w"))
-        # a block has at most as many bigrams as words less one
-        .where(F.size("w") - 1 >= least)
+    # no filter on w or g: Spark would push it down and compute both once more
+    rows = df.select(F.col(doc_id).alias("doc_id"), F.explode(blocks).alias("block")).select(
+        "doc_id", words.alias("w")
     )
     grams = F.array_distinct(
         F.transform(
-            F.slice("w", 1, F.size("w") - 1), lambda x, i: F.concat(x, F.lit(" "), F.get(F.col("w"), i + 1))
+            F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), lambda x, i: F.concat(x, F.lit(" "), F.get(F.col("w"), i + 1))
         )
     )
-    sized = rows.select("doc_id", grams.alias("g")).where(F.size("g").between(least, most))
+    sized = rows.select("doc_id", grams.alias("g"))
 
     def compared(name: str) -> Column:
         low, high = bounds[name]
