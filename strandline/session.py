@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -124,3 +125,13 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     names = [s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory()]
     return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now.
+
+    It does so when the driver collects its garbage, which an idle driver may put off
+    until the disks are full. Worth calling between the steps of a long job.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
