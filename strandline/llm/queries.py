@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import binary, licenses, packing, quality, substring_dedup, suffix_dedup, topk
+import corpus_pipeline
+from strandline.llm import (
+    binary,
+    licenses,
+    line_dedup,
+    minhash,
+    mixing,
+    packing,
+    quality,
+    substring_dedup,
+    suffix_dedup,
+    topk,
+)
 from strandline.session import scratch_path
 
 
@@ -19,6 +31,45 @@ def op1_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), with_ids=False)
 
 
+def op2_lines(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    out = line_dedup.dedup_lines(docs)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+LINES = r"""
+WITH lines AS (
+  SELECT doc_id, i - 1 AS line, ls[i] AS full_line,
+         list_filter(string_split_regex(ls[i], '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM (SELECT doc_id, ls, unnest(generate_series(1, len(ls))) AS i
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))
+), worded AS (
+  SELECT doc_id, line, w, len(w) AS n, array_to_string(w, ' ') AS x FROM lines WHERE len(w) > 0
+), firsts AS (
+  SELECT x, any_value(w) AS w, any_value(n) AS n, min((doc_id, line)) AS one FROM worded GROUP BY x
+), cuts AS (
+  SELECT x, n, one, p, array_to_string(list_concat(w[1:p - 1], w[p + 1:]), ' ') AS v
+  FROM (SELECT *, unnest(generate_series(1, n)) AS p FROM firsts WHERE n >= 8)
+), replaced AS (
+  SELECT x FROM cuts QUALIFY one > min(one) OVER (PARTITION BY n, p, v)
+), near AS (
+  SELECT x FROM replaced
+  UNION SELECT CASE WHEN c.one > f.one THEN c.x ELSE f.x END
+  FROM cuts c JOIN firsts f ON f.x = c.v WHERE f.n >= 8
+), gone AS (
+  SELECT doc_id, line FROM worded JOIN firsts USING (x)
+  WHERE (doc_id, line) > one OR x IN (SELECT x FROM near)
+), kept AS (
+  SELECT doc_id, count(*) AS n_lines, count(gone.line) AS n_removed,
+         coalesce(string_agg(full_line, chr(10) ORDER BY line) FILTER (gone.line IS NULL), '') AS t
+  FROM lines LEFT JOIN gone USING (doc_id, line) GROUP BY doc_id
+)
+SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE n_lines END AS n_lines, n_removed,
+       CASE WHEN text IS NULL THEN NULL ELSE sha256(t) END AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op3_substring(spark: SparkSession, folder: str) -> DataFrame:
     out = substring_dedup.remove_repeats(table(spark, folder, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -79,6 +130,17 @@ WHERE dice >= {licenses.THRESHOLD} GROUP BY doc_id, license
 """
 
 
+def op5_mix(spark: SparkSession, folder: str) -> DataFrame:
+    out = mixing.mix(
+        table(spark, folder, "documents"),
+        table(spark, folder, "labels"),
+        mixing.label_domain(),
+        {"good": 1.25, "plain": 0.75, "toxic": 0.25},
+        carried=["doc_id", "source"],
+    )
+    return out.select("doc_id", "source", "mix__.*")
+
+
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     # the texts themselves are not needed behind the metrics
@@ -127,6 +189,38 @@ FROM failed JOIN verdicts ON failed.source IS NOT DISTINCT FROM verdicts.source
 """
 
 
+def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+NEAR = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k
+  FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY u, v
+), links AS (
+  SELECT u, v FROM shared JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v
+  WHERE 100 * k >= 75 * (x.n + y.n - k)
+), reach(node, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT node, v FROM reach JOIN links ON other = u
+), roots AS (
+  SELECT node AS doc_id, min(other) AS component_id FROM reach GROUP BY node
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM roots LEFT JOIN sizes USING (doc_id)
+"""
+
+
 def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.search(table(spark, folder, "embeddings"), "vec_id % 20 = 0", 20)
 
@@ -161,17 +255,23 @@ def op10_binary(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
+    "op2_lines": op2_lines,
     "op3_substring": op3_substring,
     "op4_licenses": op4_licenses,
+    "op5_mix": op5_mix,
     "op6_quality": op6_quality,
+    "op7_minhash": op7_minhash,
     "op8_topk": op8_topk,
     "op9_suffix": op9_suffix,
     "op10_binary": op10_binary,
+    "pipeline": corpus_pipeline.run,
 }
 
 TWINS: dict[str, str] = {
+    "op2_lines": LINES,
     "op3_substring": SUBSTRING,
     "op4_licenses": LICENSES,
     "op6_quality": QUALITY,
+    "op7_minhash": NEAR,
     "op8_topk": TOPK,
 }
