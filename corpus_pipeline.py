@@ -25,8 +25,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that nearly equal an earlier line; n_chars follows the text."""
-    slim = line_dedup.dedup_lines(docs)
+    """Documents without lines that nearly equal an earlier line; n_chars follows the text.
+
+    A document of which no word is left goes: all its lines stand in earlier ones.
+    """
+    slim = line_dedup.dedup_lines(docs).where("n_removed = 0 OR text RLIKE '[^ \\\\t-\\\\r]'")
     return slim.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
