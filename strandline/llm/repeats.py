@@ -9,8 +9,8 @@ windows have equal triggers at equal places. Work then falls with what repeats:
 - a phrase whose trigger is met once in the corpus holds no repeated window;
 - a phrase that is met as a whole twice or more consists of repeated windows;
 - different phrases with the same trigger are compared, each once however often it is
-  met. A trigger with more than ``MOST_PHRASES`` of them is split by window, each window
-  being counted under its own 128-bit hash.
+  met. Up to ``MOST_PHRASES`` of them are some megabytes, which one task compares; a trigger
+  with more is split by window, each window being counted under its own 128-bit hash.
 
 Documents are known by their id and a hash of their text, so null and repeated ids are
 told apart. Nothing is collected; hot triggers meet in counts that are merged on the map
@@ -31,9 +31,10 @@ from pyspark.sql import functions as F
 from strandline.llm import text as tx
 from strandline.session import keep
 
-MOST_PHRASES = 128
+MOST_PHRASES = 2048
 GROUP_BYTES = 4_000_000  # phrases compared at once in a task
 NULL_MARK = 0x5DEECE66D
+LAST = (1 << 63) - 1  # document number of rows without an id
 
 
 @dataclass(frozen=True)
@@ -58,7 +59,7 @@ def tags(data: np.ndarray, bounds: np.ndarray, doc_ids: pa.Array) -> tuple[np.nd
     tag = tx.range_hash(prefix, bounds[:-1], bounds[1:])
     null = doc_ids.is_null().to_numpy(zero_copy_only=False)
     tag[null] ^= np.uint64(NULL_MARK)
-    return doc_ids.fill_null(0).to_numpy(zero_copy_only=False), tag.view(np.int64)
+    return doc_ids.fill_null(LAST).to_numpy(zero_copy_only=False), tag.view(np.int64)
 
 
 def pack_place(lo: np.ndarray, windows: np.ndarray, anchor: np.ndarray) -> np.ndarray:
@@ -242,7 +243,10 @@ def repeated_spans(df: DataFrame, units: Units, compare: Compare) -> tuple[DataF
     """(documents, spans) of (doc_id, text): per document of ``packed`` the item ranges covered
     by windows that start at another place too, as (doc, tag, spans: array of (lo, hi))."""
     every = places(df, units)
-    often = every.groupBy("trigger").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # stored, so that the join has two plain sides and Spark may split a hot trigger
+    often = keep(
+        every.groupBy("trigger").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "triggers"
+    )
     found = keep(every.join(often, "trigger", "left_semi"), "places")
     classes = keep(
         found.groupBy("trigger", "phrase").agg(
@@ -253,6 +257,7 @@ def repeated_spans(df: DataFrame, units: Units, compare: Compare) -> tuple[DataF
     kinds = classes.groupBy("trigger").agg(
         F.count(F.lit(1)).alias("kinds"), F.min("met").alias("least")
     ).where("kinds > 1 AND least = 1").drop("least")
+    kinds = keep(kinds, "kinds")
     wanted = classes.join(kinds, "trigger").select("trigger", "phrase", "met", "kinds", "one.*")
     docs = packed(df)
     rows = keep(contents(docs, wanted, units), "phrase-contents")
