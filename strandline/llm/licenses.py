@@ -52,8 +52,12 @@ def template_bigrams(text: str) -> list[str]:
 
 
 def size_bounds(size: int, threshold: float) -> tuple[float, float]:
-    """Bigram counts between which a block can reach the threshold with a template."""
-    return size * threshold / (2 - threshold), size * (2 - threshold) / threshold
+    """Bigram counts between which a block can reach the threshold with a template.
+
+    A little wider than exact, so that rounding excludes nothing.
+    """
+    ratio = threshold / (2 - threshold)
+    return size * ratio * (1 - 1e-9), size / ratio * (1 + 1e-9)
 
 
 def scan(
