@@ -2,22 +2,40 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from strandline.schemas import TS_PATTERN
+from strandline.schemas import TS_PATTERN, below
 
 # Fixed values: %-style date fields and their Java pattern letters.
 PERCENT_FIELDS = {
     "%Y": "yyyy",
+    "%y": "yy",
     "%m": "MM",
+    "%c": "M",
     "%d": "dd",
+    "%e": "d",
+    "%j": "DDD",
     "%H": "HH",
+    "%k": "H",
+    "%h": "hh",
+    "%I": "hh",
+    "%l": "h",
     "%i": "mm",
+    "%S": "ss",
     "%s": "ss",
+    "%f": "SSSSSS",
+    "%p": "a",
+    "%b": "MMM",
+    "%M": "MMMM",
+    "%a": "EEE",
+    "%W": "EEEE",
+    "%T": "HH:mm:ss",
+    "%r": "hh:mm:ss a",
+    "%%": "'%'",
 }
 
 
@@ -42,7 +60,13 @@ def to_moment(c: Column | str, pattern: str = TS_PATTERN) -> Column:
 
 
 def java_pattern(percent_pattern: str) -> str:
-    return reduce(lambda p, kv: p.replace(*kv), PERCENT_FIELDS.items(), percent_pattern)
+    """The Java pattern of a %-style one. Letters outside of fields stand for themselves."""
+    out = []
+    for field, letters, other in re.findall(r"(%.?)|([A-Za-z']+)|([^%A-Za-z']+)", percent_pattern, re.DOTALL):
+        if field and field not in PERCENT_FIELDS:
+            raise ValueError(f"{field} is no date field that can be parsed")
+        out.append(PERCENT_FIELDS.get(field) or other or "'" + letters.replace("'", "''") + "'")
+    return "".join(out)
 
 
 def to_moment_percent(c: Column | str, percent_pattern: str) -> Column:
@@ -88,16 +112,21 @@ def trunc_int(c: Column | str) -> Column:
 # --- labels and flags ---
 
 
-def band(c: Column | str, bounds: Sequence[tuple[float, str]], rest: str) -> Column:
-    """Label of the first upper bound (inclusive) that holds the value.
+def band(c: Column | str, bounds: Sequence[tuple[float | below, str]], rest: str) -> Column:
+    """Label of the first upper bound that holds the value.
 
-    Values above the last bound, and nulls, take ``rest``.
+    A bound belongs to its band, unless it is marked ``below``. Values above the last
+    bound, and nulls, take ``rest``.
     """
     value = as_column(c)
+
+    def holds(bound: float | below) -> Column:
+        return value < bound.bound if isinstance(bound, below) else value <= bound
+
     (first, label), *others = bounds
-    labelled = F.when(value <= first, label)
+    labelled = F.when(holds(first), label)
     for bound, name in others:
-        labelled = labelled.when(value <= bound, name)
+        labelled = labelled.when(holds(bound), name)
     return labelled.otherwise(rest)
 
 

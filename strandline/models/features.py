@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,14 +33,31 @@ def encoder_stages(categorical: Sequence[str]) -> list:
 
 
 def feature_stages(categorical: Sequence[str], numeric: Sequence[str]) -> list:
-    """Encoded categories first, then the numbers unchanged."""
+    """Encoded categories first, then the numbers unchanged.
+
+    A missing number gives NaN; ``complete`` tells such rows.
+    """
     inputs = [f"{c}__levels" for c in categorical] + list(numeric)
     return [
         *encoder_stages(categorical),
-        VectorAssembler(inputCols=inputs, outputCol=FEATURES, handleInvalid="error"),
+        VectorAssembler(inputCols=inputs, outputCol=FEATURES, handleInvalid="keep"),
     ]
 
 
+def complete(numeric: Sequence[str]) -> Column:
+    """Whether a row has all these numbers."""
+    known = F.lit(True)
+    for c in numeric:
+        known = known & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return known
+
+
+def numeric_inputs(model: PipelineModel) -> list[str]:
+    """The numbers that a fitted model reads."""
+    assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
+    return [c for c in assembler.getInputCols() if not c.endswith("__levels")]
+
+
 def level_names(model: PipelineModel) -> dict[str, list[str]]:
     """Levels per categorical column, in slot order."""
     indexer = next(s for s in model.stages if isinstance(s, StringIndexerModel))
@@ -55,20 +71,14 @@ def feature_names(model: PipelineModel, numeric: Sequence[str]) -> list[str]:
 
 
 def one_hot_rows(model: PipelineModel, df: DataFrame, key: str) -> DataFrame:
-    """The encoded columns as rows (key, feature, level, hot) with ``hot`` 0 or 1.
+    """The encoded columns as rows (key, feature, level): the slots that are 1.
 
-    It gives one row per level for every input row, as the dense matrix does.
+    All others are 0, so nothing is lost and the result grows with the rows of ``df``
+    only. A level that the encoder does not know has no row.
     """
-
-    def slots(c: str, levels: list[str]) -> Column:
-        names = F.array(*[F.lit(v) for v in levels])
-        return F.zip_with(
-            names,
-            vector_to_array(f"{c}__levels"),
-            lambda level, hot: F.struct(
-                F.lit(c).alias("feature"), level.alias("level"), hot.cast("int").alias("hot")
-            ),
-        )
-
-    every = F.concat(*[slots(c, levels) for c, levels in level_names(model).items()])
-    return model.transform(df).select(key, F.inline(every))
+    found = []
+    for c, levels in level_names(model).items():
+        known = F.array(*[F.lit(v) for v in levels])
+        found.append(F.struct(F.lit(c).alias("feature"), F.get(known, F.col(f"{c}__index").cast("int")).alias("level")))
+    hot = F.filter(F.array(*found), lambda s: s["level"].isNotNull())
+    return model.transform(df).select(key, F.inline(hot))

@@ -9,7 +9,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.models.features import FEATURES, feature_names, feature_stages
+from strandline.models.features import FEATURES, complete, feature_names, feature_stages
 from strandline.operators.joins import join_checked
 from strandline.operators.split import class_weights
 from strandline.session import keep
@@ -18,16 +18,15 @@ WEIGHT = "class_weight"
 LABEL = "label"
 
 
-def weighted(train: DataFrame, target: str) -> tuple[DataFrame, int]:
-    """Training rows with a double label and balanced class weights, and their number."""
-    weights = keep(class_weights(train, target))
-    classes, n = weights.agg(F.count(F.lit(1)), F.sum("class_rows")).first()
-    labelled = join_checked(
-        train.where(F.col(target).isNotNull()),
-        weights.select(target, F.col("weight").alias(WEIGHT)),
-        target,
-        small_rows=classes,
-    )
+def weighted(train: DataFrame, target: str, numeric: Sequence[str]) -> tuple[DataFrame, int]:
+    """Rows to fit to, with a double label and balanced class weights, and their number.
+
+    These are the rows that have a label and all their numbers.
+    """
+    usable = train.where(F.col(target).isNotNull() & complete(numeric))
+    weights = keep(class_weights(usable, target))
+    n = weights.agg(F.sum("class_rows")).first()[0]
+    labelled = join_checked(usable, weights.select(target, F.col("weight").alias(WEIGHT)), target)
     return labelled.withColumn(LABEL, F.col(target).cast("double")), int(n)
 
 
@@ -45,7 +44,7 @@ def train_logistic(
     is the number of rows; so a penalty of 1 / (c * n) is the same objective as
     ``c`` times the summed loss plus half the squared norm.
     """
-    rows, n = weighted(train, target)
+    rows, n = weighted(train, target, numeric)
     classifier = LogisticRegression(
         featuresCol=FEATURES,
         labelCol=LABEL,
@@ -69,7 +68,7 @@ def train_forest(
     seed: int = 42,
 ) -> PipelineModel:
     """Random forest; ``bins`` is the number of split candidates per number."""
-    rows, _ = weighted(train, target)
+    rows, _ = weighted(train, target, numeric)
     classifier = RandomForestClassifier(
         featuresCol=FEATURES,
         labelCol=LABEL,

@@ -4,16 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.operators.joins import join_checked
 from strandline.session import keep
 
-ROWS_PER_TASK = 250_000
-MOST_BUCKETS = 10_000  # beyond this many, buckets grow instead; their sort spills to disk
-
 
 def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
     hit = (F.col(label) == F.col(prediction)).cast("int")
@@ -38,33 +33,41 @@ def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return cells.select(F.inline(F.array(*matrix_rows)))
 
 
-def running_counts(
-    df: DataFrame, label: str, score: str, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+def running_counts(df: DataFrame, label: str, score: str, pieces: int | None = None) -> DataFrame:
     """Per distinct score: its positives and negatives, and those at or above it.
 
-    Equal scores are merged first, so a score shared by most rows is one row.
-    The distinct scores are cut at their quantiles into buckets of about
-    ``rows_per_task``; counts run inside each bucket and start from the total of
-    the buckets above. Rows without label or score do not take part.
+    Rows without label or score do not take part, and neither do NaN scores, which
+    have no place in an order; infinite scores do. Equal scores are merged first, so
+    a score shared by most rows is one row. The distinct scores are dealt out by
+    range, into ``pieces`` (default: the session's shuffle partitions), and stored
+    with the number of their range. Counts run inside each range and start from the
+    total of the ranges above. The plan is the same for any number of scores.
     """
-    known = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
-    counts = keep(
-        known.groupBy(F.col(score).cast("double").alias("score")).agg(
-            F.count_if(F.col(label) == 1).alias("pos"),
-            F.count_if(F.col(label) != 1).alias("neg"),
-        )
+    value = F.col(score).cast("double")
+    known = df.where(F.col(label).isNotNull() & value.isNotNull() & ~F.isnan(value))
+    merged = known.groupBy(value.alias("score")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"),
+        F.count_if(F.col(label) != 1).alias("neg"),
+    )
+    dealt = (
+        merged.repartitionByRange(pieces, "score") if pieces else merged.repartitionByRange("score")
+    )
+    counts = keep(dealt.withColumn("piece", F.spark_partition_id()), "scores")
+    sums = counts.groupBy("piece").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    # one row per range, so these windows are as small as the number of partitions
+    whole = Window.partitionBy(F.lit(0))
+    above = whole.orderBy(F.desc("piece")).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(
+        "piece",
+        F.coalesce(F.sum("p").over(above), F.lit(0)).alias("p_above"),
+        F.coalesce(F.sum("n").over(above), F.lit(0)).alias("n_above"),
+        F.sum("p").over(whole).alias("positives"),
+        F.sum("n").over(whole).alias("negatives"),
     )
-    pieces = min(MOST_BUCKETS, math.ceil(counts.count() / rows_per_task))
-    if pieces <= 1:
-        bucketed = counts.withColumns({"bucket": F.lit(0), "p_above": F.lit(0), "n_above": F.lit(0)})
-        bucketed = bucketed.withColumns(_totals("bucket", "pos", "neg"))
-    else:
-        bucketed = _in_buckets(counts, pieces)
-    down = Window.partitionBy("bucket").orderBy(F.desc("score")).rowsBetween(
+    down = Window.partitionBy("piece").orderBy(F.desc("score")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return bucketed.select(
+    return counts.join(F.broadcast(starts), "piece").select(
         "score",
         "pos",
         "neg",
@@ -75,38 +78,12 @@ def running_counts(
     )
 
 
-def _totals(partition: str, pos: str, neg: str) -> dict[str, Column]:
-    whole = Window.partitionBy(partition)
-    return {"positives": F.sum(pos).over(whole), "negatives": F.sum(neg).over(whole)}
-
-
-def _in_buckets(counts: DataFrame, pieces: int) -> DataFrame:
-    """Add ``bucket`` and what lies above each bucket, and the totals of all."""
-    at = [i / pieces for i in range(1, pieces)]
-    inner = sorted(set(counts.approxQuantile("score", at, 0.25 / pieces)))
-    cut = Bucketizer(
-        splits=[-math.inf, *inner, math.inf], inputCol="score", outputCol="bucket"
-    ).transform(counts)
-    sums = cut.groupBy("bucket").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    # one row per bucket, so these windows are small whatever the data
-    above = Window.partitionBy("all").orderBy(F.desc("bucket")).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    starts = sums.withColumn("all", F.lit(0)).select(
-        "bucket",
-        F.coalesce(F.sum("p").over(above), F.lit(0)).alias("p_above"),
-        F.coalesce(F.sum("n").over(above), F.lit(0)).alias("n_above"),
-        *[c.alias(name) for name, c in _totals("all", "p", "n").items()],
-    )
-    return join_checked(cut, keep(starts), "bucket")
-
-
-def roc_auc(df: DataFrame, label: str, score: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, pieces: int | None = None) -> DataFrame:
     """Area under the ROC curve; a tie between the classes counts one half.
 
     Null where one class is missing.
     """
-    points = running_counts(df, label, score, rows_per_task)
+    points = running_counts(df, label, score, pieces)
     # twice the won pairs, as whole numbers: pos * (2 * negatives below + negatives tied)
     below = F.col("negatives") - F.col("fp")
     won = F.col("pos").cast("decimal(18,0)") * (2 * below + F.col("neg")).cast("decimal(19,0)")
@@ -114,9 +91,12 @@ def roc_auc(df: DataFrame, label: str, score: str, rows_per_task: int = ROWS_PER
     return points.agg(F.try_divide(F.sum(won).cast("double"), pairs).alias("roc_auc"))
 
 
-def roc_curve(df: DataFrame, label: str, score: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """(threshold, fpr, tpr) per distinct score, and the origin at threshold infinity."""
-    points = running_counts(df, label, score, rows_per_task).select(
+def roc_curve(df: DataFrame, label: str, score: str, pieces: int | None = None) -> DataFrame:
+    """(threshold, fpr, tpr) per distinct score, and the origin.
+
+    The origin's threshold is infinity, also where a score is infinite itself.
+    """
+    points = running_counts(df, label, score, pieces).select(
         F.col("score").alias("threshold"),
         F.try_divide(F.col("fp").cast("double"), F.col("negatives").cast("double")).alias("fpr"),
         F.try_divide(F.col("tp").cast("double"), F.col("positives").cast("double")).alias("tpr"),

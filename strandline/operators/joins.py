@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from strandline.functions.columns import as_column
 
-BROADCAST_ROWS = 50_000
+BROADCAST_BYTES = 64 << 20
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of a frame's size; for a stored frame it follows from its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def join_checked(
@@ -17,19 +22,16 @@ def join_checked(
     small: DataFrame,
     on: str | Sequence[str],
     how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-    small_rows: int | None = None,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join with a side that is expected to be small, without trusting that.
 
-    Only within ``max_rows`` rows it is broadcast; beyond, the join is left to
-    Spark, which shuffles both sides and splits skewed keys at run time. Unless
-    ``small_rows`` says how many there are, the small side is counted, reading no
-    more than ``max_rows + 1`` of its rows; hand in a stored frame then.
+    Only if the optimizer's estimate for it is within ``max_bytes`` it is broadcast;
+    beyond, the join is left to Spark, which shuffles both sides and splits skewed
+    keys at run time. No job runs to find out. Hand in a frame that is read or
+    stored: behind a filter or a join the estimate may be far too high or too low.
     """
-    if small_rows is None:
-        small_rows = small.limit(max_rows + 1).count()
-    return big.join(F.broadcast(small) if small_rows <= max_rows else small, on, how)
+    return big.join(F.broadcast(small) if planned_bytes(small) <= max_bytes else small, on, how)
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -98,22 +100,18 @@ def expand_children(
 ) -> DataFrame:
     """Each parent row ``n`` times, numbered from 1, its columns carried down.
 
-    ``n`` below 1, or null, counts as 1. A parent with more than ``chunk`` children is first
-    cut into chunks, which are spread over all tasks; the others are expanded
-    where they are, without a shuffle.
+    ``n`` below 1, or null, counts as 1. Children are generated in chunks of
+    ``chunk`` numbers, and the chunks are spread evenly over all tasks first; a
+    parent with a few children is one chunk. The parents are read once, so ``n``
+    may come from an input that is not the same when read again.
     """
     one = F.lit(1).cast("long")
     counted = parents.withColumn("__n", F.greatest(one, as_column(n).cast("long")))
-    usual = counted.where(F.col("__n") <= chunk).withColumn(
-        number, F.explode(F.sequence(one, F.col("__n")))
-    )
     starts = F.sequence(one, F.col("__n"), F.lit(chunk).cast("long"))
     last = F.least(F.col("__n"), F.col("__from") + F.lit(chunk - 1))
-    large = (
-        counted.where(F.col("__n") > chunk)
-        .withColumn("__from", F.explode(starts))
-        .repartition(*[F.col(c) for c in [*parents.columns, "__from"]])
+    return (
+        counted.withColumn("__from", F.explode(starts))
+        .hint("rebalance")
         .withColumn(number, F.explode(F.sequence(F.col("__from"), last)))
-        .drop("__from")
+        .drop("__from", "__n")
     )
-    return usual.unionByName(large).drop("__n")

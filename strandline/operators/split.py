@@ -51,8 +51,8 @@ def _edge(counts: DataFrame) -> DataFrame:
     )
 
 
-def _cutoffs(hashed: DataFrame, fraction: float, leaf_rows: int) -> tuple[DataFrame, int]:
-    """The largest hash of the test part per class, and the number of such classes.
+def _cutoffs(hashed: DataFrame, fraction: float, leaf_rows: int) -> DataFrame:
+    """The largest hash of the test part per class.
 
     Ranking a whole class would put it in one task. Instead rows are counted per
     class and hash prefix; only the prefix in which the wanted count is reached
@@ -70,7 +70,6 @@ def _cutoffs(hashed: DataFrame, fraction: float, leaf_rows: int) -> tuple[DataFr
             hashed.withColumn("__edge", F.substring("__hash", 1, digits)),
             edge.drop("__rows"),
             ["__class", "__edge"],
-            small_rows=classes,
         )
         if classes == 0 or largest <= leaf_rows or digits >= DIGITS:
             break
@@ -81,7 +80,7 @@ def _cutoffs(hashed: DataFrame, fraction: float, leaf_rows: int) -> tuple[DataFr
     fits = F.when(F.col("__through") <= F.col("__target"), F.col("__piece"))
     # where no row of the edge prefix fits, the test part ends just before the prefix
     cut = F.coalesce(F.max(fits), F.max("__edge"))
-    return keep(ranked.groupBy("__class").agg(cut.alias("__cut"))), classes
+    return keep(ranked.groupBy("__class").agg(cut.alias("__cut")))
 
 
 def stratified_split(
@@ -102,9 +101,9 @@ def stratified_split(
     hashed = df.where(F.col(label).isNotNull()).select(
         F.col(label).alias("__class"), position.alias("__hash")
     )
-    cuts, classes = _cutoffs(hashed, fraction, leaf_rows)
-    cuts = cuts.withColumnRenamed("__class", label)
-    marked = join_checked(df, cuts, label, "left", small_rows=classes)
+    # the input is run twice: here, and when its rows are marked
+    cuts = _cutoffs(keep(hashed, "hashes"), fraction, leaf_rows).withColumnRenamed("__class", label)
+    marked = join_checked(df, cuts, label, "left")
     inside = F.coalesce(position <= F.col("__cut"), F.lit(False))
     return marked.select(
         *[F.col(c) for c in df.columns],

@@ -1,6 +1,8 @@
 """Split, weights, encoding, training, scores and metrics.
 
-The metrics have SQL twins on a rule score. What a fitted model gives has none.
+Metrics, report and high-risk rows have SQL twins on a rule score. What a fitted model
+gives is compared by what must hold for it: its features, and the properties of a
+solution, each computed from the rows the model was fitted to or applied to.
 """
 
 from __future__ import annotations
@@ -12,9 +14,8 @@ from pyspark.sql import functions as F
 
 from strandline.functions.columns import flag, rule_score
 from strandline.models.features import FEATURES, encoder_stages, feature_names, feature_stages, one_hot_rows
-from strandline.models.scoring import high_risk, report, score, score_all
-from strandline.models.training import feature_importance, train_forest, train_logistic
-from strandline.operators.aggregates import top_k
+from strandline.models.scoring import high_risk, report, score
+from strandline.models.training import feature_importance, train_forest, train_logistic, weighted
 from strandline.operators.evaluate import accuracy, confusion, roc_auc, roc_curve
 from strandline.operators.split import class_weights, stratified_split
 from strandline.plans.catalogue.inputs import given
@@ -22,7 +23,6 @@ from strandline.session import keep, scratch_path
 from strandline.sources.zones import write_json
 
 TARGET, CATEGORICAL, NUMERIC = "quality", ["lang", "source"], ["n_chars"]
-TREES = 20
 
 
 def split_query(spark: SparkSession, folder: str) -> DataFrame:
@@ -57,17 +57,15 @@ def one_hot(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ONE_HOT = """
-SELECT doc_id, 'lang' AS feature, level, CAST(lang = level AS INTEGER) AS hot
-FROM documents CROSS JOIN (SELECT DISTINCT lang AS level FROM documents)
+SELECT doc_id, 'lang' AS feature, lang AS level FROM documents WHERE lang IS NOT NULL
 UNION ALL
-SELECT doc_id, 'source', level, CAST(source = level AS INTEGER)
-FROM documents CROSS JOIN (SELECT DISTINCT source AS level FROM documents)
+SELECT doc_id, 'source', source FROM documents WHERE source IS NOT NULL
 """
 
 
 def rule_scored(spark: SparkSession, folder: str) -> DataFrame:
-    bonuses = [(F.col("l_quantity") > 40, 0.10), (F.col("l_discount") >= 0.07, 0.08)]
-    rule = rule_score("l_linestatus", {"F": 0.22, "O": 0.12}, bonuses, cap=0.6)
+    bonuses = [(F.col("l_quantity") > 40, 0.125), (F.col("l_discount") >= 0.07, 0.05)]
+    rule = rule_score("l_linestatus", {"F": 0.22, "O": 0.12}, bonuses, cap=0.65)
     value = rule + F.col("l_extendedprice") / F.lit(1000000.0)
     return given(spark, folder, "lineitem").select(
         flag(F.col("l_returnflag") == "R").alias("label"),
@@ -79,9 +77,9 @@ def rule_scored(spark: SparkSession, folder: str) -> DataFrame:
 RULE_SCORED = """
   SELECT label, score, CAST(score >= 0.3 AS INTEGER) AS prediction
   FROM (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS label,
-               LEAST(0.6::DOUBLE, CASE l_linestatus WHEN 'F' THEN 0.22::DOUBLE ELSE 0.12::DOUBLE END
-                 + CASE WHEN l_quantity > 40 THEN 0.10::DOUBLE ELSE 0.0::DOUBLE END
-                 + CASE WHEN l_discount >= 0.07 THEN 0.08::DOUBLE ELSE 0.0::DOUBLE END)
+               LEAST(0.65::DOUBLE, CASE l_linestatus WHEN 'F' THEN 0.22::DOUBLE ELSE 0.12::DOUBLE END
+                 + CASE WHEN l_quantity > 40 THEN 0.125::DOUBLE ELSE 0.0::DOUBLE END
+                 + CASE WHEN l_discount >= 0.07 THEN 0.05::DOUBLE ELSE 0.0::DOUBLE END)
                + l_extendedprice / 1000000.0::DOUBLE AS score
         FROM lineitem)
 """
@@ -134,6 +132,67 @@ FROM ({RUNNING})
 """
 
 
+# --- report and high-risk rows of the rule score ---
+
+
+def metrics_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The report of two rules, stored as JSON and read back, in flat columns."""
+    lines = given(spark, folder, "lineitem")
+    rows = rule_scored(spark, folder).select(
+        "label",
+        F.col("score").alias("lr_score"),
+        F.col("prediction").alias("lr_prediction"),
+        (F.col("score") * -1).alias("rf_score"),
+        (F.col("score") < 0.25).cast("int").alias("rf_prediction"),
+    )
+    stored = keep(rows, "predictions")
+    importance = lines.groupBy(F.col("l_shipdate").cast("date").cast("string").alias("feature")).agg(
+        F.count(F.lit(1)).cast("double").alias("importance")
+    )
+    out = report(stored, stored, "label", "lr", "rf", importance)
+    path = scratch_path(spark, "report")
+    write_json(out, path)
+    document = spark.read.schema(out.schema).json(path)
+    matrix = [F.col("confusion_matrix_rf")[i][j].alias(f"matrix_{i}{j}") for i in (0, 1) for j in (0, 1)]
+    top = F.transform("top_features", lambda x: F.concat_ws(":", x["feature"], x["importance"].cast("long")))
+    return document.select(
+        *[F.col(f"{m}.{x}").alias(f"{m}_{x}") for m in ("logistic_regression", "random_forest") for x in ("accuracy", "roc_auc")],
+        *matrix,
+        "test_size",
+        "scored_size",
+        "positive_rate",
+        F.concat_ws(" ", top).alias("top_features"),
+    )
+
+
+METRICS_REPORT = f"""
+WITH scored AS ({RULE_SCORED}), points AS ({RUNNING}),
+area AS (SELECT CAST(SUM(pos * (2 * (negatives - fp) + neg)) AS DOUBLE)
+         / (2.0::DOUBLE * CAST(MAX(positives) AS DOUBLE) * CAST(MAX(negatives) AS DOUBLE)) AS auc FROM points),
+best AS (SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS feature, COUNT(*) AS importance
+         FROM lineitem GROUP BY 1 ORDER BY importance DESC, feature LIMIT 6)
+SELECT ROUND(AVG(CAST(label = prediction AS INTEGER)), 3) AS logistic_regression_accuracy,
+       ROUND((SELECT auc FROM area), 3) AS logistic_regression_roc_auc,
+       ROUND(AVG(CAST(label = CAST(score < 0.25 AS INTEGER) AS INTEGER)), 3) AS random_forest_accuracy,
+       ROUND(1 - (SELECT auc FROM area), 3) AS random_forest_roc_auc,
+       COUNT(*) FILTER (label = 0 AND NOT score < 0.25) AS matrix_00,
+       COUNT(*) FILTER (label = 0 AND score < 0.25) AS matrix_01,
+       COUNT(*) FILTER (label = 1 AND NOT score < 0.25) AS matrix_10,
+       COUNT(*) FILTER (label = 1 AND score < 0.25) AS matrix_11,
+       COUNT(*) AS test_size, COUNT(*) AS scored_size, ROUND(AVG(label), 3) AS positive_rate,
+       (SELECT string_agg(feature || ':' || importance, ' ' ORDER BY importance DESC, feature DESC) FROM best)
+       AS top_features
+FROM scored
+"""
+
+
+def high_risk_query(spark: SparkSession, folder: str) -> DataFrame:
+    return high_risk(rule_scored(spark, folder), scratch_path(spark, "high_risk"), 0.3)
+
+
+HIGH_RISK = f"SELECT * FROM ({RULE_SCORED}) WHERE score >= 0.3"
+
+
 # --- fitted models: documents with a quality label ---
 
 
@@ -143,6 +202,20 @@ def model_input(spark: SparkSession, folder: str) -> DataFrame:
     return documents.join(labels, "doc_id")
 
 
+MODEL_SPLIT = f"""
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY quality ORDER BY md5('42|' || CAST(doc_id AS VARCHAR)))
+         <= floor(COUNT(*) OVER (PARTITION BY quality) * 0.25::DOUBLE + 0.5) AS is_test
+  FROM (SELECT doc_id, lang, source, n_chars, quality FROM documents JOIN labels USING (doc_id))
+"""
+
+# the slots of the feature vector of what the model was fitted to
+SLOTS = f"""
+  SELECT DISTINCT 'lang_' || lang AS feature FROM ({MODEL_SPLIT}) WHERE NOT is_test
+  UNION SELECT DISTINCT 'source_' || source FROM ({MODEL_SPLIT}) WHERE NOT is_test
+  UNION SELECT 'n_chars'
+"""
+
+
 def split_input(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Train and test rows, stored once as the fits read them many times."""
     stored = keep(stratified_split(model_input(spark, folder), TARGET, ["doc_id"]), "split")
@@ -150,7 +223,7 @@ def split_input(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
 
 
 def features_query(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows (doc_id, slot, feature, value) of the non-zero slots of the feature vectors."""
+    """Rows (doc_id, feature, value) of the non-zero slots of the feature vectors."""
     rows = model_input(spark, folder)
     model = Pipeline(stages=feature_stages(CATEGORICAL, NUMERIC)).fit(rows)
     names = F.array(*[F.lit(n) for n in feature_names(model, NUMERIC)])
@@ -159,55 +232,107 @@ def features_query(spark: SparkSession, folder: str) -> DataFrame:
     return model.transform(rows).select("doc_id", F.inline(filled))
 
 
+FEATURE_ROWS = """
+WITH rows AS (SELECT doc_id, lang, source, n_chars FROM documents JOIN labels USING (doc_id))
+SELECT doc_id, 'lang_' || lang AS feature, 1.0::DOUBLE AS value FROM rows
+UNION ALL SELECT doc_id, 'source_' || source, 1.0::DOUBLE FROM rows
+UNION ALL SELECT doc_id, 'n_chars', CAST(n_chars AS DOUBLE) FROM rows WHERE n_chars <> 0
+"""
+
+
 def train_lr(spark: SparkSession, folder: str) -> DataFrame:
-    """The coefficients, and the intercept under its name."""
+    """Per coefficient whether the objective's slope is zero there, as it is at the solution.
+
+    The slope is taken in one pass over the rows the model was fitted to, relative to what a
+    change of all residuals would give.
+    """
     train, _ = split_input(spark, folder)
     model = train_logistic(train, TARGET, CATEGORICAL, NUMERIC)
-    fitted = model.stages[-1]
-    pairs = list(zip(feature_names(model, NUMERIC), fitted.coefficients.toArray().tolist()))
-    pairs.append(("intercept", float(fitted.intercept)))
-    return spark.createDataFrame(pairs, "feature string, coefficient double")
+    fitted, names = model.stages[-1], feature_names(model, NUMERIC)
+    rows, n = weighted(train, TARGET, NUMERIC)
+    x = vector_to_array(FEATURES)
+    residual = F.col("class_weight") * (vector_to_array("probability")[1] - F.col("label"))
+    scored = model.transform(rows).select(x.alias("x"), residual.alias("r"), "class_weight")
+    sums = scored.agg(
+        *[F.sum(F.col("r") * F.col("x")[i]).alias(f"g{i}") for i in range(len(names))],
+        *[F.sum(F.col("class_weight") * F.abs(F.col("x")[i])).alias(f"s{i}") for i in range(len(names))],
+        F.sum("r").alias("g_intercept"),
+        F.sum("class_weight").alias("s_intercept"),
+    )
+    pairs = [
+        F.struct(
+            F.lit(name).alias("feature"),
+            # the penalty of half the squared coefficients
+            (F.abs(F.col(f"g{i}") + float(beta)) <= SLOPE * F.col(f"s{i}")).alias("settled"),
+        )
+        for i, (name, beta) in enumerate(zip(names, fitted.coefficients.toArray()))
+    ]
+    pairs.append(
+        F.struct(
+            F.lit("intercept").alias("feature"),
+            (F.abs("g_intercept") <= SLOPE * F.col("s_intercept")).alias("settled"),
+        )
+    )
+    return sums.select(F.inline(F.array(*pairs)))
+
+
+SLOPE = 1e-3
+TRAIN_LR = f"SELECT feature, TRUE AS settled FROM ({SLOTS}) UNION ALL SELECT 'intercept', TRUE"
 
 
 def forest(spark: SparkSession, folder: str):
     train, test = split_input(spark, folder)
-    return train_forest(train, TARGET, CATEGORICAL, NUMERIC, trees=TREES), test
+    return train_forest(train, TARGET, CATEGORICAL, NUMERIC), test
 
 
 def train_rf(spark: SparkSession, folder: str) -> DataFrame:
-    """Predictions of the forest on the test rows, counted per label."""
+    """Test rows per label as the forest's confusion matrix counts them, and its number of trees."""
     model, test = forest(spark, folder)
-    return confusion(score(model, test), TARGET, "prediction")
+    matrix = confusion(score(model, test), TARGET, "prediction")
+    return matrix.select(
+        "label",
+        (F.col("predicted_0") + F.col("predicted_1")).alias("tested"),
+        F.lit(model.stages[-1].getNumTrees).alias("trees"),
+    )
+
+
+TRAIN_RF = f"""
+SELECT quality AS label, COUNT(*) AS tested, 300 AS trees FROM ({MODEL_SPLIT}) WHERE is_test GROUP BY quality
+"""
 
 
 def score_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Test rows, and whether score and prediction are what the coefficients say."""
     train, test = split_input(spark, folder)
     model = train_logistic(train, TARGET, CATEGORICAL, NUMERIC)
-    return score(model, test)
+    fitted, names = model.stages[-1], feature_names(model, NUMERIC)
+    beta = dict(zip(names, fitted.coefficients.toArray().tolist()))
+
+    def part(c: str):
+        known = [x for name, b in beta.items() if name.startswith(f"{c}_") for x in (F.lit(name), F.lit(b))]
+        return F.coalesce(F.element_at(F.create_map(*known), F.concat(F.lit(f"{c}_"), c)), F.lit(0.0))
+
+    margin = part("lang") + part("source") + F.col("n_chars") * beta["n_chars"] + float(fitted.intercept)
+    expected = 1 / (1 + F.exp(-margin))
+    return score(model, test).select(
+        "doc_id",
+        (F.abs(F.col("score") - expected) < 1e-9).alias("score_agrees"),
+        (F.col("prediction") == (expected > 0.5).cast("int")).alias("prediction_agrees"),
+    )
 
 
-def importance_query(spark: SparkSession, folder: str) -> DataFrame:
-    model, test = forest(spark, folder)
-    return top_k(feature_importance(model, NUMERIC, test), "importance", 12, ["feature"])
+SCORE = f"SELECT doc_id, TRUE AS score_agrees, TRUE AS prediction_agrees FROM ({MODEL_SPLIT}) WHERE is_test"
 
 
-def metrics_report(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = split_input(spark, folder)
-    models = {
-        "lr": train_logistic(train, TARGET, CATEGORICAL, NUMERIC),
-        "rf": train_forest(train, TARGET, CATEGORICAL, NUMERIC, trees=TREES),
-    }
-    scored = score_all(models, test, scratch_path(spark, "predictions"))
-    everything = model_input(spark, folder)
-    out = report(scored, everything, TARGET, "lr", "rf", models["rf"], NUMERIC)
-    path = scratch_path(spark, "report")
-    write_json(out, path)
-    return spark.read.schema(out.schema).json(path)
+def importance_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Per slot whether it has an importance within [0, 1], and the sum over all slots."""
+    model, test = forest(spark, folder)
+    ranked = feature_importance(model, NUMERIC, test)
+    whole = ranked.agg(F.round(F.sum("importance"), 9)).scalar()
+    return ranked.select("feature", F.col("importance").between(0, 1).alias("in_range"), whole.alias("total"))
 
 
-def high_risk_query(spark: SparkSession, folder: str) -> DataFrame:
-    model, test = forest(spark, folder)
-    return high_risk(model, test, scratch_path(spark, "high_risk"))
+IMPORTANCE = f"SELECT feature, TRUE AS in_range, 1.0::DOUBLE AS total FROM ({SLOTS})"
 
 
 ENTRIES = {
@@ -218,11 +343,11 @@ ENTRIES = {
     "confusion": (confusion_query, CONFUSION),
     "roc_auc": (auc_query, ROC_AUC),
     "roc_curve": (curve_query, ROC_CURVE),
-    "features": (features_query, None),
-    "train_lr": (train_lr, None),
-    "train_rf": (train_rf, None),
-    "score": (score_query, None),
-    "feature_importance": (importance_query, None),
-    "metrics_report": (metrics_report, None),
-    "high_risk": (high_risk_query, None),
+    "features": (features_query, FEATURE_ROWS),
+    "train_lr": (train_lr, TRAIN_LR),
+    "train_rf": (train_rf, TRAIN_RF),
+    "score": (score_query, SCORE),
+    "feature_importance": (importance_query, IMPORTANCE),
+    "metrics_report": (metrics_report, METRICS_REPORT),
+    "high_risk": (high_risk_query, HIGH_RISK),
 }

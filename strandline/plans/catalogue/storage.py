@@ -37,19 +37,49 @@ def scan_csv_query(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "scan_csv")
     write_csv(given(spark, folder, "events").withColumn("ts", ts_text("ts")), path)
     schema = "event_id long, ts string, user_id long, event_type string, value double, props string"
-    return scan_csv(spark, path, schema)
+    events = scan_csv(spark, path, schema)
+    turns = _odd_texts(given(spark, folder, "conversations"))
+    texts = scratch_path(spark, "scan_csv_texts")
+    write_csv(turns, texts, multiline=True)
+    return events.unionByName(
+        scan_csv(spark, texts, turns.schema, multiline=True).select(
+            F.col("conv_id").alias("event_id"),
+            F.col("role").alias("ts"),
+            F.col("turn").cast("long").alias("user_id"),
+            F.lit("turn").alias("event_type"),
+            F.lit(None).cast("double").alias("value"),
+            F.col("text").alias("props"),
+        )
+    )
+
+
+def _odd_texts(turns: DataFrame) -> DataFrame:
+    """Texts with quotes, commas, backslashes, line breaks, and empty and missing ones."""
+    number = F.col("turn") + F.col("conv_id")
+    odd = (
+        F.when(number % 7 == 0, "")
+        .when(number % 7 == 1, None)
+        .when(number % 7 == 2, F.concat(F.lit('"say ""hi"", ok",\\\n'), "text"))
+        .otherwise(F.concat("text", F.lit('\n"')))
+    )
+    return turns.withColumn("text", odd)
 
 
 SCAN_CSV = """
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, value, props
 FROM events
+UNION ALL
+SELECT conv_id, role, turn, 'turn', NULL,
+       CASE (turn + conv_id) % 7 WHEN 0 THEN '' WHEN 1 THEN NULL
+            WHEN 2 THEN '"say ""hi"", ok",\\' || chr(10) || text ELSE text || chr(10) || '"' END
+FROM conversations
 """
 
 
 def register_zone_query(spark: SparkSession, folder: str) -> DataFrame:
     zone = scratch_path(spark, "zone")
-    events = given(spark, folder, "events").select("event_type", "value", ts_text("ts").alias("day"))
-    orders = given(spark, folder, "orders").select("o_orderpriority", "o_totalprice")
+    events = given(spark, folder, "events").withColumn("ts", ts_text("ts"))
+    orders = given(spark, folder, "orders").withColumn("o_orderdate", ts_text("o_orderdate"))
     write_csv(events, table_path(zone, "zone_events"))
     write_csv(orders, table_path(zone, "zone_orders"))
     columns = register_zone(spark, zone, "csv")
@@ -64,9 +94,12 @@ def register_zone_query(spark: SparkSession, folder: str) -> DataFrame:
 
 REGISTER_ZONE = """
 SELECT table_name, column_name, data_type, CAST(position AS INTEGER) AS position, table_rows
-FROM (VALUES ('zone_events', 'event_type', 'string', 0), ('zone_events', 'value', 'double', 1),
-             ('zone_events', 'day', 'timestamp', 2), ('zone_orders', 'o_orderpriority', 'string', 0),
-             ('zone_orders', 'o_totalprice', 'double', 1))
+FROM (VALUES ('zone_events', 'event_id', 'int', 0), ('zone_events', 'ts', 'timestamp', 1),
+             ('zone_events', 'user_id', 'int', 2), ('zone_events', 'event_type', 'string', 3),
+             ('zone_events', 'value', 'double', 4), ('zone_events', 'props', 'string', 5),
+             ('zone_orders', 'o_orderkey', 'int', 0), ('zone_orders', 'o_custkey', 'int', 1),
+             ('zone_orders', 'o_orderstatus', 'string', 2), ('zone_orders', 'o_totalprice', 'double', 3),
+             ('zone_orders', 'o_orderdate', 'timestamp', 4), ('zone_orders', 'o_orderpriority', 'string', 5))
      AS c(table_name, column_name, data_type, position)
 JOIN (SELECT 'zone_events' AS table_name, COUNT(*) AS table_rows FROM events
       UNION ALL SELECT 'zone_orders', COUNT(*) FROM orders) AS n USING (table_name)
@@ -82,14 +115,36 @@ def sink_parquet_query(spark: SparkSession, folder: str) -> DataFrame:
 def sink_partitioned_query(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "sink_partitioned")
     write_parquet(given(spark, folder, "events"), path, ["event_type"])
-    return spark.read.parquet(path).select("event_id", "ts", "user_id", "event_type", "value")
+    return spark.read.parquet(path)
 
 
 def sink_csv_query(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "sink_csv")
-    orders = given(spark, folder, "orders").drop("o_orderdate")
+    orders = given(spark, folder, "orders")
     write_csv(orders, path)
-    return scan_csv(spark, path, orders.schema)
+    texts = _odd_texts(given(spark, folder, "documents").withColumns({"turn": F.lit(3), "conv_id": F.col("doc_id")}))
+    path_of_texts = scratch_path(spark, "sink_csv_texts")
+    write_csv(texts, path_of_texts, multiline=True)
+    back = scan_csv(spark, path_of_texts, texts.schema, multiline=True)
+    return scan_csv(spark, path, orders.schema).unionByName(
+        back.select(
+            F.col("doc_id").alias("o_orderkey"),
+            F.col("n_chars").alias("o_custkey"),
+            F.col("lang").alias("o_orderstatus"),
+            F.lit(None).cast("double").alias("o_totalprice"),
+            F.lit(None).cast("timestamp_ntz").alias("o_orderdate"),
+            F.md5("text").alias("o_orderpriority"),
+        )
+    )
+
+
+SINK_CSV = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders
+UNION ALL
+SELECT doc_id, n_chars, lang, NULL, NULL, md5(CASE (3 + doc_id) % 7 WHEN 0 THEN '' WHEN 1 THEN NULL
+       WHEN 2 THEN '"say ""hi"", ok",\\' || chr(10) || text ELSE text || chr(10) || '"' END)
+FROM documents
+"""
 
 
 def sql_text_query(spark: SparkSession, folder: str) -> DataFrame:
@@ -124,19 +179,32 @@ def stream_ingest_query(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _arrivals(spark: SparkSession, folder: str) -> list[str]:
+    """The text snapshots as CSV files of two sources."""
+    rows = text_snapshots(spark, folder)
+    first = F.pmod(F.crc32("event_type"), F.lit(2)) == 0
+    paths = []
+    for part in (rows.where(first), rows.where(~first)):
+        paths.append(scratch_path(spark, "arrived"))
+        write_csv(part, paths[-1])
+    return paths
+
+
 def _ingested(spark: SparkSession, folder: str) -> str:
-    """Let the text snapshots arrive as CSV files and take them into Bronze."""
-    arrived, bronze = scratch_path(spark, "arrived"), scratch_path(spark, "bronze")
-    write_csv(text_snapshots(spark, folder), arrived)
-    stream = arriving(spark, arrived, SNAPSHOTS)
-    ingest(stream, bronze, scratch_path(spark, "ingest-state")).awaitTermination()
+    """Take the files of both sources into one Bronze table, each with its own checkpoint."""
+    bronze = scratch_path(spark, "bronze")
+    for arrived in _arrivals(spark, folder):
+        stream = arriving(spark, arrived, SNAPSHOTS)
+        ingest(stream, bronze, scratch_path(spark, "ingest-state")).awaitTermination()
     return bronze
 
 
 def stream_silver_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Two streams into one Silver table: one over all of Bronze, then one source once more."""
     silver = scratch_path(spark, "silver")
-    stream = arriving(spark, _ingested(spark, folder), SNAPSHOTS)
-    silver_exact(stream, SNAPSHOTS, silver, scratch_path(spark, "silver-state")).awaitTermination()
+    for path in (_ingested(spark, folder), _arrivals(spark, folder)[1]):
+        stream = arriving(spark, path, SNAPSHOTS)
+        silver_exact(stream, SNAPSHOTS, silver, scratch_path(spark, "silver-state")).awaitTermination()
     return without_zone(read_silver_stream(spark, SNAPSHOTS, silver))
 
 
@@ -158,14 +226,8 @@ ENTRIES = {
     "scan_csv": (scan_csv_query, SCAN_CSV),
     "register_zone": (register_zone_query, REGISTER_ZONE),
     "sink_parquet": (sink_parquet_query, "SELECT * FROM lineitem"),
-    "sink_partitioned": (
-        sink_partitioned_query,
-        "SELECT event_id, ts, user_id, event_type, value FROM events",
-    ),
-    "sink_csv": (
-        sink_csv_query,
-        "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
-    ),
+    "sink_partitioned": (sink_partitioned_query, "SELECT * FROM events"),
+    "sink_csv": (sink_csv_query, SINK_CSV),
     "sql_text": (sql_text_query, SQL_TEXT),
     "stream_ingest": (stream_ingest_query, STREAM_INGEST),
     "stream_silver": (stream_silver_query, STREAM_SILVER),

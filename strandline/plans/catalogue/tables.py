@@ -26,7 +26,7 @@ from strandline.plans.catalogue.inputs import (
     without_zone,
 )
 from strandline.plans.hospital import medallion_run
-from strandline.schemas import AGE_BANDS, AGE_REST
+from strandline.schemas import AGE_BANDS, AGE_REST, VITALS
 from strandline.session import scratch_path
 from strandline.sources.zones import read_curated, table_path, write_csv, write_parquet
 
@@ -88,7 +88,8 @@ FROM events GROUP BY event_type ORDER BY avg_value_pct DESC, event_type
 def _flagged_lines(spark: SparkSession, folder: str) -> DataFrame:
     lines = given(spark, folder, "lineitem")
     return lines.select(
-        "l_linestatus", "l_quantity", flag(F.col("l_returnflag") == "R").alias("returned")
+        # with fractions, so that values lie between the whole bounds as well
+        "l_linestatus", (F.col("l_quantity") + F.col("l_discount") * 10).alias("l_quantity"), flag(F.col("l_returnflag") == "R").alias("returned")
     )
 
 
@@ -105,11 +106,11 @@ def band_rate_marginal(spark: SparkSession, folder: str) -> DataFrame:
 
 def _band_sql(dims: str) -> str:
     return f"""
-SELECT {dims} CASE WHEN l_quantity <= 17 THEN '0-17' WHEN l_quantity <= 40 THEN '18-40'
-            WHEN l_quantity <= 65 THEN '41-65' ELSE '65+' END AS band,
+SELECT {dims} CASE WHEN q < 18 THEN '0-17' WHEN q <= 40 THEN '18-40'
+            WHEN q <= 65 THEN '41-65' ELSE '65+' END AS band,
        COUNT(*) AS total, CAST(SUM(CAST(l_returnflag = 'R' AS INTEGER)) AS BIGINT) AS positives,
        ROUND(AVG(CAST(l_returnflag = 'R' AS INTEGER)) * 100, 1) AS rate_pct
-FROM lineitem GROUP BY ALL
+FROM (SELECT *, l_quantity + l_discount * 10 AS q FROM lineitem) GROUP BY ALL
 """
 
 
@@ -155,7 +156,7 @@ FROM events GROUP BY 1 ORDER BY 1
 def medallion_query(spark: SparkSession, folder: str) -> DataFrame:
     """The whole batch, fed with the given tables in the shape of the hospital tables.
 
-    Returns the rows of the three Gold tables below one another.
+    Returns the rows of the three Gold tables, and of Silver vitals, below one another.
     """
     base = scratch_path(spark, "medallion")
     bronze, silver, gold = (f"{base}/{zone}" for zone in ("bronze", "silver", "gold"))
@@ -221,7 +222,16 @@ def medallion_query(spark: SparkSession, folder: str) -> DataFrame:
         F.col("avg_wait_min").alias("metric_2"),
         F.col("total_waiting").alias("metric_3"),
     )
-    return kpis.unionByName(ages).unionByName(days)
+    vitals = read_curated(spark, silver, VITALS)
+    readings = vitals.select(
+        F.lit("silver_vitals").alias("gold_table"),
+        F.concat_ws("|", "patient_id", "device_id", F.date_format("reading_ts", "yyyy-MM-dd HH:mm:ss")).alias("key_1"),
+        F.concat_ws("|", "department", "bp_systolic", "bp_diastolic").alias("key_2"),
+        F.col("heart_rate").alias("metric_1"),
+        (F.col("spo2") + F.col("temperature")).alias("metric_2"),
+        F.col("bp_systolic").cast("long").alias("metric_3"),
+    )
+    return kpis.unionByName(ages).unionByName(days).unionByName(readings)
 
 
 MEDALLION = """
@@ -231,7 +241,7 @@ WITH ops AS (
   FROM events),
 ages AS (
   SELECT o_orderpriority AS department, CAST(o_orderstatus = 'F' AS INTEGER) AS readmitted,
-         CASE WHEN floor(o_totalprice / 5000) <= 17 THEN '0-17'
+         CASE WHEN floor(o_totalprice / 5000) < 18 THEN '0-17'
               WHEN floor(o_totalprice / 5000) <= 40 THEN '18-40'
               WHEN floor(o_totalprice / 5000) <= 65 THEN '41-65' ELSE '65+' END AS age_group
   FROM orders)
@@ -247,6 +257,12 @@ UNION ALL
 SELECT 'daily_trend', strftime(snapshot_ts, '%Y-%m-%d'), '', ROUND(AVG(occupancy_rate) * 100, 1),
        ROUND(AVG(avg_wait_minutes), 1), CAST(SUM(patients_waiting) AS BIGINT)
 FROM ops GROUP BY strftime(snapshot_ts, '%Y-%m-%d')
+UNION ALL
+SELECT 'silver_vitals', key_1, key_2, heart_rate, spo2 + temperature, bp
+FROM (SELECT DISTINCT concat_ws('|', l_orderkey, l_suppkey, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')) AS key_1,
+             concat_ws('|', l_linestatus, l_linenumber, l_linenumber) AS key_2, l_quantity AS heart_rate,
+             l_discount AS spo2, l_tax AS temperature, CAST(l_linenumber AS BIGINT) AS bp
+      FROM lineitem)
 """
 
 ENTRIES = {

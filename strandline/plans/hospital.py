@@ -7,14 +7,18 @@ the dashboard queries and work on any frame with the columns they use.
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from strandline.operators.aggregates import avg_of, band_rate, daily_trend, kpi_by_dim, max_of, sum_of
 from strandline.operators.clean import clean
 from strandline.operators.joins import join_kpi
-from strandline.schemas import AGE_BANDS, AGE_REST, HOSPITAL, OPERATIONS, PATIENTS
-from strandline.session import build_session, size_for
+from strandline.schemas import AGE_BANDS, AGE_REST, HOSPITAL, OPERATIONS, PATIENTS, Table
+from strandline.session import build_session, sized_for
 from strandline.sources.zones import read_bronze, read_curated, table_path, write_parquet
 
 
@@ -74,11 +78,14 @@ def load_trend(operations: DataFrame, ts: str = "snapshot_ts", day: str = "day")
 
 
 def silver(spark: SparkSession, bronze_zone: str, silver_zone: str) -> None:
-    """Clean every Bronze table and replace its Silver table."""
-    for table in HOSPITAL.values():
+    """Clean every Bronze table and replace its Silver table, all at the same time."""
+
+    def write(table: Table) -> None:
         rows = clean(read_bronze(spark, bronze_zone, table), table)
         write_parquet(rows, table_path(silver_zone, table.name), table.partition_by)
 
+    at_once(spark, write, list(HOSPITAL.values()))
+
 
 def gold(spark: SparkSession, silver_zone: str, gold_zone: str) -> None:
     """Build the Gold tables from the stored Silver tables.
@@ -93,15 +100,21 @@ def gold(spark: SparkSession, silver_zone: str, gold_zone: str) -> None:
         "readmission_by_age": readmission_by_age(patients, ordered=False),
         "daily_trend": load_trend(operations, "snapshot_date", "snapshot_date"),
     }
-    for name, df in tables.items():
-        write_parquet(df, table_path(gold_zone, name))
+    at_once(spark, lambda name: write_parquet(tables[name], table_path(gold_zone, name)), list(tables))
+
+
+def at_once(spark: SparkSession, work: Callable[[Any], None], items: list) -> None:
+    """Run independent writes from several threads, so that one's tail is filled by the others."""
+    with ThreadPoolExecutor(len(items)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(work), item) for item in items]:
+            done.result()
 
 
 def medallion_run(spark: SparkSession, bronze_zone: str, silver_zone: str, gold_zone: str) -> None:
     """Bronze to Silver to Gold. Running it again replaces all six tables."""
-    size_for(spark, bronze_zone)
-    silver(spark, bronze_zone, silver_zone)
-    gold(spark, silver_zone, gold_zone)
+    with sized_for(spark, bronze_zone):
+        silver(spark, bronze_zone, silver_zone)
+        gold(spark, silver_zone, gold_zone)
 
 
 def main(argv: list[str] | None = None) -> None:

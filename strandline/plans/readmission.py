@@ -6,13 +6,13 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.models.scoring import high_risk, report, score_all
+from strandline.models.scoring import high_risk, report, score, score_all
 from strandline.models.training import feature_importance, train_forest, train_logistic
 from strandline.operators.aggregates import top_k
 from strandline.operators.evaluate import roc_curve
 from strandline.operators.split import stratified_split
 from strandline.schemas import PATIENTS
-from strandline.session import build_session, keep, size_for
+from strandline.session import build_session, keep, sized_for
 from strandline.sources.zones import read_curated, table_path, write_json, write_parquet
 
 # The target and the inputs of the model.
@@ -33,9 +33,17 @@ def readmission_run(
 
     Writes below ``out``: ``predictions`` (test rows with both scores), ``report``
     (JSON), ``top_features``, ``roc_logistic``, ``roc_forest``, and ``high_risk``
-    (all patients whose forest score reaches the threshold). Returns the report.
+    (all patients whose forest score reaches the threshold). Patients whose age or stay
+    is missing take no part in the fits; they are listed without a score. Returns the
+    report.
     """
-    size_for(spark, table_path(silver_zone, PATIENTS.name))
+    with sized_for(spark, table_path(silver_zone, PATIENTS.name)):
+        return _fit_and_report(spark, silver_zone, out, trees, depth, threshold)
+
+
+def _fit_and_report(
+    spark: SparkSession, silver_zone: str, out: str, trees: int, depth: int, threshold: float
+) -> DataFrame:
     patients = read_curated(spark, silver_zone, PATIENTS)
     columns = ["patient_id", *CATEGORICAL, *NUMERIC, TARGET]
     marked = keep(stratified_split(patients.select(*columns), TARGET), "split")
@@ -45,13 +53,13 @@ def readmission_run(
 
     models = {"logistic": logistic, "forest": forest}
     scored = score_all(models, test, f"{out}/predictions")
-    document = report(scored, patients, TARGET, "logistic", "forest", forest, NUMERIC)
+    importance = feature_importance(forest, NUMERIC, scored)
+    document = report(scored, patients, TARGET, "logistic", "forest", importance)
     write_json(document, f"{out}/report")
-    ranked = top_k(feature_importance(forest, NUMERIC, scored), "importance", 12, ["feature"])
-    write_parquet(ranked, f"{out}/top_features")
+    write_parquet(top_k(importance, "importance", 12, ["feature"]), f"{out}/top_features")
     for name in models:
         write_parquet(roc_curve(scored, TARGET, f"{name}_score"), f"{out}/roc_{name}")
-    high_risk(forest, patients, f"{out}/high_risk", threshold)
+    high_risk(score(forest, patients), f"{out}/high_risk", threshold)
     return spark.read.schema(document.schema).json(f"{out}/report")
 
 

@@ -23,13 +23,21 @@ SILVER_TYPES = {
 TS_PATTERN = "yyyy-MM-dd HH:mm:ss"
 
 
+@dataclass(frozen=True)
+class below:
+    """An upper bound that does not belong to its band itself."""
+
+    bound: float
+
+
 @dataclass(frozen=True)
 class Table:
     """``columns`` maps a column to its kind, in file order.
 
     ``required`` columns must not be null in Silver; ``day_of`` maps a derived
     date column to the timestamp it is taken from; ``partition_by`` names the
-    Silver partition columns; ``time`` is the event time of a stream.
+    Silver partition columns; ``time`` is the event time of a stream. ``multiline``
+    tables may hold line breaks in quoted text; their files are not split for reading.
     """
 
     name: str
@@ -38,6 +46,7 @@ class Table:
     day_of: dict[str, str] = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
     time: str | None = None
+    multiline: bool = False
 
     @property
     def bronze_schema(self) -> T.StructType:
@@ -104,7 +113,8 @@ OPERATIONS = Table(
 
 HOSPITAL = {t.name: t for t in (PATIENTS, VITALS, OPERATIONS)}
 
-# Upper bounds and labels of the age groups. The last label takes
-# everything above the last bound, and missing ages.
-AGE_BANDS = ((17, "0-17"), (40, "18-40"), (65, "41-65"))
+# Upper bounds and labels of the age groups. The first group ends before
+# its bound, the next two with theirs. The last label takes everything above the last
+# bound, and missing ages.
+AGE_BANDS = ((below(18), "0-17"), (40, "18-40"), (65, "41-65"))
 AGE_REST = "65+"

@@ -6,6 +6,8 @@ import gc
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 def build_session(app: str = "strandline", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the jobs rely on.
 
-    ``size_for`` fits the partition counts to an input; adaptive execution merges
-    small partitions and splits skewed ones.
+    ``sized_for`` fits the partition counts to an input while a job runs; adaptive
+    execution merges small partitions and splits skewed ones.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -34,30 +36,41 @@ def build_session(app: str = "strandline", master: str | None = None, **conf) ->
 
 
 MOST_SCAN_TASKS = 100_000
-SHUFFLE_BYTES = 1 << 30
+SHUFFLE_BYTES = 256 << 20
 
 
-def size_for(spark: SparkSession, *paths: str) -> None:
-    """Fit scan splits and shuffle partitions to the size of the input.
+@contextmanager
+def sized_for(spark: SparkSession, *paths: str) -> Iterator[None]:
+    """Fit scan splits and shuffle partitions to the size of the input, inside the block.
 
-    The input is split into at most ``MOST_SCAN_TASKS`` tasks, and a shuffle that
-    moves all of it gets one partition per ``SHUFFLE_BYTES``: for 100 TB about
-    100,000 of each, few enough for the driver to track. Rebalanced writes aim at
-    files of the same size. Settings are raised only, never lowered; adaptive
-    execution merges partitions that turn out small.
+    The input is split into at most ``MOST_SCAN_TASKS`` tasks, few enough for the driver
+    to track, and a shuffle that moves all of it gets one partition per ``SHUFFLE_BYTES``
+    of stored input. Settings are raised only; adaptive execution merges partitions that
+    turn out small. Afterwards the session has the settings it had before, so the
+    block must run its actions itself.
     """
     total = sum(_bytes_below(spark, p) for p in paths)
     in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
     split = total // MOST_SCAN_TASKS
-    for key in (
-        "spark.sql.files.maxPartitionBytes",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
-    ):
-        if split > in_bytes(spark.conf.get(key)):
-            spark.conf.set(key, str(split))
+    raised = {
+        key: str(split)
+        for key in (
+            "spark.sql.files.maxPartitionBytes",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+        )
+        if split > in_bytes(spark.conf.get(key))
+    }
     wanted = total // SHUFFLE_BYTES
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+        raised["spark.sql.shuffle.partitions"] = str(wanted)
+    before = {key: spark.conf.get(key) for key in raised}
+    try:
+        for key, value in raised.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def _bytes_below(spark: SparkSession, path: str) -> int:

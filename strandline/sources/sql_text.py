@@ -2,34 +2,54 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strandline.functions.columns import PERCENT_FIELDS
-from strandline.sources.zones import scan_csv, write_csv
+from strandline.sources.zones import csv_read, write_csv, write_parquet
+
+ROW = "_row"  # position of a stored result row
 
 
 def register_functions(spark: SparkSession) -> None:
     """SQL functions that Spark has under no name: ``date_parse(text, percent_pattern)``.
 
-    It is a SQL expression that Spark inlines, with the pattern folded to a constant.
+    It is a SQL expression that Spark inlines, with the pattern folded to a constant. It
+    knows the fields of ``java_pattern``, quotes other letters, and fails on unknown fields.
     """
-    java = reduce(
-        lambda text, kv: f"replace({text}, '{kv[0]}', '{kv[1]}')", PERCENT_FIELDS.items(), "pattern"
+    letters = "(?<![%A-Za-z])([A-Za-z]+)|(?<=%[A-Za-z])([A-Za-z]+)"
+    java = f"""regexp_replace(pattern, r"{letters}", "'$1$2'")"""
+    for field, java_field in PERCENT_FIELDS.items():
+        if field != "%%":
+            java = f"""replace({java}, "{field}", "{java_field}")"""
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION java_pattern(pattern STRING) RETURNS STRING RETURN "
+        f"""CASE WHEN contains(replace({java}, "%%", ""), "%")
+                 THEN raise_error(concat("unknown date field in ", pattern))
+                 ELSE replace({java}, "%%", "'%'") END"""
     )
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION date_parse(value STRING, pattern STRING) "
-        f"RETURNS TIMESTAMP RETURN try_to_timestamp(value, {java})"
+        "RETURNS TIMESTAMP RETURN try_to_timestamp(value, java_pattern(pattern))"
     )
 
 
 def run_sql(
-    spark: SparkSession, text: str, database: str | None = None, output: str | None = None
+    spark: SparkSession,
+    text: str,
+    database: str | None = None,
+    output: str | None = None,
+    form: str = "parquet",
 ) -> DataFrame:
-    """Run one query; optionally in a database and with its rows stored as CSV.
+    """Run one query; optionally in a database and with its rows stored.
+
+    With ``output`` the query runs once and the stored rows are returned. As ``parquet`` they
+    keep every type, nested ones too, and with the column ``_row`` their order, in which they
+    are returned. As ``csv`` the files are for other programs: there is no order, and types
+    that CSV has no form for are an error.
 
-    With ``output`` the query runs once and the stored rows are returned.
+    The text is Spark SQL, so an ascending ``ORDER BY`` puts nulls first unless it says
+    ``NULLS LAST``, as the functions of this library do.
     """
     register_functions(spark)
     before = spark.catalog.currentDatabase()
@@ -41,5 +61,9 @@ def run_sql(
         spark.catalog.setCurrentDatabase(before)
     if output is None:
         return df
-    write_csv(df, output)
-    return scan_csv(spark, output, df.schema)
+    if form == "csv":
+        write_csv(df, output, multiline=True)
+        return df.sparkSession.read.options(**csv_read(multiline=True)).schema(df.schema).csv(output)
+    # numbers grow with the partitions and inside them, which is the order of a sorted result
+    write_parquet(df.withColumn(ROW, F.monotonically_increasing_id()), output)
+    return spark.read.parquet(output).orderBy(ROW).drop(ROW)

@@ -11,17 +11,37 @@ from pyspark.sql import types as T
 from strandline.schemas import HOSPITAL, MOMENT, Table
 from strandline.session import child_folders
 
-# Files in folders below the table folder belong to the table: streamed batches
-# come in folders of their own. Headers are checked against the declared columns.
-CSV_READ = {"header": "true", "recursiveFileLookup": "true", "enforceSchema": "false"}
+# The dialect of common CSV writers. A quote inside quoted text is doubled,
+# an empty text is "" and a null is nothing. Files in folders below the table folder belong
+# to the table: streamed batches come in folders of their own. Headers are checked against
+# the declared columns.
+CSV_READ = {
+    "header": "true",
+    "recursiveFileLookup": "true",
+    "enforceSchema": "false",
+    "quote": '"',
+    "escape": '"',
+    # what no file holds: nothing between two commas is null, and "" is not
+    "nullValue": "\u0000",
+    "emptyValue": "",
+}
 # Text goes out as it is, with its blanks.
 CSV_WRITE = {
     "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "",
+    "emptyValue": '""',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
 
 
+def csv_read(multiline: bool = False) -> dict[str, str]:
+    """Reading options. Files whose texts hold line breaks cannot be split among tasks."""
+    return CSV_READ | {"multiLine": str(multiline).lower()}
+
+
 def table_path(zone: str, table: str) -> str:
     return f"{zone.rstrip('/')}/{table}"
 
@@ -30,22 +50,28 @@ def table_path(zone: str, table: str) -> str:
 
 
 def scan_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, infer: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    infer: bool = False,
+    multiline: bool = False,
 ) -> DataFrame:
     """CSV with a header line.
 
     With a schema the files are read once, and a file whose header does not name
     the columns in that order fails the job instead of filling the wrong columns;
-    ``infer=True`` costs a further pass.
+    ``infer=True`` costs a further pass. ``multiline`` is for files with line breaks
+    in quoted text; each of them is then read by one task.
     """
-    reader = spark.read.options(**CSV_READ)
+    reader = spark.read.options(**csv_read(multiline))
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", str(infer).lower()).csv(path)
 
 
 def read_bronze(spark: SparkSession, zone: str, table: Table) -> DataFrame:
-    return scan_csv(spark, table_path(zone, table.name), table.bronze_schema)
+    path = table_path(zone, table.name)
+    return scan_csv(spark, path, table.bronze_schema, multiline=table.multiline)
 
 
 def read_curated(spark: SparkSession, zone: str, table: str | Table) -> DataFrame:
@@ -73,7 +99,23 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, multiline: bool = False) -> None:
+    """Replace a CSV table.
+
+    Unless it is ``multiline``, a text with a line break fails the job: who reads the
+    table line by line would see two broken rows.
+    """
+    if not multiline:
+        texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        error = F.raise_error("line break in a table that is not multiline")
+        df = df.select(
+            *[
+                F.when(F.col(f"`{c}`").rlike(r"[\r\n]"), error).otherwise(F.col(f"`{c}`")).alias(c)
+                if c in texts
+                else F.col(f"`{c}`")
+                for c in df.columns
+            ]
+        )
     df.write.mode("overwrite").options(**CSV_WRITE).csv(path)
 
 
@@ -98,6 +140,9 @@ def register_zone(
     ``known`` CSV tables are declared, with timestamps left as text; the types of
     any other CSV table are inferred, which reads its files once.
 
+    An external table of the same name is registered anew. A managed table of that name
+    owns its files, so it is left alone and the call fails.
+
     Returns (table_name, column_name, data_type, position), one row per column.
     """
     if database:
@@ -106,15 +151,17 @@ def register_zone(
     for name in child_folders(spark, zone):
         path = table_path(zone, name)
         if source == "csv":
-            declared = crawled_schema(known[name]) if name in known else None
-            df = scan_csv(spark, path, declared, infer=declared is None)
+            table = known.get(name)
+            declared = crawled_schema(table) if table else None
+            reading = csv_read(bool(table and table.multiline))
+            df = scan_csv(spark, path, declared, declared is None, bool(table and table.multiline))
         else:
             df = spark.read.parquet(path)
         if database:
             full = f"`{database}`.`{name}`"
-            spark.sql(f"DROP TABLE IF EXISTS {full}")
+            _drop_external(spark, full)
             if source == "csv":
-                spark.catalog.createTable(full, path, source, df.schema, **CSV_READ)
+                spark.catalog.createTable(full, path, source, df.schema, **reading)
             else:
                 spark.catalog.createTable(full, path, source)
                 if any(c.isPartition for c in spark.catalog.listColumns(full)):
@@ -129,6 +176,14 @@ def register_zone(
     )
 
 
+def _drop_external(spark: SparkSession, name: str) -> None:
+    if not spark.catalog.tableExists(name):
+        return
+    if spark.catalog.getTable(name).tableType != "EXTERNAL":
+        raise ValueError(f"{name} is a managed table; dropping it would delete its data")
+    spark.sql(f"DROP TABLE {name}")
+
+
 def crawled_schema(table: Table) -> T.StructType:
     """Types a crawler would find: numbers as numbers, timestamps as text."""
     silver = table.silver_schema

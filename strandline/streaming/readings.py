@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,34 +12,41 @@ from pyspark.sql.streaming import StreamingQuery
 from strandline.operators.clean import clean, typed
 from strandline.schemas import Table
 from strandline.session import path_exists
-from strandline.sources.zones import CSV_READ, write_csv
+from strandline.sources.zones import csv_read, write_csv
 
 # Partition columns of the streamed Silver files, beside the columns of the table.
-DAY, BATCH = "stream_day", "stream_batch"
-NO_DAY = "none"
-MOST_DAYS = 1000  # folders of single days a batch looks up
+DAY, QUERY, BATCH = "stream_day", "stream_query", "stream_batch"
+NO_DAY_PARTS = 64  # rows without an event time are dealt over so many partitions
 
 
 def arriving(
     spark: SparkSession, path: str, table: Table, files_per_batch: int | None = None
 ) -> DataFrame:
     """New CSV files of a folder and the folders below it, as text columns."""
-    reader = spark.readStream.options(**CSV_READ)
+    reader = spark.readStream.options(**csv_read(table.multiline))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
     return reader.schema(table.bronze_schema).csv(path)
 
 
-def ingest(stream: DataFrame, bronze: str, checkpoint: str) -> StreamingQuery:
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave a stream when it made the checkpoint; a new checkpoint has a new one."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def ingest(stream: DataFrame, bronze: str, checkpoint: str, multiline: bool = False) -> StreamingQuery:
     """Append what has arrived to the Bronze table in folder ``bronze``, then stop.
 
     Nothing is cast or dropped here: Bronze keeps the text as it came. Each batch
-    has a folder of its own beside the files that were loaded in bulk, and a batch
-    that runs again replaces its folder, so every row is there once.
+    has a folder of its own, named after the stream and the batch, beside the files
+    that were loaded in bulk. A batch that runs again replaces its folder, and no
+    stream touches the folders of another. A stream that lost its checkpoint brings
+    all its files once more; Silver drops the copies.
     """
 
     def append(batch: DataFrame, number: int) -> None:
-        write_csv(batch, f"{bronze}/batch-{number:010d}")
+        own = query_id(batch.sparkSession, checkpoint)
+        write_csv(batch, f"{bronze}/batch-{own}-{number:010d}", multiline)
 
     return (
         stream.writeStream.foreachBatch(append)
@@ -47,35 +56,42 @@ def ingest(stream: DataFrame, bronze: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def silver_exact(
-    stream: DataFrame, table: Table, silver: str, checkpoint: str, most_days: int = MOST_DAYS
-) -> StreamingQuery:
+def silver_exact(stream: DataFrame, table: Table, silver: str, checkpoint: str) -> StreamingQuery:
     """Clean what has arrived and append the rows Silver does not hold yet.
 
     The result is that of the batch job on the same rows, however late a copy
     comes. Equal rows have an equal event time, so a batch is compared only with
-    the days it touches; there is no state that grows with the stream. Files are
-    written per day and batch number, and a batch that runs again replaces its
-    own files.
+    the days it touches: the join on the day prunes the stored partitions when it
+    runs. There is no state that grows with the stream.
+
+    Files are written per day, stream and batch. A batch that runs again is compared
+    with all but its own files and replaces these. Several streams may feed one table;
+    they must take turns, as two batches at the same time do not see each other.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        # the days need no dedupe: this reads one column of the batch
-        days = _with_day(typed(batch, table), table).select(DAY).distinct()
-        stored = _stored_days(days, table, silver, most_days)
-        fresh = rows = _with_day(clean(batch, table), table)
-        if stored is not None:
-            stored = stored.where(F.col(BATCH) < number)
-            same = [rows[c].eqNullSafe(stored[c]) for c in rows.columns]
-            fresh = rows.join(stored, same, "left_anti")
-        (
-            fresh.withColumn(BATCH, F.lit(number).cast("long"))
-            .hint("rebalance", F.col(DAY))  # few files per day, none too large
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(DAY, BATCH)
-            .parquet(silver)
-        )
+        spark = batch.sparkSession
+        own = query_id(spark, checkpoint)
+        batch = batch.persist()  # the files are parsed once for both uses below
+        try:
+            fresh = rows = _with_day(clean(batch, table), table)
+            if path_exists(spark, silver):
+                # the days need no dedupe: this reads one projection of the batch
+                days = _with_day(typed(batch, table), table).select(DAY).where(F.col(DAY) > "").distinct()
+                stored = _stored(spark, table, silver).join(days, DAY, "left_semi")
+                stored = stored.where((F.col(QUERY) != own) | (F.col(BATCH) != number))
+                same = [rows[c].eqNullSafe(stored[c]) for c in rows.columns]
+                fresh = rows.join(stored, same, "left_anti")
+            (
+                fresh.withColumns({QUERY: F.lit(own), BATCH: F.lit(number).cast("long")})
+                .hint("rebalance", F.col(DAY))  # few files per day, none too large
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(DAY, QUERY, BATCH)
+                .parquet(silver)
+            )
+        finally:
+            batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(merge)
@@ -103,35 +119,19 @@ def silver_bounded(stream: DataFrame, table: Table, delay: str) -> DataFrame:
 
 
 def _with_day(rows: DataFrame, table: Table) -> DataFrame:
-    """Partition by the day of the event time; rows without one share a partition."""
-    day = F.coalesce(F.date_format(table.time, "yyyy-MM-dd"), F.lit(NO_DAY))
+    """Partition by the day of the event time; rows without one are dealt by a hash of all they hold."""
+    part = F.pmod(F.xxhash64(*table.silver_schema.names), F.lit(NO_DAY_PARTS))
+    day = F.coalesce(F.date_format(table.time, "yyyy-MM-dd"), F.format_string("none-%02d", part))
     return rows.withColumn(DAY, day)
 
 
-def _stored_days(days: DataFrame, table: Table, silver: str, most: int) -> DataFrame | None:
-    """What Silver holds for ``days``; None where it holds nothing.
-
-    Only the folders of those days are listed. A batch of more than ``most`` days
-    takes the way without a list of days: all of Silver, reduced by a semi join.
-    """
-    spark = days.sparkSession
-    found = days.limit(most + 1).collect()
-    if len(found) > most:
-        if not path_exists(spark, silver):
-            return None
-        return _stored(spark, table, silver).join(days, DAY, "left_semi")
-    folders = [f"{silver}/{DAY}={r[0]}" for r in found]
-    folders = [f for f in folders if path_exists(spark, f)]
-    return _stored(spark, table, silver, *folders) if folders else None
-
-
-def _stored(spark: SparkSession, table: Table, silver: str, *folders: str) -> DataFrame:
+def _stored(spark: SparkSession, table: Table, silver: str) -> DataFrame:
     layout = T.StructType(
         [
             *table.silver_schema.fields,
             T.StructField(DAY, T.StringType()),
+            T.StructField(QUERY, T.StringType()),
             T.StructField(BATCH, T.LongType()),
         ]
     )
-    reader = spark.read.schema(layout).option("basePath", silver)
-    return reader.parquet(*(folders or (silver,)))
+    return spark.read.schema(layout).parquet(silver)

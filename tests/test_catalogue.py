@@ -26,7 +26,7 @@ def test_query_equals_its_twin(spark, twin, name):
     assert differences(got, twin.execute(oracle_sql()[name]).df()) == ""
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql()) - {"metrics_report"}))
+@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql())))
 def test_query_without_twin_gives_rows(spark, name):
     assert queries()[name](spark, str(FOLDER)).count() > 0
 

@@ -2,7 +2,7 @@ from strandline.operators.clean import clean, typed
 from strandline.schemas import OPERATIONS, PATIENTS, VITALS
 from tests.conftest import plan
 
-TS = "2025-01-05 19:51:00"
+TS = "2031-05-02 08:30:00"
 
 
 def vitals(spark, *data):
@@ -12,24 +12,24 @@ def vitals(spark, *data):
 def test_copies_are_merged_after_the_casts(spark):
     df = vitals(
         spark,
-        ("D1", "P1", "General", TS, "72", "93.8", "37.1", "104", "82"),
-        ("D1", "P1", "General", TS, "72.0", "93.80", "37.1", "104.0", " 82"),
-        ("D1", "P1", "General", TS, "73", "93.8", "37.1", "104", "82"),
+        ("D1", "P1", "General", TS, "64", "98.1", "36.5", "118", "77"),
+        ("D1", "P1", "General", TS, "64.0", "98.10", "36.5", "118.0", " 77"),
+        ("D1", "P1", "General", TS, "65", "98.1", "36.5", "118", "77"),
     )
     got = clean(df, VITALS)
-    assert sorted(r.heart_rate for r in got.collect()) == [72.0, 73.0]
+    assert sorted(r.heart_rate for r in got.collect()) == [64.0, 65.0]
     assert got.schema.simpleString() == VITALS.silver_schema.simpleString()
 
 
 def test_rows_without_patient_go_and_bad_values_stay_as_null(spark):
     df = vitals(
         spark,
-        ("D1", None, "General", TS, "72", "93.8", "37.1", "104", "82"),
-        ("D1", "P1", "General", "later", "abc", "", None, "x", "82"),
+        ("D1", None, "General", TS, "64", "98.1", "36.5", "118", "77"),
+        ("D1", "P1", "General", "later", "abc", "", None, "x", "77"),
     )
     (row,) = clean(df, VITALS).collect()
     assert (row.patient_id, row.reading_ts, row.heart_rate, row.bp_systolic) == ("P1", None, None, None)
-    assert row.bp_diastolic == 82
+    assert row.bp_diastolic == 77
 
 
 def test_operations_keep_rows_without_a_key(spark):

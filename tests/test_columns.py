@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions import columns as C
 from strandline.schemas import AGE_BANDS, AGE_REST
+from strandline.sources.sql_text import register_functions
 
 
 def values(spark, data, schema, expr):
@@ -23,8 +24,8 @@ def test_text_to_double(spark):
 
 
 def test_timestamps_by_both_patterns(spark):
-    data = [("2025-01-04 21:52:00",), ("n/a",), ("2025-13-01 00:00:00",), (None,)]
-    want = [datetime(2025, 1, 4, 21, 52), None, None, None]
+    data = [("2031-05-02 08:30:00",), ("n/a",), ("2031-13-01 00:00:00",), (None,)]
+    want = [datetime(2031, 5, 2, 8, 30), None, None, None]
     assert values(spark, data, "x string", C.to_moment("x")) == want
     assert values(spark, data, "x string", C.to_moment_percent("x", "%Y-%m-%d %H:%i:%s")) == want
 
@@ -35,6 +36,31 @@ def test_band_edges(spark):
     assert values(spark, ages, "x int", C.band("x", AGE_BANDS, AGE_REST)) == want
 
 
+def test_band_edges_between_whole_numbers(spark):
+    ages = [(17.5,), (17.999,), (40.2,), (65.5,)]
+    assert values(spark, ages, "x double", C.band("x", AGE_BANDS, AGE_REST)) == ["0-17", "0-17", "41-65", "65+"]
+
+
+def test_percent_patterns_with_letters_and_other_fields(spark):
+    register_functions(spark)
+    data = [("02.05.31 at 8:30 o'clock PM",)]
+    pattern = "%d.%m.%y at %l:%i o'clock %p"
+    want = [datetime(2031, 5, 2, 20, 30)]
+    assert values(spark, data, "x string", C.to_moment_percent("x", pattern)) == want
+    for text, pattern in (("2031-05-02T08:30:07", "%Y-%m-%dT%T"), ("100% 2 May 2031", "100%% %e %b %Y")):
+        got = values(spark, [(text,)], "x string", C.to_moment_percent("x", pattern))
+        assert got[0] is not None
+        assert values(spark, [(text,)], "x string", F.expr(f"date_parse(x, '{pattern}')")) == got
+
+
+def test_an_unknown_percent_field_is_an_error(spark):
+    register_functions(spark)
+    with pytest.raises(ValueError, match="%X"):
+        C.java_pattern("%Y %X")
+    with pytest.raises(Exception, match="unknown date field"):
+        values(spark, [("2031",)], "x string", F.expr("date_parse(x, '%Y %X')"))
+
+
 def test_rounding_is_half_up_on_both_sides_of_zero(spark):
     assert values(spark, [(2.25,), (-2.25,)], "x double", F.round("x", 1)) == [2.3, -2.3]
 
@@ -67,10 +93,10 @@ def test_flag_and_label(spark):
 
 
 def test_rule_score_adds_and_caps(spark):
-    score = C.rule_score("c", {"a": 0.2, "b": 0.55}, [(F.col("x") > 70, 0.10)], cap=0.6)
+    score = C.rule_score("c", {"a": 0.2, "b": 0.55}, [(F.col("x") > 70, 0.15)], cap=0.65)
     data = [("a", 80), ("a", 70), ("b", 80), ("z", 80), ("a", None)]
     got = values(spark, data, "c string, x int", F.round(score, 6))
-    assert got == [0.3, 0.2, 0.6, None, 0.2]
+    assert got == [0.35, 0.2, 0.65, None, 0.2]
 
 
 def test_padded_id_keeps_long_numbers(spark):

@@ -25,12 +25,28 @@ def frame(spark, pairs):
     return spark.createDataFrame(pairs, "y int, s double")
 
 
-@pytest.mark.parametrize("rows_per_task", [1_000_000, 10, 1])
-def test_auc_for_any_bucket_size(spark, pairs, rows_per_task):
-    (got,) = roc_auc(frame(spark, pairs), "y", "s", rows_per_task).first()
+@pytest.mark.parametrize("pieces", [None, 1, 10, 200])
+def test_auc_for_any_number_of_ranges(spark, pairs, pieces):
+    (got,) = roc_auc(frame(spark, pairs), "y", "s", pieces).first()
     assert got == pytest.approx(brute_auc(pairs), abs=1e-12)
 
 
+@pytest.mark.parametrize("pieces", [1, 3, 50])
+def test_odd_scores_count_alike_for_any_number_of_ranges(spark, pairs, pieces):
+    known = [*pairs, (1, math.inf), (0, math.inf), (0, -math.inf), (1, -math.inf), (1, 0.0), (0, -0.0)]
+    odd = [(1, math.nan), (0, math.nan), (1, None), (None, 0.4)]
+    (got,) = roc_auc(frame(spark, known + odd), "y", "s", pieces).first()
+    assert got == pytest.approx(brute_auc(known), abs=1e-12)
+    curve = roc_curve(frame(spark, known + odd), "y", "s", pieces).collect()
+    assert len(curve) == len({s for _, s in known}) + 1
+    assert max(r.tpr for r in curve) == max(r.fpr for r in curve) == 1.0
+
+
+def test_metrics_of_no_rows(spark):
+    assert roc_auc(frame(spark, []), "y", "s").first()[0] is None
+    assert rows(roc_curve(frame(spark, []), "y", "s")) == [(math.inf, 0.0, 0.0)]
+
+
 def test_ties_count_one_half(spark):
     assert roc_auc(frame(spark, [(1, 0.5), (0, 0.5)]), "y", "s").first()[0] == 0.5
 
@@ -41,7 +57,7 @@ def test_auc_without_a_class_is_null(spark):
 
 def test_curve_in_buckets_is_the_curve(spark, pairs):
     df = frame(spark, pairs)
-    whole, cut = roc_curve(df, "y", "s"), roc_curve(df, "y", "s", rows_per_task=9)
+    whole, cut = roc_curve(df, "y", "s"), roc_curve(df, "y", "s", pieces=70)
     assert rows(whole) == rows(cut)
     points = sorted(whole.collect(), key=lambda r: -r.threshold)
     assert tuple(points[0]) == (math.inf, 0.0, 0.0)

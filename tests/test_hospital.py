@@ -1,18 +1,16 @@
-"""The batch and the dashboard queries, on hand-made rows and on sample files.
+"""The batch and the dashboard queries, on hand-made rows and on a season of own rows."""
 
-STRANDLINE_SAMPLE_DIR may name a folder with sample CSVs of the three tables,
-each in a file whose name holds that of the table.
-"""
-
-import os
-from pathlib import Path
+import csv
+import random
+from datetime import datetime, timedelta
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 
 from strandline.operators.clean import clean
 from strandline.plans import hospital
-from strandline.schemas import HOSPITAL, OPERATIONS, PATIENTS, VITALS
-from strandline.sources.zones import read_bronze, read_curated, scan_csv
+from strandline.schemas import HOSPITAL, PATIENTS, VITALS
+from strandline.sources.zones import read_bronze, read_curated
 from tests.conftest import rows
 
 ROWS = {
@@ -81,66 +79,105 @@ def test_vitals_by_admission_type(spark, bronze):
     assert got == [("Emergency", 1, 105.0, None, 37.6, 140.0), ("Planned", 1, 75.0, 97.0, 36.8, 121.0)]
 
 
-SAMPLES = os.environ.get("STRANDLINE_SAMPLE_DIR")
-
-
-@pytest.fixture(scope="module")
-def sample(spark):
-    if not SAMPLES:
-        pytest.skip("STRANDLINE_SAMPLE_DIR is not set")
-
-    def load(table):
-        (path,) = Path(SAMPLES).glob(f"*{table.name}*.csv")
-        return clean(scan_csv(spark, str(path), table.bronze_schema), table)
-
-    return {t.name: load(t).cache() for t in HOSPITAL.values()}
-
-
-def test_sample_department_kpis(sample):
-    assert [tuple(r) for r in hospital.department_kpis(sample["operations"]).collect()] == [
-        ("Emergency", 82.8, 59.4, 15),
-        ("Oncology", 77.9, 25.6, 14),
-        ("Cardiology", 71.6, 30.4, 15),
-        ("Orthopedics", 63.0, 34.9, 12),
-        ("Pediatrics", 57.4, 22.3, 10),
-        ("General", 52.8, 26.3, 12),
-    ]
-
-
-def test_sample_readmission(sample):
-    got = hospital.readmission_by_age(sample["patients"], by_department=False)
-    assert rows(got) == [
-        ("0-17", 14, 3, 21.4),
-        ("18-40", 25, 4, 16.0),
-        ("41-65", 31, 4, 12.9),
-        ("65+", 30, 9, 30.0),
-    ]
-    by_department = {tuple(r)[:2]: tuple(r)[2:] for r in hospital.readmission_by_age(sample["patients"]).collect()}
-    assert len(by_department) == 22
-    assert by_department["Oncology", "65+"] == (3, 2, 66.7)
-    assert by_department["Emergency", "65+"] == (7, 3, 42.9)
-    assert by_department["General", "65+"] == (2, 0, 0.0)
-
-
-def test_sample_vitals(sample):
-    got = hospital.vitals_by_admission_type(sample["vitals"], sample["patients"])
-    assert [tuple(r) for r in got.collect()] == [
-        ("Emergency", 3, 106.8, 93.6, 37.63, 140.0),
-        ("Planned", 8, 79.4, 96.9, 36.88, 120.0),
-    ]
-
+# --- a season of own rows, written by another CSV writer and counted in plain Python ---
 
-def test_sample_trend(sample):
-    ((day, occupancy, wait, waiting),) = hospital.load_trend(sample["operations"]).collect()
-    assert (str(day), occupancy, wait, waiting) == ("2025-01-01", 67.8, 33.2, 664)
+WARDS = ["Burns", "Day clinic", "Ward, north", 'The "old" ward']
 
 
-def test_sample_invariants(sample):
-    """Nothing is lost, stays fit the dates, and readings lie within a stay."""
-    assert {n: df.count() for n, df in sample.items()} == {"patients": 100, "vitals": 100, "operations": 100}
-    patients, vitals = sample["patients"], sample["vitals"]
+@pytest.fixture(scope="module")
+def season(spark, tmp_path_factory):
+    draw = random.Random(21)
+    start = datetime(2031, 5, 1)
+    patients, vitals, operations = [], [], []
+    for i in range(180):
+        stay, came = draw.randint(1, 9), start + timedelta(hours=draw.randint(0, 900))
+        patients.append(
+            (f"Q{i}", draw.choice([draw.randint(0, 96), 17, 18, 40, 65, 66]), draw.choice("FM"), draw.choice(WARDS),
+             draw.choice(["Acute", "Listed"]), "None known", came, came + timedelta(days=stay), stay, int(draw.random() < 0.3))
+        )
+        for k in range(draw.randint(0, 4)):
+            vitals.append(
+                (f"M{k}", f"Q{i}", WARDS[0], came + timedelta(hours=k), draw.randint(600, 1300) / 10,
+                 draw.randint(900, 1000) / 10, draw.randint(360, 390) / 10, draw.randint(90, 160), 70)
+            )
+    for hour in range(24 * 5):
+        for ward in WARDS:
+            beds = draw.randint(20, 40)
+            used = draw.randint(5, beds)
+            operations.append(
+                (start + timedelta(hours=hour), ward, beds, used, round(used / beds, 3), draw.randint(0, 12), draw.randint(0, 90))
+            )
+    made = {"patients": patients, "vitals": vitals, "operations": operations}
+    zone = tmp_path_factory.mktemp("season")
+    for name, data in made.items():
+        (zone / name).mkdir()
+        with (zone / name / "all.csv").open("w", newline="") as file:
+            writer = csv.writer(file)
+            writer.writerow(HOSPITAL[name].columns)
+            writer.writerows(data + data[:20])  # some rows come twice
+    return made, {t.name: clean(read_bronze(spark, str(zone), t), t).cache() for t in HOSPITAL.values()}
+
+
+def mean(values, digits, scale=1):
+    """Scaled first, then rounded half up."""
+    whole = Decimal(repr(sum(values) / len(values) * scale))
+    return float(whole.quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP))
+
+
+def test_season_department_kpis(season):
+    made, tables = season
+    want = []
+    for ward in WARDS:
+        own = [r for r in made["operations"] if r[1] == ward]
+        want.append((ward, mean([r[4] for r in own], 1, 100), mean([r[6] for r in own], 1), max(r[5] for r in own)))
+    got = [tuple(r) for r in hospital.department_kpis(tables["operations"]).collect()]
+    assert got == sorted(want, key=lambda r: (-r[1], r[0]))
+
+
+def test_season_readmission(season):
+    made, tables = season
+
+    def group(age):
+        return "0-17" if age < 18 else "18-40" if age <= 40 else "41-65" if age <= 65 else "65+"
+
+    cells = {}
+    for r in made["patients"]:
+        for key in ((r[3], group(r[1])), (group(r[1]),)):
+            cells.setdefault(key, []).append(r[9])
+    want = {k: (len(v), sum(v), mean(v, 1, 100)) for k, v in cells.items()}
+    both = hospital.readmission_by_age(tables["patients"]).collect()
+    alone = hospital.readmission_by_age(tables["patients"], by_department=False).collect()
+    assert {tuple(r)[:2]: tuple(r)[2:] for r in both} | {tuple(r)[:1]: tuple(r)[1:] for r in alone} == want
+
+
+def test_season_vitals(season):
+    made, tables = season
+    kinds = {r[0]: r[4] for r in made["patients"]}
+    want = []
+    for kind in ("Acute", "Listed"):
+        own = [r for r in made["vitals"] if kinds[r[1]] == kind]
+        means = [mean([r[c] for r in own], d) for c, d in ((4, 1), (5, 1), (6, 2), (7, 0))]
+        want.append((kind, len({r[1] for r in own}), *means))
+    got = [tuple(r) for r in hospital.vitals_by_admission_type(tables["vitals"], tables["patients"]).collect()]
+    assert got == sorted(want, key=lambda r: -r[2])
+
+
+def test_season_trend(season):
+    made, tables = season
+    want = []
+    for day in sorted({r[0].date() for r in made["operations"]}):
+        own = [r for r in made["operations"] if r[0].date() == day]
+        want.append((day, mean([r[4] for r in own], 1, 100), mean([r[6] for r in own], 1), sum(r[5] for r in own)))
+    assert [tuple(r) for r in hospital.load_trend(tables["operations"]).collect()] == want
+
+
+def test_season_loses_nothing(season):
+    """Stays fit the dates, and readings lie within a stay."""
+    made, tables = season
+    assert {n: df.count() for n, df in tables.items()} == {n: len(set(r)) for n, r in made.items()}
+    patients = tables["patients"]
     wrong = patients.where("discharge_ts != admission_ts + make_interval(0, 0, 0, length_of_stay)")
-    joined = vitals.join(patients, "patient_id")
-    outside = joined.where("reading_ts < admission_ts or reading_ts >= discharge_ts")
+    outside = tables["vitals"].join(patients, "patient_id").where(
+        "reading_ts < admission_ts or reading_ts >= discharge_ts"
+    )
     assert wrong.count() == 0 and outside.count() == 0
-    assert OPERATIONS.name in sample

@@ -67,7 +67,7 @@ def test_lookup_broadcasts_only_within_the_bound(spark):
     ).where("name is not null").count()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        beyond = J.join_checked(facts, dim, "k", "left", max_rows=4)
+        beyond = J.join_checked(facts, dim, "k", "left", max_bytes=4)
         assert "BroadcastHashJoin" not in plan(beyond)
         assert rows(beyond) == rows(J.join_checked(facts, dim, "k", "left"))
     finally:

@@ -42,12 +42,8 @@ def test_one_hot_rows_and_unknown_level(spark):
     train = spark.createDataFrame([(1, "b", "x"), (2, "a", "x")], "id int, c string, d string")
     model = Pipeline(stages=encoder_stages(["c", "d"])).fit(train)
     new = spark.createDataFrame([(3, "ZZZ", "x"), (4, None, None), (5, "a", "x")], train.schema)
-    got = {(r.id, r.feature, r.level): r.hot for r in one_hot_rows(model, new, "id").collect()}
-    assert got == {
-        (3, "c", "a"): 0, (3, "c", "b"): 0, (3, "d", "x"): 1,
-        (4, "c", "a"): 0, (4, "c", "b"): 0, (4, "d", "x"): 0,
-        (5, "c", "a"): 1, (5, "c", "b"): 0, (5, "d", "x"): 1,
-    }
+    got = rows(one_hot_rows(model, new, "id"))
+    assert got == [(3, "d", "x"), (5, "c", "a"), (5, "d", "x")]
 
 
 def test_logistic_minimises_the_summed_loss_plus_half_the_norm(split, models):
@@ -83,7 +79,9 @@ def test_importance_ranks_age_first(split, models):
 def test_report_is_one_json_document(spark, split, models, tmp_path):
     _, test, everything = split
     scored = score_all(models, test, str(tmp_path / "predictions"))
-    out = report(scored, everything, TARGET, "lr", "rf", models["rf"], NUMERIC, features=2)
+    out = report(
+        scored, everything, TARGET, "lr", "rf", feature_importance(models["rf"], NUMERIC, scored), features=2
+    )
     write_json(out, str(tmp_path / "report"))
     (line,) = [
         text for f in (tmp_path / "report").glob("*.json") for text in f.read_text().splitlines()
@@ -98,11 +96,24 @@ def test_report_is_one_json_document(spark, split, models, tmp_path):
 
 
 def test_high_risk_table(spark, split, models, tmp_path):
-    got = high_risk(models["lr"], split[1], str(tmp_path / "risk"), threshold=0.6)
-    want = score(models["lr"], split[1]).where("score >= 0.6")
+    scored = score(models["lr"], split[1])
+    got = high_risk(scored, str(tmp_path / "risk"), threshold=0.6)
+    want = scored.where("score >= 0.6")
     assert rows(got) == rows(want) and 0 < got.count() < split[1].count()
 
 
 def test_unknown_category_is_scored(spark, models):
     new = spark.createDataFrame([(1, "ZZZ", 50, 0)], "id int, dept string, age int, y int")
     assert 0 < score(models["lr"], new).first().score < 1
+
+
+def test_rows_without_a_number_are_left_out_of_the_fit_and_kept_in_the_scores(spark, split, models):
+    holes = split[0].unionByName(split[0].limit(50).withColumn("age", F.lit(None).cast("int")))
+    again = train_logistic(holes, TARGET, CATEGORICAL, NUMERIC)
+    assert again.stages[-1].coefficients.toArray() == pytest.approx(
+        models["lr"].stages[-1].coefficients.toArray(), rel=1e-6
+    )
+    new = spark.createDataFrame([(1, "A", None, 0), (2, None, 50, 1), (3, "A", 50, 1)], split[0].schema)
+    for model in models.values():
+        got = {r.id: (r.prediction, r.score) for r in score(model, new).collect()}
+        assert got[1] == (None, None) and None not in got[2] + got[3]

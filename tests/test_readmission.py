@@ -19,7 +19,7 @@ def silver(spark, tmp_path_factory):
         department = str(rng.choice(["Emergency", "General", "Oncology"]))
         p = 0.08 + 0.35 * (age > 65) + 0.1 * (department == "Emergency")
         data.append(
-            (f"P{i:05d}", age, "F" if i % 2 else "M", department, "Planned", "Asthma", None, None,
+            (f"P{i:05d}", None if i % 100 == 7 else age, "F" if i % 2 else "M", department, "Planned", "Asthma", None, None,
              stay, int(rng.random() < p))
         )
     zone = str(tmp_path_factory.mktemp("silver"))
@@ -34,6 +34,10 @@ def test_the_job_writes_its_tables(spark, silver, tmp_path):
     positives = patients.where("readmitted_30d = 1").count()
     want = int(positives * 0.25 + 0.5) + int((1500 - positives) * 0.25 + 0.5)
     assert doc.test_size == want == spark.read.parquet(f"{out}/predictions").count()
+    listed = spark.read.parquet(f"{out}/predictions")
+    known = listed.where("age IS NOT NULL").count()
+    assert doc.scored_size == known == listed.where("forest_score IS NOT NULL").count() < want
+    assert sum(map(sum, doc.confusion_matrix_rf)) == known
     assert doc.positive_rate == round(positives / 1500, 3)
     assert doc.random_forest.roc_auc > 0.6 and doc.logistic_regression.roc_auc > 0.6
     assert doc.top_features[0].feature == "age" and len(doc.top_features) == 6
@@ -46,21 +50,42 @@ def test_the_job_writes_its_tables(spark, silver, tmp_path):
         assert curve.where("fpr = 1 and tpr = 1").count() == 1
 
 
-def test_settings_follow_the_input_and_only_rise(spark, monkeypatch):
+def test_settings_follow_the_input_inside_the_block_only(spark, monkeypatch):
     keys = (
         "spark.sql.shuffle.partitions",
         "spark.sql.files.maxPartitionBytes",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes",
     )
     before = {k: spark.conf.get(k) for k in keys}
-    try:
-        monkeypatch.setattr(session, "_bytes_below", lambda s, p: 100)
-        session.size_for(spark, "small")
+    monkeypatch.setattr(session, "_bytes_below", lambda s, p: 100)
+    with session.sized_for(spark, "small"):
         assert {k: spark.conf.get(k) for k in keys} == before
-        monkeypatch.setattr(session, "_bytes_below", lambda s, p: 100 * 10**12)
-        session.size_for(spark, "large")
-        assert int(spark.conf.get(keys[0])) == 100 * 10**12 // 2**30
+    monkeypatch.setattr(session, "_bytes_below", lambda s, p: 100 * 10**12)
+    with pytest.raises(ZeroDivisionError), session.sized_for(spark, "large"):
+        assert int(spark.conf.get(keys[0])) == 100 * 10**12 // session.SHUFFLE_BYTES
         assert int(spark.conf.get(keys[1])) == int(spark.conf.get(keys[2])) == 10**9
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+        raise ZeroDivisionError
+    assert {k: spark.conf.get(k) for k in keys} == before
+
+
+def test_kept_rows_are_shared_and_can_be_discarded(spark, tmp_path, monkeypatch):
+    kept = session.keep(spark.range(10), "some")
+    assert kept.count() == 10
+    session.discard(kept)
+    with pytest.raises(Exception, match="(?i)not.?exist|not found"):
+        kept.collect()
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Fake:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Fake)
+    Fake.sparkContext.getCheckpointDir = staticmethod(lambda: "s3a://lake/scratch/")
+    assert session.shared_folder(Fake) == "s3a://lake/scratch"

@@ -9,17 +9,17 @@ from tests.conftest import rows
 HEADER = ",".join(VITALS.columns)
 FILES = {
     "1.csv": [
-        "D1,P1,General,2025-01-05 19:51:00,72,93.8,37.1,104,82",
-        "D1,P1,General,2025-01-05 19:51:00,72.0,93.8,37.1,104,82",
-        "D2,P2,General,never,80,93.8,37.1,104,82",
-        "D9,,General,2025-01-05 19:51:00,72,93.8,37.1,104,82",
+        "M1,Q1,Burns,2031-05-02 08:30:00,64,98.1,36.5,118,77",
+        "M1,Q1,Burns,2031-05-02 08:30:00,64.0,98.1,36.5,118,77",
+        "M2,Q2,Burns,never,88,97.0,37.9,131,85",
+        "M9,,Burns,2031-05-02 08:30:00,64,98.1,36.5,118,77",
     ],
-    "2.csv": ["D1,P1,General,2025-03-01 00:00:00,75,93.8,37.1,104,82"],
+    "2.csv": ["M1,Q1,Burns,2031-07-11 23:00:00,66,98.1,36.5,118,77"],
     # copies of rows seen long before, and a late new row
     "3.csv": [
-        "D1,P1,General,2025-01-05 19:51:00,72.00,93.8,37.1,104,82",
-        "D2,P2,General,never,80.0,93.8,37.1,104,82",
-        "D1,P1,General,2025-01-05 10:00:00,71,93.8,37.1,104,82",
+        "M1,Q1,Burns,2031-05-02 08:30:00,64.00,98.1,36.5,118,77",
+        "M2,Q2,Burns,never,88.0,97.0,37.9,131,85",
+        "M1,Q1,Burns,2031-05-02 04:15:00,61,98.1,36.5,118,77",
     ],
 }
 
@@ -36,27 +36,26 @@ def put(folder, *names):
         (folder / name).write_text("\n".join([HEADER, *FILES[name]]) + "\n")
 
 
-def run(spark, base, most_days=R.MOST_DAYS):
+def run(spark, base):
     bronze = str(base / "bronze")
     arrived = R.arriving(spark, str(base / "arrived"), VITALS, files_per_batch=1)
     R.ingest(arrived, bronze, str(base / "c1")).awaitTermination()
     stream = R.arriving(spark, bronze, VITALS, files_per_batch=1)
     silver = str(base / "silver")
-    R.silver_exact(stream, VITALS, silver, str(base / "c2"), most_days).awaitTermination()
+    R.silver_exact(stream, VITALS, silver, str(base / "c2")).awaitTermination()
     return rows(R.read_silver_stream(spark, VITALS, silver))
 
 
-@pytest.mark.parametrize("most_days", [R.MOST_DAYS, 0])
-def test_stream_equals_batch_with_late_copies(spark, folders, most_days):
+def test_stream_equals_batch_with_late_copies(spark, folders):
     arrived, base = folders
     put(arrived, "1.csv")
-    assert len(run(spark, base, most_days)) == 2
+    assert len(run(spark, base)) == 2
     put(arrived, "2.csv", "3.csv")
-    got = run(spark, base, most_days)
+    got = run(spark, base)
     batch = clean(scan_csv(spark, str(arrived), VITALS.bronze_schema), VITALS)
     assert got == rows(batch) and len(got) == 4
     # nothing new: nothing changes, in Bronze either
-    assert run(spark, base, most_days) == got
+    assert run(spark, base) == got
     bronze = scan_csv(spark, str(base / "bronze"), VITALS.bronze_schema)
     assert rows(bronze) == rows(scan_csv(spark, str(arrived), VITALS.bronze_schema))
 
@@ -87,6 +86,42 @@ def test_a_batch_that_runs_again_changes_nothing(spark, folders):
     assert bronze.count() == sum(map(len, FILES.values()))
 
 
+def test_two_sources_feed_one_table(spark, folders):
+    """Each with a checkpoint of its own, so that both number their batches from 0."""
+    arrived, base = folders
+    other = base / "other"
+    other.mkdir()
+    put(arrived, "1.csv")
+    put(other, "2.csv", "3.csv")
+    bronze, silver = str(base / "bronze"), str(base / "silver")
+    for i, source in enumerate((arrived, other)):
+        R.ingest(R.arriving(spark, str(source), VITALS), bronze, str(base / f"in{i}")).awaitTermination()
+        stream = R.arriving(spark, str(source), VITALS)
+        R.silver_exact(stream, VITALS, silver, str(base / f"out{i}")).awaitTermination()
+    stored = scan_csv(spark, bronze, VITALS.bronze_schema)
+    assert stored.count() == sum(map(len, FILES.values()))
+    assert rows(R.read_silver_stream(spark, VITALS, silver)) == rows(clean(stored, VITALS))
+
+
+def test_a_lost_checkpoint_doubles_no_silver_row(spark, folders):
+    arrived, base = folders
+    put(arrived, *FILES)
+    silver = str(base / "silver")
+    for name in ("first", "fresh"):
+        stream = R.arriving(spark, str(arrived), VITALS, files_per_batch=1)
+        R.silver_exact(stream, VITALS, silver, str(base / name)).awaitTermination()
+    batch = clean(scan_csv(spark, str(arrived), VITALS.bronze_schema), VITALS)
+    assert rows(R.read_silver_stream(spark, VITALS, silver)) == rows(batch)
+
+
+def test_rows_without_a_time_are_dealt_over_partitions(spark, folders):
+    arrived, base = folders
+    lines = [f"M{i},Q{i},Burns,never,88,97.0,37.9,131,85" for i in range(300)]
+    (arrived / "x.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    assert len(run(spark, base)) == 300
+    assert len(list((base / "silver").glob("stream_day=none-*"))) > 40
+
+
 def test_bounded_stream_removes_near_copies(spark, folders):
     arrived, base = folders
     put(arrived, "1.csv", "2.csv")
