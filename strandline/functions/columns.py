@@ -8,7 +8,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from strandline.schemas import TS_PATTERN, below
+from strandline.schemas import TS_PATTERN, Below
 
 # Fixed values: %-style date fields and their Java pattern letters.
 PERCENT_FIELDS = {
@@ -112,16 +112,16 @@ def trunc_int(c: Column | str) -> Column:
 # --- labels and flags ---
 
 
-def band(c: Column | str, bounds: Sequence[tuple[float | below, str]], rest: str) -> Column:
+def band(c: Column | str, bounds: Sequence[tuple[float | Below, str]], rest: str) -> Column:
     """Label of the first upper bound that holds the value.
 
-    A bound belongs to its band, unless it is marked ``below``. Values above the last
+    A bound belongs to its band, unless it is marked ``Below``. Values above the last
     bound, and nulls, take ``rest``.
     """
     value = as_column(c)
 
-    def holds(bound: float | below) -> Column:
-        return value < bound.bound if isinstance(bound, below) else value <= bound
+    def holds(bound: float | Below) -> Column:
+        return value < bound.bound if isinstance(bound, Below) else value <= bound
 
     (first, label), *others = bounds
     labelled = F.when(holds(first), label)

@@ -24,7 +24,7 @@ TS_PATTERN = "yyyy-MM-dd HH:mm:ss"
 
 
 @dataclass(frozen=True)
-class below:
+class Below:
     """An upper bound that does not belong to its band itself."""
 
     bound: float
@@ -116,5 +116,5 @@ HOSPITAL = {t.name: t for t in (PATIENTS, VITALS, OPERATIONS)}
 # Upper bounds and labels of the age groups. The first group ends before
 # its bound, the next two with theirs. The last label takes everything above the last
 # bound, and missing ages.
-AGE_BANDS = ((below(18), "0-17"), (40, "18-40"), (65, "41-65"))
+AGE_BANDS = ((Below(18), "0-17"), (40, "18-40"), (65, "41-65"))
 AGE_REST = "65+"
