@@ -120,11 +120,8 @@ def keep(df: DataFrame, name: str = "kept") -> DataFrame:
 def discard(*kept: DataFrame) -> None:
     """Delete what ``keep`` stored, once nothing reads it any more."""
     for df in kept:
-        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-        files = df.inputFiles()
-        for folder in {f.rsplit("/", 1)[0] for f in files}:
-            hadoop_path = jvm.org.apache.hadoop.fs.Path(folder)
-            hadoop_path.getFileSystem(conf).delete(hadoop_path, True)
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            delete_path(df.sparkSession, folder)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -132,6 +129,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename inside one file system; a refused rename is an error."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    fs = make(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.rename(make(source), make(target)):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``, on any Hadoop file system."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strandline.operators.clean import clean, typed
 from strandline.schemas import Table
-from strandline.session import path_exists
+from strandline.session import child_folders, delete_path, keep, move_path, path_exists
 from strandline.sources.zones import csv_read, write_csv
 
 # Partition columns of the streamed Silver files, beside the columns of the table.
@@ -106,6 +107,40 @@ def read_silver_stream(spark: SparkSession, table: Table, silver: str) -> DataFr
     return _stored(spark, table, silver).select(*table.silver_schema.names)
 
 
+def compact_silver(spark: SparkSession, table: Table, silver: str) -> int:
+    """Merge the files of days that several batches wrote; gives the number of days.
+
+    No stream may write to the table meanwhile. The merged days are written beside the
+    table first; only then their old folders go and the new ones take their place. A run
+    that was interrupted in between is finished by the next one. A batch that runs again
+    later finds its rows in the merged files and adds none.
+    """
+    staging = f"{silver}-merged"
+    if not path_exists(spark, f"{staging}/_SUCCESS"):
+        if not path_exists(spark, silver):
+            return 0
+        stored = _stored(spark, table, silver)
+        # reads no column of the table
+        parts = stored.select(DAY, QUERY, BATCH).distinct()
+        days = keep(parts.groupBy(DAY).count().where("count > 1").select(DAY), "days")
+        merged = stored.join(days, DAY, "left_semi").withColumns(
+            {QUERY: F.lit(f"merged-{uuid.uuid4().hex}"), BATCH: F.lit(0).cast("long")}
+        )
+        merged.hint("rebalance", F.col(DAY)).write.mode("overwrite").partitionBy(DAY, QUERY, BATCH).parquet(staging)
+    days = child_folders(spark, staging)
+    for day in days:
+        new = child_folders(spark, f"{staging}/{day}")
+        # a day without a new folder has taken its place before the run was interrupted
+        for old in child_folders(spark, f"{silver}/{day}") if new else []:
+            if old not in new:
+                delete_path(spark, f"{silver}/{day}/{old}")
+        for name in new:
+            if not path_exists(spark, f"{silver}/{day}/{name}"):
+                move_path(spark, f"{staging}/{day}/{name}", f"{silver}/{day}/{name}")
+    delete_path(spark, staging)
+    return len(days)
+
+
 def silver_bounded(stream: DataFrame, table: Table, delay: str) -> DataFrame:
     """Clean a stream with bounded state: copies within ``delay`` are removed.
 

@@ -122,6 +122,33 @@ def test_rows_without_a_time_are_dealt_over_partitions(spark, folders):
     assert len(list((base / "silver").glob("stream_day=none-*"))) > 40
 
 
+def test_merged_days_hold_the_same_rows(spark, folders, monkeypatch):
+    arrived, base = folders
+    put(arrived, "1.csv", "2.csv", "3.csv")
+    got, silver = run(spark, base), str(base / "silver")
+    moved = []
+
+    def once(*paths):
+        if moved:
+            raise OSError("lost")
+        moved.append(paths)
+        move(*paths)
+
+    (arrived / "4.csv").write_text(
+        "\n".join([HEADER, "M3,Q3,Burns,2031-05-02 09:00:00,70,97.0,37.9,131,85", "M3,Q3,Burns,2031-07-11 09:00:00,70,97.0,37.9,131,85"]) + "\n"
+    )
+    got, move = run(spark, base), R.move_path
+    monkeypatch.setattr(R, "move_path", once)
+    with pytest.raises(OSError):
+        R.compact_silver(spark, VITALS, silver)
+    monkeypatch.setattr(R, "move_path", move)
+    assert R.compact_silver(spark, VITALS, silver) == 2
+    assert rows(R.read_silver_stream(spark, VITALS, silver)) == got
+    assert R.compact_silver(spark, VITALS, silver) == 0
+    assert [len(list(d.iterdir())) for d in (base / "silver").glob("stream_day=2031-05-02")] == [1]
+    assert run(spark, base) == got
+
+
 def test_bounded_stream_removes_near_copies(spark, folders):
     arrived, base = folders
     put(arrived, "1.csv", "2.csv")
