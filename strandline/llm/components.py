@@ -15,8 +15,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Large and small stars in turn: every node is hung to the smallest of its neighbours, first
     its larger neighbours, then itself with its smaller ones. The links of a node are never
-    gathered: the smallest neighbour is a count-like aggregate, and joining it back is a join
-    that Spark may split at a node with very many links. The rounds are logarithmic in a
+    gathered: the smallest neighbour is an aggregate, merged on the map side and stored, and
+    joining it back is a join of two plain tables that Spark may split at a node with very many links. The rounds are logarithmic in a
     component's width; each is stored, so that no lineage builds up.
     """
     edges = keep(
@@ -44,14 +44,14 @@ def _state(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Hang every larger neighbour of a node to the smallest of all its neighbours."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = keep(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     joined = both.where("v > u").join(least, "u")
     return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Hang a node and its smaller neighbours to the smallest of these."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = keep(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     joined = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     own = least.select("u", F.col("m").alias("v"))
     return joined.unionByName(own).where("u > v").distinct()

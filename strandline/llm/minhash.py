@@ -120,10 +120,11 @@ def tree_rows(classes: DataFrame) -> DataFrame:
 def regions(classes: DataFrame) -> DataFrame:
     """Stored (region, size, node) of all regions with two texts or more."""
     rows = tree_rows(classes)
-    sizes = rows.groupBy("near").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # stored like other aggregates that are joined back: Spark can split a hot key of plain tables only
+    sizes = keep(rows.groupBy("near").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
     found = keep(rows.join(sizes, "near"), "tree-rows")
     crowded = found.where(F.col("size") > CROWDED)
-    deep = crowded.groupBy("deep").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    deep = keep(crowded.groupBy("deep").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
     return keep(
         found.where(F.col("size") <= CROWDED).select(F.col("near").alias("region"), "size", "node").unionByName(
             crowded.drop("size").join(deep, "deep").select(F.col("deep").alias("region"), "size", "node")
@@ -137,22 +138,22 @@ def tree_order(sig: np.ndarray) -> np.ndarray:
     return np.lexsort(sig.T[::-1])
 
 
-def joining_pairs(sig: np.ndarray, group: np.ndarray, every: bool) -> list[tuple[int, int]]:
-    """Pairs that agree in LEAST_AGREEING values and are in different groups.
+def agreeing(sig: np.ndarray, group: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """(own, all) matrix of how many values agree, 0 below LEAST_AGREEING and inside a group."""
+    mine = np.flatnonzero(own)
+    agree = np.zeros((len(mine), len(sig)), np.int16)
+    for lo in range(0, len(mine), 16):
+        part = mine[lo : lo + 16]
+        agree[lo : lo + 16] = (sig[part, None, :] == sig[None, :, :]).sum(2)
+    agree[(group[mine][:, None] == group[None, :]) | (agree < LEAST_AGREEING)] = 0
+    return agree
 
-    All of them, or for a first look those of a tree of closest pairs, which connect whatever
-    all of them connect.
-    """
+
+def joining_pairs(sig: np.ndarray) -> list[tuple[int, int]]:
+    """Closest pairs that agree in LEAST_AGREEING values and connect all that such pairs connect."""
     order = tree_order(sig)
-    sig, group = sig[order], group[order]
     n = len(sig)
-    agree = np.zeros((n, n), np.int16)
-    for lo in range(0, n, 16):
-        agree[lo : lo + 16] = (sig[lo : lo + 16, None, :] == sig[None, :, :]).sum(2)
-    agree[(group[:, None] == group[None, :]) | (agree < LEAST_AGREEING)] = 0
-    if every:
-        a, b = np.nonzero(np.triu(agree, 1))
-        return list(zip(order[a].tolist(), order[b].tolist()))
+    agree = agreeing(sig[order], np.arange(n), np.ones(n, bool))
     pairs, out = [], np.ones(n, bool)
     while out.any():  # one tree after another, from its first text in the order
         at = int(np.flatnonzero(out)[0])
@@ -170,46 +171,122 @@ def joining_pairs(sig: np.ndarray, group: np.ndarray, every: bool) -> list[tuple
     return pairs
 
 
-def candidates(members: DataFrame, classes: DataFrame, every: bool) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of members (region, block, node, component) in one block."""
+def blocks(rows: DataFrame, columns: list[str], work, schema: str) -> DataFrame:
+    """Run ``work`` on the rows of each (region, block), given as one tuple of lists, one for each
+    of ``columns``; it returns rows. Blocks have some ten to some hundred rows."""
+    names = [c.split()[0] for c in schema.split(", ")]
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         last = None
-        out: list[tuple[int, int]] = []
+        for batch in batches:
+            out: list[tuple] = []
+            for row in zip(*(batch.column(c).to_pylist() for c in ("region", "block", *columns))):
+                if row[:2] != last:
+                    if len(held) > 1:
+                        out += work(*last, *zip(*held))
+                    held, last = [], row[:2]
+                held.append(row[2:])
+            yield table_of(out)
+        yield table_of(work(*last, *zip(*held)) if len(held) > 1 else [])
 
-        def close() -> None:
-            nodes = np.array([h[0] for h in held])
-            group = np.array([h[1] for h in held])
-            if len(held) > 1 and (group != group[0]).any():
-                sig = np.frombuffer(b"".join(h[2] for h in held), np.uint32).reshape(len(held), VALUES)
-                for i, j in joining_pairs(sig, group, every):
-                    out.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
+    def table_of(out: list[tuple]) -> pa.RecordBatch:
+        found = np.array(sorted(set(out)), np.int64).reshape(-1, len(names))
+        return pa.RecordBatch.from_arrays([pa.array(found[:, i]) for i in range(len(names))], names)
 
-        for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("region", "block", "node", "component", "sig"))
-            for region, block, node, component, sig in zip(*columns):
-                if (region, block) != last:
-                    if held:
-                        close()
-                    held, last = [], (region, block)
-                held.append((node, component, sig))
-            yield flush_of(out)
-        if held:
-            close()
-        yield flush_of(out)
-
-    def flush_of(out: list) -> pa.RecordBatch:
-        found = np.array(sorted(set(out)), np.int64).reshape(-1, 2)
-        out.clear()
-        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
-
-    rows = (
-        members.join(classes.select("node", "sig"), "node")
-        .repartition("region", "block")
-        .sortWithinPartitions("region", "block", "node")
+    ordered = rows.repartition("region", "block").sortWithinPartitions("region", "block", "node")
+    return ordered.select("region", "block", *columns).mapInArrow(run, schema)
+
+
+def signatures(sigs: tuple) -> np.ndarray:
+    return np.frombuffer(b"".join(sigs), np.uint32).reshape(len(sigs), VALUES)
+
+
+def first_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b), a < b, that connect the texts of a block."""
+
+    def work(region: int, block: int, nodes: tuple, sigs: tuple) -> list[tuple]:
+        pairs = joining_pairs(signatures(sigs))
+        return [(min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for i, j in pairs]
+
+    rows = members.join(classes.select("node", "sig"), "node")
+    return blocks(rows, ["node", "sig"], work, "a long, b long").distinct()
+
+
+def still_apart(meeting: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of ``meeting`` (region, block, node, component, own) whose signature is near that of
+    another component in the block; one of such two texts is at home there (own)."""
+
+    def work(region: int, block: int, nodes: tuple, groups: tuple, own: tuple, sigs: tuple) -> list[tuple]:
+        group, mine = np.array(groups), np.array(own, bool)
+        if not mine.any() or not (group != group[0]).any():
+            return []
+        agree = agreeing(signatures(sigs), group, mine)
+        rows, columns = np.nonzero(agree)
+        near = set(np.flatnonzero(mine)[np.unique(rows)].tolist()) | set(np.unique(columns).tolist())
+        return [(region, block, nodes[i], groups[i], own[i]) for i in near]
+
+    rows = meeting.join(classes.select("node", "sig"), "node")
+    return blocks(
+        rows, ["node", "component", "own", "sig"], work, "region long, block long, node long, component long, own long"
     )
-    return rows.mapInArrow(pairs, "a long, b long").distinct()
+
+
+def shared_counts(sets: list[np.ndarray], own: np.ndarray) -> np.ndarray:
+    """(own, all) matrix of the sizes of the intersections."""
+    every, column, many = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    use = many[column] > 1
+    row, column = row[use], column[use]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    mine = np.flatnonzero(own)
+    out = np.zeros((len(mine), len(sets)), np.float32)
+    wide = 4096
+    edges = np.searchsorted(column, np.arange(0, len(every) + wide, wide))
+    for number, (lo, hi) in enumerate(zip(edges, edges[1:])):
+        if hi > lo:
+            part = np.zeros((len(sets), wide), np.float32)
+            part[row[lo:hi], column[lo:hi] - number * wide] = 1
+            out += part[mine] @ part.T
+    return out.astype(np.int64)
+
+
+def confirmed_in_blocks(near: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) on full shingle sets that connect components of a block; no more than connect them."""
+
+    def work(region: int, block: int, nodes: tuple, groups: tuple, own: tuple, zs: tuple) -> list[tuple]:
+        mine = np.array(own, bool)
+        if not mine.any():
+            return []
+        tool = zstandard.ZstdDecompressor()
+        sets = [shingles_of(tool.decompress(z), size) for z in zs]
+        sizes = np.array([len(s) for s in sets])
+        at = np.flatnonzero(mine)
+        both = shared_counts(sets, mine)
+        linked = (both > 0) & (100 * both >= percent * (sizes[at][:, None] + sizes[None, :] - both))
+        root = {g: g for g in groups}
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        out = []
+        for i, j in zip(*(x.tolist() for x in np.nonzero(linked))):
+            a, b = find(groups[at[i]]), find(groups[j])
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                out.append((min(nodes[at[i]], nodes[j]), max(nodes[at[i]], nodes[j])))
+        return out
+
+    rows = near.join(texts.withColumnRenamed("doc_id", "node"), "node")
+    return blocks(rows, ["node", "component", "own", "z"], work, "a long, b long").distinct()
+
+
+def shingles_of(text: bytes, size: int) -> np.ndarray:
+    data = np.frombuffer(text, np.uint8)
+    return np.unique(shingle_hashes(data, np.array([0, len(data)]), size)[0])
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -219,18 +296,14 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
         tool = zstandard.ZstdDecompressor()
         known: tuple[int, bytes, np.ndarray] | None = None
 
-        def shingles(z: bytes) -> np.ndarray:
-            data = np.frombuffer(tool.decompress(z), np.uint8)
-            return np.unique(shingle_hashes(data, np.array([0, len(data)]), size)[0])
-
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 out = []
                 columns = (batch.slice(at, 64).column(c).to_pylist() for c in ("a", "b", "za", "zb"))
                 for a, b, za, zb in zip(*columns):
                     if known is None or known[0] != a or known[1] != za:
-                        known = (a, za, shingles(za))
-                    first, second = known[2], shingles(zb)
+                        known = (a, za, shingles_of(tool.decompress(za), size))
+                    first, second = known[2], shingles_of(tool.decompress(zb), size)
                     both = len(np.intersect1d(first, second, assume_unique=True))
                     if 100 * both >= percent * (len(first) + len(second) - both):
                         out.append((a, b))
@@ -296,11 +369,12 @@ def near_duplicates(
     leaders = crowded.join(central, "node").groupBy("region").agg(
         F.max(F.struct("weight", "node")).alias("lead")
     ).select("region", F.col("lead.node").alias("lead"))
+    leaders = keep(leaders, "leaders")
     stars = crowded.join(leaders, "region").where("node <> lead").select(
         F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")
     )
     first = keep(
-        candidates(members.withColumn("component", F.col("node")), classes, False).unionByName(stars).distinct(),
+        first_pairs(members, classes).unionByName(stars).distinct(),
         "pairs",
     )
     nodes = found.select(F.col("node").alias("doc_id")).distinct()
@@ -314,7 +388,8 @@ def near_duplicates(
     apart = grouped.groupBy("region").agg(
         F.min("component").alias("low"), F.max("component").alias("high")
     ).where("low < high").select("region")
-    open_ = keep(grouped.join(apart, "region", "left_semi"), "apart")
+    apart = keep(apart, "apart")
+    open_ = keep(grouped.join(apart, "region", "left_semi"), "open")
     large = open_.where(F.col("size") > CROWDED).groupBy("region", "component").agg(F.count(F.lit(1)).alias("k"))
     main = large.groupBy("region").agg(F.max(F.struct("k", "component")).alias("m")).select(
         "region", F.col("m.component").alias("main")
@@ -323,11 +398,14 @@ def near_duplicates(
     to_all = outside.withColumn(
         "block", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("size") / CROWDED) - 1))
     )
-    meeting = open_.select("region", "block", "node", "component").unionByName(
-        to_all.select("region", "block", "node", "component")
-    ).distinct()
-    second = candidates(meeting, classes, True).join(first, ["a", "b"], "left_anti")
-    more = confirmed(second, texts, size, percent)
+    meeting = (
+        open_.select("region", "block", "node", "component", F.lit(1).cast("long").alias("own"))
+        .unionByName(to_all.select("region", "block", "node", "component", F.lit(0).cast("long").alias("own")))
+        .groupBy("region", "block", "node", "component")
+        .agg(F.max("own").alias("own"))
+    )
+    near = keep(still_apart(meeting, classes), "near")
+    more = confirmed_in_blocks(near, texts, size, percent)
     roots = keep(components(links.unionByName(more)), "roots")
 
     of_class = classes.select("set1", "set2", "node")
