@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import text as tx
-from strandline.session import keep, release
+from strandline.session import discard, keep, release
 
 MIN_WORDS = 8
 LAST = (1 << 63) - 1  # place of rows without a doc_id: behind all others
@@ -107,7 +107,8 @@ def half_keys(different: DataFrame, min_words: int) -> DataFrame:
 
     every = F.filter(F.array(*[entry(*k) for k in kinds]), lambda x: x.isNotNull())
     keyed = different.where(F.col("n") >= min_words).select("h1", "h2", F.inline(every))
-    often = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key")
+    # stored, so that the join is one of two plain tables, in which Spark may split a hot key
+    often = keep(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key"), "often")
     return keyed.join(often, "key", "left_semi").groupBy("h1", "h2").agg(F.bit_or("shared").alias("shared"))
 
 
@@ -185,8 +186,9 @@ def verified(pairs: DataFrame) -> DataFrame:
     return pairs.select("h1", "h2", "w", "v").mapInArrow(check, "h1 long, h2 long")
 
 
-def near_lines(different: DataFrame, rows: DataFrame, min_words: int) -> DataFrame:
-    """(h1, h2) of the lines that are within the bound of an earlier different line."""
+def near_lines(different: DataFrame, rows: DataFrame, min_words: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(h1, h2) of the lines that are within the bound of an earlier different line, and what was
+    stored for that and can go once they are stored."""
     shared = keep(half_keys(different, min_words), "half-keys")
     wanted = shared.join(different.select("h1", "h2", "one"), ["h1", "h2"])
     per_doc = wanted.groupBy(F.col("one.doc").alias("doc"), F.col("one.tag").alias("tag")).agg(
@@ -209,6 +211,7 @@ def near_lines(different: DataFrame, rows: DataFrame, min_words: int) -> DataFra
     firsts = keyed.groupBy("key").agg(
         *[earliest(k).alias(f"first{k}") for k in (0, 1, 2)], F.count(F.lit(1)).alias("k")
     ).where("k > 1")
+    firsts = keep(firsts, "firsts")
     partner = (
         F.when(F.col("kind") == 0, F.col("first1"))
         .when(F.col("kind") == 1, F.col("first0"))
@@ -223,12 +226,14 @@ def near_lines(different: DataFrame, rows: DataFrame, min_words: int) -> DataFra
     )
     first = words.select("h1", "h2", F.col("words").alias("w"))
     second = words.select(F.col("h1").alias("p1"), F.col("h2").alias("p2"), F.col("words").alias("v"))
-    return verified(pairs.join(first, ["h1", "h2"]).join(second, ["p1", "p2"])).distinct()
+    near = verified(pairs.join(first, ["h1", "h2"]).join(second, ["p1", "p2"])).distinct()
+    return near, [shared, words, keyed, firsts]
 
 
 def dropped_lines(rows: DataFrame, min_words: int) -> DataFrame:
     """(doc, tag, dropped): line numbers from 0 to be removed of each row (doc, tag, text)."""
-    every = keep(lines(rows), "lines")
+    # parsed twice: once more is less than storing the lines with all their keys
+    every = lines(rows)
     place = F.struct("doc", "tag", "line")
     different = keep(
         every.groupBy("h1", "h2").agg(
@@ -238,13 +243,14 @@ def dropped_lines(rows: DataFrame, min_words: int) -> DataFrame:
         "different-lines",
     )
     release(rows.sparkSession)
-    near = near_lines(different, rows, min_words).withColumn("near", F.lit(True))
+    near, stored = near_lines(different, rows, min_words)
     judged = keep(
-        different.join(near, ["h1", "h2"], "left").where("near OR met > 1").select(
+        different.join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left").where("near OR met > 1").select(
             "h1", "h2", "one", F.coalesce("near", F.lit(False)).alias("near")
         ),
         "judged-lines",
     )
+    discard(different, *stored)
     release(rows.sparkSession)
     gone = every.select("h1", "h2", "doc", "tag", "line").join(judged, ["h1", "h2"]).where(
         F.col("near") | (F.struct("doc", "tag", "line") > F.col("one"))
