@@ -63,9 +63,16 @@ def sized_for(spark: SparkSession, *paths: str) -> Iterator[None]:
     wanted = total // SHUFFLE_BYTES
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         raised["spark.sql.shuffle.partitions"] = str(wanted)
-    before = {key: spark.conf.get(key) for key in raised}
+    with settings(spark, raised):
+        yield
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the actions that run inside the block."""
+    before = {key: spark.conf.get(key) for key in values}
     try:
-        for key, value in raised.items():
+        for key, value in values.items():
             spark.conf.set(key, value)
         yield
     finally:
