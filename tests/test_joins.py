@@ -90,3 +90,15 @@ def test_expand_children(spark):
     )
     for chunk in (100, 4, 3, 1):
         assert rows(J.expand_children(df, "n", chunk=chunk)) == want
+
+
+def test_children_come_from_one_scan(spark):
+    df = spark.range(10).withColumn("n", F.col("id") * 3)
+    text = plan(J.expand_children(df, "n", chunk=4))
+    assert text.count("Range (") == 1 and "Union" not in text
+
+
+def test_a_nondeterministic_number_of_children_loses_no_parent(spark):
+    df = spark.range(200).withColumn("n", (F.rand() * 9).cast("int"))
+    got = J.expand_children(df, "n", chunk=4).groupBy("id").agg(F.count("*").alias("k"), F.max("child_no").alias("m"))
+    assert got.where("k = m").count() == 200

@@ -63,3 +63,17 @@ def test_split_of_nothing(spark):
 def test_balanced_weights(spark):
     df = spark.createDataFrame([(0,)] * 6 + [(1,)] * 2 + [(None,)], "y int")
     assert rows(class_weights(df, "y")) == [(0, 6, 8 / 12), (1, 2, 2.0)]
+
+
+def test_the_input_is_run_twice_at_most(spark):
+    runs = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def seen(x):
+        runs.add(1)
+        return x
+
+    df = spark.range(100).select(seen("id").alias("id"), (F.col("id") % 2).alias("y"))
+    assert stratified_split(df, "y", ["id"], leaf_rows=1).count() == 100
+    before = runs.value
+    assert stratified_split(df, "y", ["id"], leaf_rows=1).collect() and runs.value - before <= 200
