@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from strandline.llm import text as tx
 from strandline.llm.components import components
-from strandline.session import keep
+from strandline.session import keep, settings
 
 SHINGLE = 5
 TREES, DEPTH = 32, 4
@@ -351,7 +351,8 @@ def near_duplicates(
     gives no rows; other columns are not read.
     """
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    every = keep(sketches(rows, size), "sketches")
+    with settings(df.sparkSession, tx.SMALL_BATCHES):
+        every = keep(sketches(rows, size), "sketches")
     usable = every.where("n > 0 AND doc_id IS NOT NULL")
     classes = keep(
         usable.groupBy("set1", "set2").agg(F.min(F.struct("doc_id", "sig")).alias("one")).select(
@@ -379,7 +380,8 @@ def near_duplicates(
     )
     nodes = found.select(F.col("node").alias("doc_id")).distinct()
     # what stands in no region needs no text
-    texts = keep(small_texts(rows).join(nodes, "doc_id", "left_semi"), "texts")
+    with settings(df.sparkSession, tx.SMALL_BATCHES):
+        texts = keep(small_texts(rows).join(nodes, "doc_id", "left_semi"), "texts")
     links = keep(confirmed(first, texts, size, percent), "links")
     roots = keep(components(links), "roots")
 

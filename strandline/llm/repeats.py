@@ -29,10 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm import text as tx
-from strandline.session import keep
+from strandline.session import keep, settings
 
 MOST_PHRASES = 2048
-GROUP_BYTES = 4_000_000  # phrases compared at once in a task
+GROUP_BYTES = 1_000_000  # phrases compared at once in a task; sorting takes some sixty times that
 NULL_MARK = 0x5DEECE66D
 LAST = (1 << 63) - 1  # document number of rows without an id
 
@@ -234,7 +234,9 @@ def counted(rows: DataFrame, units: Units) -> DataFrame:
     many = rows.where(F.col("kinds") > MOST_PHRASES).mapInArrow(
         windows, "h1 long, h2 long, doc long, tag long, met long, lo long"
     )
-    repeated = many.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    repeated = keep(
+        many.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "windows"
+    )
     found = many.where("met = 1").join(repeated, ["h1", "h2"], "left_semi")
     return found.select("doc", "tag", "lo", (F.col("lo") + units.window).alias("hi"))
 
@@ -242,25 +244,26 @@ def counted(rows: DataFrame, units: Units) -> DataFrame:
 def repeated_spans(df: DataFrame, units: Units, compare: Compare) -> tuple[DataFrame, DataFrame]:
     """(documents, spans) of (doc_id, text): per document of ``packed`` the item ranges covered
     by windows that start at another place too, as (doc, tag, spans: array of (lo, hi))."""
-    every = places(df, units)
-    # stored, so that the join has two plain sides and Spark may split a hot trigger
-    often = keep(
-        every.groupBy("trigger").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "triggers"
-    )
-    found = keep(every.join(often, "trigger", "left_semi"), "places")
-    classes = keep(
-        found.groupBy("trigger", "phrase").agg(
-            F.count(F.lit(1)).alias("met"), F.min(F.struct("doc", "tag", "place")).alias("one")
-        ),
-        "phrases",
-    )
-    kinds = classes.groupBy("trigger").agg(
-        F.count(F.lit(1)).alias("kinds"), F.min("met").alias("least")
-    ).where("kinds > 1 AND least = 1").drop("least")
-    kinds = keep(kinds, "kinds")
-    wanted = classes.join(kinds, "trigger").select("trigger", "phrase", "met", "kinds", "one.*")
-    docs = packed(df)
-    rows = keep(contents(docs, wanted, units), "phrase-contents")
+    with settings(df.sparkSession, tx.SMALL_BATCHES):
+        every = places(df, units)
+        # stored, so that the join has two plain sides and Spark may split a hot trigger
+        often = keep(
+            every.groupBy("trigger").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "triggers"
+        )
+        found = keep(every.join(often, "trigger", "left_semi"), "places")
+        classes = keep(
+            found.groupBy("trigger", "phrase").agg(
+                F.count(F.lit(1)).alias("met"), F.min(F.struct("doc", "tag", "place")).alias("one")
+            ),
+            "phrases",
+        )
+        kinds = classes.groupBy("trigger").agg(
+            F.count(F.lit(1)).alias("kinds"), F.min("met").alias("least")
+        ).where("kinds > 1 AND least = 1").drop("least")
+        kinds = keep(kinds, "kinds")
+        wanted = classes.join(kinds, "trigger").select("trigger", "phrase", "met", "kinds", "one.*")
+        docs = packed(df)
+        rows = keep(contents(docs, wanted, units), "phrase-contents")
     place = F.col("place")
     lo = F.shiftright(place, 24)
     windows = F.shiftright(place, 12).bitwiseAND(F.lit(0xFFF))

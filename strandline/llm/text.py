@@ -12,7 +12,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1_000_000  # text handled at once; a longer single text is handled alone
+CHUNK_BYTES = 500_000  # text handled at once; a longer single text is handled alone
+
+#: Rows of whole texts that are handed to Python at once; as many again wait meanwhile.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
 # An odd multiplier and its inverse modulo 2^64, and mixing constants.
 BASE = 0x9E3779B97F4A7C15
