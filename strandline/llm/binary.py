@@ -23,7 +23,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strandline.llm.text import SMALL_BATCHES
 from strandline.llm.tokens import default_tokenizer, encoder
+from strandline.session import keep, settings
 
 MAGIC = 0x31304644494C5345
 BLOCK = 512  # bits of the high part per count of set bits
@@ -174,7 +176,8 @@ def write_shards(
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     blobs = ordered.mapInArrow(shards, "blob binary")
-    blobs.select(F.col("blob").cast("string")).write.option("maxRecordsPerFile", 1).text(path)
+    with settings(df.sparkSession, SMALL_BATCHES):
+        blobs.select(F.col("blob").cast("string")).write.option("maxRecordsPerFile", 1).text(path)
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
@@ -199,8 +202,6 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
                     ["task", "made", "shard_ids", "doc_id", "inside", "n_tokens", "ids_crc32"],
                 )
 
-    from strandline.session import keep
-
     files = spark.read.format("binaryFile").load(path).select("content")
     found = keep(
         files.mapInArrow(

@@ -25,9 +25,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.llm.text import buffer_of
+from strandline.llm.text import SMALL_BATCHES, buffer_of
 from strandline.llm.tokens import default_tokenizer, encoder
-from strandline.session import keep
+from strandline.session import keep, settings
 
 LENGTH = 4096
 MOST_SOURCES = 1000  # the rounds are planned for all sources together
@@ -152,10 +152,9 @@ def tokenized(df: DataFrame, text: str, doc_id: str, source: str, tokenizer: str
         F.col(text).cast("string").alias("text"),
         F.coalesce(F.col(source).cast("string"), F.lit(NO_SOURCE)).alias("queue"),
     )
-    return keep(
-        chosen.mapInArrow(rows, "task long, queue string, doc_id long, inside long, n long, ids binary"),
-        "packing-ids",
-    )
+    coded = chosen.mapInArrow(rows, "task long, queue string, doc_id long, inside long, n long, ids binary")
+    with settings(df.sparkSession, SMALL_BATCHES):
+        return keep(coded, "packing-ids")
 
 
 def pack(

@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 from strandline.llm.text import ragged
 
-MOST_PIECES = 600_000  # kept per worker; beyond, those not met lately are forgotten
+MOST_PIECES = 700_000  # kept per worker; beyond, the less used half is forgotten
 LONG_PIECE = 64  # characters; longer pieces are kept up to ...
 MOST_LONG = 4_000_000  # ... so many characters in all
 
@@ -70,6 +70,7 @@ class PieceEncoder:
         self.codes: dict[str, int] = {"": 0}
         self.starts, self.lengths = np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.pool = np.zeros(0, np.uint32)
+        self.uses = np.zeros(1, np.int64)
         self.long = 0
 
     def _encode_new(self, pieces: list[str]) -> None:
@@ -120,6 +121,7 @@ class PieceEncoder:
         self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(added) - added])
         self.lengths = np.concatenate([self.lengths, added])
         self.pool = np.concatenate([self.pool, *parts])
+        self.uses = np.concatenate([self.uses, np.zeros(len(pieces), np.int64)])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one text after another, and the number of ids of each text.
@@ -145,27 +147,28 @@ class PieceEncoder:
         ends = np.concatenate([[0], np.cumsum(lengths)])
         edges = np.concatenate([[0], np.cumsum(counts)])
         ids = self.pool[ragged(self.starts[codes], lengths)]
+        self.uses += np.bincount(codes, minlength=len(self.uses))
         if len(self.codes) > self.most or self.long > MOST_LONG:
-            self._forget(np.unique(codes))
+            self._forget()
         return ids, np.diff(ends[edges])
 
     def _codes(self, pieces: list[str]) -> np.ndarray:
         return np.fromiter(map(self.codes.get, pieces, repeat(-1)), np.int32, len(pieces))
 
-    def _forget(self, recent: np.ndarray) -> None:
-        """Drop long pieces, and if there are too many, all but the pieces met just now."""
+    def _forget(self) -> None:
+        """Drop long pieces, and if there are too many, the less used half."""
         self.long = 0
         names = np.array(list(self.codes), object)
         good = np.fromiter((len(p) <= LONG_PIECE for p in names), bool, len(names))
         if len(names) > self.most:
-            met = np.zeros(len(names), bool)
-            met[recent] = True
-            good &= met
+            often = np.argpartition(self.uses, len(names) // 2)[len(names) // 2 :]
+            used = np.zeros(len(names), bool)
+            used[often] = True
+            good &= used
         good[0] = True
         chosen = np.flatnonzero(good)
-        if len(chosen) > self.most:
-            return self._reset()
         lengths = self.lengths[chosen]
         self.pool = self.pool[ragged(self.starts[chosen], lengths)]
         self.starts, self.lengths = np.cumsum(lengths) - lengths, lengths
+        self.uses = self.uses[chosen] // 2
         self.codes = dict(zip(names[chosen], range(len(chosen))))
