@@ -3,7 +3,7 @@
 A classifier fitted to labelled rows gives every document a posterior over the domains, so a
 document counts for each domain with part of its tokens. Rates are then fitted by projected
 gradient steps on least squares: the expected tokens of the domains, at these rates, against
-their targets, with a small pull towards rate 1 so that the solution is unique and documents
+their targets, each gap relative to the domain's present tokens, with a small pull towards rate 1 so that the solution is unique and documents
 that need no change get none. Rates stay nonnegative (and below ``max_rate``).
 
 A step needs one sum per domain over all documents and changes a document's rate by its own
@@ -13,7 +13,8 @@ round is one aggregate over stored narrow rows, without shuffle or state.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+import warnings
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +32,9 @@ MOST_LABELLED = 20_000  # labelled rows that the classifier is fitted to
 FEATURES = 1 << 13
 WORD_GAP = r"[\x20\x09-\x0D.,]+"  # between the words that are counted
 REGULARISATION = 1e-5
-PULL = 0.001
-ROUNDS = 120
-ENOUGH = 1e-5  # of all tokens: change of the domain totals at which the rounds end
+PULL = 1e-5
+ROUNDS = 500
+ENOUGH = 1e-5  # of a domain's target: tokens that a round still moves when the rounds end
 
 
 def fit_domains(
@@ -89,16 +90,64 @@ def posteriors(df: DataFrame, model: PipelineModel | None, domains: list[str], t
     return scored.select(*[F.col(f"`{c}`") for c in df.columns], "tokens__", "posterior__")
 
 
-def rates_of(posterior: np.ndarray, steps: list[tuple[np.ndarray, float]], max_rate: float | None) -> np.ndarray:
-    """Rates after these steps (gap of the domain totals at the extrapolated rates, momentum)."""
+def rates_of(
+    posterior: np.ndarray, steps: list[tuple[np.ndarray, float]], max_rate: float | None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rates after these steps (relative gap of the domain totals at the extrapolated rates, momentum),
+    the rates extrapolated from them, and the last step: from the extrapolated rates, and of the rates."""
     rate = np.ones(len(posterior))
-    ahead = rate
+    ahead, step, change = rate, np.zeros(len(posterior)), np.zeros(len(posterior))
     for gap, momentum in steps:
         moved = ahead - (posterior @ gap + PULL * (ahead - 1)) / (1 + PULL)
         moved = np.clip(moved, 0, max_rate)
-        ahead = moved + momentum * (moved - rate)
+        step, change = moved - ahead, moved - rate
+        ahead = moved + momentum * change
         rate = moved
-    return rate, ahead
+    return rate, ahead, step, change
+
+
+def sums_of(posterior: np.ndarray, tokens: np.ndarray, steps: list, max_rate: float | None) -> np.ndarray:
+    """Per domain the tokens at the extrapolated rates and those that the last step moved, then how
+    far the step agrees with the change of the rates."""
+    _, ahead, step, change = rates_of(posterior, steps, max_rate)
+    return np.concatenate([(tokens * ahead) @ posterior, (tokens * np.abs(step)) @ posterior, [tokens @ (step * change)]])
+
+
+def descend(
+    sums: Callable[[list], np.ndarray], multiples: np.ndarray, rounds: int = ROUNDS
+) -> list[tuple[np.ndarray, float]]:
+    """The steps that lead to the rates; ``sums`` gives ``sums_of`` over all documents.
+
+    A domain's gap counts relative to its own present tokens. As posteriors add up to one, a whole
+    step is then short enough for any sizes of the domains. Momentum starts anew when it leads uphill.
+    """
+    count = len(multiples)
+    steps: list[tuple[np.ndarray, float]] = []
+    now = sums(steps)
+    present = now[:count]
+    if not present.sum():
+        return steps
+    scale = np.where(present > 0, present, 1.0)
+    small = ENOUGH * np.where(multiples > 0, multiples, 1.0) * scale
+    t = 1.0
+    for _ in range(rounds):
+        gap = (now[:count] - present * multiples) / scale
+        following = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        steps.append((gap, (t - 1) / following))
+        t = following
+        now = sums(steps)
+        moved = now[count : 2 * count]
+        if (moved <= small).all():
+            return steps
+        if now[-1] < 0:
+            t = 1.0
+    warnings.warn(
+        f"rates not settled after {rounds} rounds; a round still moves these parts of the domains: "
+        f"{(moved / scale).tolist()}",
+        RuntimeWarning,
+        stacklevel=2,
+    )
+    return steps
 
 
 def fit_rates(
@@ -106,38 +155,22 @@ def fit_rates(
 ) -> list[tuple[np.ndarray, float]]:
     """The steps that lead to the rates; each round sums tokens * rate * posterior per domain."""
     count = len(multiples)
+    names = [f"d{i}" for i in range(2 * count + 1)]
 
-    def totals(steps: list) -> np.ndarray:
+    def over_all(steps: list) -> np.ndarray:
         def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(count)
+            total = np.zeros(len(names))
             for batch in batches:
                 posterior = batch.column("posterior__").flatten().to_numpy().reshape(-1, count)
-                tokens = batch.column("tokens__").to_numpy().astype(float)
-                _, ahead = rates_of(posterior, steps, max_rate)
-                total += (tokens * ahead) @ posterior
-            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total], [f"d{i}" for i in range(count)])
+                total += sums_of(posterior, batch.column("tokens__").to_numpy().astype(float), steps, max_rate)
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total], names)
 
-        schema = ", ".join(f"d{i} double" for i in range(count))
-        rows = scored.select("posterior__", "tokens__").mapInArrow(sums, schema)
+        rows = scored.select("posterior__", "tokens__").mapInArrow(sums, ", ".join(f"{c} double" for c in names))
         # one row per task
-        row = rows.agg(*[F.sum(f"d{i}") for i in range(count)]).first()
+        row = rows.agg(*[F.sum(c) for c in names]).first()
         return np.array([x or 0.0 for x in row])
 
-    steps: list[tuple[np.ndarray, float]] = []
-    present = totals(steps)
-    whole = present.sum()
-    if not whole:
-        return steps
-    now, t = present, 1.0
-    for _ in range(rounds):
-        gap = (now - present * multiples) / whole
-        following = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        steps.append((gap, (t - 1) / following))
-        t = following
-        before, now = now, totals(steps)
-        if np.abs(now - before).max() <= ENOUGH * whole:
-            break
-    return steps
+    return descend(over_all, multiples, rounds)
 
 
 def mix(
@@ -179,7 +212,7 @@ def mix(
     def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             posterior = batch.column("posterior__").flatten().to_numpy().reshape(-1, count)
-            rate, _ = rates_of(posterior, steps, max_rate)
+            rate = rates_of(posterior, steps, max_rate)[0]
             yield batch.append_column("rate__", pa.array(rate))
 
     schema = T.StructType([*scored.schema.fields, T.StructField("rate__", T.DoubleType())])

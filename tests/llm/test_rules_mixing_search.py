@@ -157,6 +157,25 @@ def test_rates_bring_the_totals_to_the_targets(spark):
     assert all(math.floor(r.rate) <= r.copies <= math.ceil(r.rate) and r.rate >= 0 for r in found)
 
 
+@pytest.mark.parametrize("small, wanted", [(1, 0.25), (1, 0.2), (2, 3.0), (5, 0.0)])
+def test_small_domains_reach_their_targets(spark, small, wanted):
+    # of 1,000 documents of equal length, so 1 is 0.1% of the tokens
+    toxic = [i < small for i in range(1000)]
+    made = [(i, 100, [0.0, 0.0, 1.0] if x else [float(i % 5 > 0), float(i % 5 == 0), 0.0]) for i, x in enumerate(toxic)]
+    scored = spark.createDataFrame(made, "doc_id long, tokens__ long, posterior__ array<double>")
+    steps = mixing.fit_rates(scored, np.array([1.2, 0.75, wanted]), None)
+    rate = mixing.rates_of(np.array([r[2] for r in made]), steps, None)[0]
+    assert rate[toxic] == pytest.approx(wanted, abs=1e-3)
+    assert rate[10::5] == pytest.approx(0.75, abs=1e-3) and rate[11::5] == pytest.approx(1.2, abs=1e-3)
+
+
+def test_rounds_that_do_not_suffice_are_reported():
+    draw = np.random.default_rng(3)
+    posterior, tokens = draw.dirichlet([1, 1, 1], 200), np.full(200, 10.0)
+    with pytest.warns(RuntimeWarning, match="not settled after 2 rounds"):
+        mixing.descend(lambda s: mixing.sums_of(posterior, tokens, s, None), np.array([1.3, 1.0, 0.2]), 2)
+
+
 def test_mixing_with_odd_rows(spark):
     docs, labels = labelled(n=120)
     made = [(i, t, "en", "s", 1) + (None,) * corpus.EXTRA for i, t in docs]
