@@ -14,10 +14,12 @@ lie before them in their queue: deficits carry over windows and partitions alike
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from fractions import Fraction
-from math import gcd
+from itertools import accumulate, islice
+from math import gcd, lcm
 
 import numpy as np
 import pyarrow as pa
@@ -30,70 +32,112 @@ from strandline.llm.tokens import default_tokenizer, encoder
 from strandline.session import keep, settings
 
 LENGTH = 4096
-MOST_SOURCES = 1000  # the rounds are planned for all sources together
+MOST_SOURCES = None  # any number of sources, unless a limit is set
 NO_SOURCE = "\x00none"  # queue of rows without a source
 
 
 @dataclass
 class Phase:
-    """Rounds during which the same queues are served."""
+    """Rounds during which the same queues are served; numbers per class of equal weight."""
 
     start: int  # ids sent before it, by all
     rounds: int
-    before: np.ndarray  # per source: ids sent before it
-    share: np.ndarray  # per source: numerator of the ids a round adds
+    before: list[int]  # ids that each live queue has sent before it
+    share: list[int]  # numerator of the ids that a round adds to each
     den: int
-    rest: np.ndarray  # per source: ids sent after the last round, when it has run dry
+    dry: list[int]  # queues of the class that are dry before it, the shortest ones
+    live: list[int]
+    dry_after: list[int]
 
-    def sent(self, source: int, rounds: np.ndarray) -> np.ndarray:
-        """Ids of a source sent in this many rounds of the phase."""
-        return rounds * int(self.share[source]) // self.den
+    def sent(self, kind: int, rounds: np.ndarray) -> np.ndarray:
+        """Ids that one queue of a class sends in this many rounds of the phase."""
+        return rounds * self.share[kind] // self.den
 
     def sent_by_all(self, rounds: np.ndarray, below: int | None = None) -> np.ndarray:
-        """Ids of all sources (or those before ``below``) sent in this many rounds."""
-        return sum((self.sent(s, rounds) for s in range(below if below is not None else len(self.share))),
+        """Ids that all queues (or those of the classes before ``below``) send in this many rounds."""
+        return sum((self.sent(c, rounds) * self.live[c] for c in range(below if below is not None else len(self.live))),
                    np.zeros_like(rounds))
 
 
-def plan(totals: list[int], weights: list[Fraction], length: int = LENGTH) -> list[Phase]:
+@dataclass
+class Plan:
+    """Queues of one weight are alike until they run dry, the shortest first. So a phase takes a few
+    numbers per weight, not per queue, and a round serves the queues by weight and length."""
+
+    kind: list[int]  # per queue: its class
+    rank: list[int]  # and its place in it
+    ahead: list[list[int]]  # per class: sums of the totals up to each rank
+    phases: list[Phase]
+
+    def rest(self, phase: Phase, kind: int, rank: int) -> int:
+        """Ids that the queues of a class below ``rank`` send behind the last round, as they run dry."""
+        first, last = phase.dry[kind], max(phase.dry[kind], min(rank, phase.dry_after[kind]))
+        each = phase.before[kind] + int(phase.sent(kind, np.array(phase.rounds, object)))
+        return self.ahead[kind][last] - self.ahead[kind][first] - (last - first) * each
+
+
+def plan(totals: list[int], weights: list[Fraction], length: int = LENGTH) -> Plan:
     """The phases that send all ids; at least one queue runs dry in each."""
-    sent, left, phases, start = [0] * len(totals), list(totals), [], 0
-    while any(left):
-        live = [s for s, n in enumerate(left) if n]
-        whole = sum(weights[s] for s in live)
-        shares = [weights[s] / whole * length if s in live else Fraction(0) for s in range(len(left))]
-        den = 1
-        for x in shares:
-            den = den * x.denominator // gcd(den, x.denominator)
-        num = np.array([int(x * den) for x in shares], object)
+    scale = lcm(*(w.denominator for w in weights))
+    distinct = sorted(set(weights))
+    number = {w: c for c, w in enumerate(distinct)}
+    whole = [int(w * scale) for w in distinct]
+    members: list[list[int]] = [[] for _ in distinct]
+    for s in sorted(range(len(totals)), key=lambda s: (totals[s], s)):
+        members[number[weights[s]]].append(s)
+    rank = [0] * len(totals)
+    for own in members:
+        for r, s in enumerate(own):
+            rank[s] = r
+    sizes = [[totals[s] for s in own] for own in members]
+    out = Plan([number[w] for w in weights], rank, [list(accumulate(x, initial=0)) for x in sizes], [])
+    dry, sent, start = [bisect_left(x, 1) for x in sizes], [0] * len(distinct), 0
+    while any(d < len(x) for d, x in zip(dry, sizes)):
+        live = [len(x) - d for d, x in zip(dry, sizes)]
+        den = sum(n * w for n, w in zip(live, whole))
+        common = gcd(den, *(w * length for w, n in zip(whole, live) if n))
+        num = [w * length // common if n else 0 for w, n in zip(whole, live)]
+        den //= common
         # the most rounds that no live queue is too short for
-        rounds = min(((left[s] + 1) * den - 1) // num[s] for s in live)
-        out = [int(rounds * num[s] // den) for s in range(len(left))]
-        rest = [left[s] - out[s] if s in live and (rounds + 1) * num[s] // den > left[s] else 0 for s in range(len(left))]
-        phases.append(Phase(start, int(rounds), np.array(sent), num, den, np.array(rest)))
-        for s in live:
-            sent[s] += out[s] + rest[s]
-            left[s] -= out[s] + rest[s]
-        start += sum(out) + sum(rest)
-    return phases
-
-
-def place(phases: list[Phase], source: int, lo: int, hi: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+        rounds = min(((sizes[c][dry[c]] - sent[c] + 1) * den - 1) // num[c] for c in range(len(whole)) if live[c])
+        own = [rounds * x // den for x in num]
+        more = [max((rounds + 1) * x // den, n + 1) for x, n in zip(num, own)]
+        after = [bisect_left(x, n + m, d) for x, n, m, d in zip(sizes, sent, more, dry)]
+        phase = Phase(start, rounds, list(sent), num, den, dry, live, after)
+        out.phases.append(phase)
+        start += sum(n * x for n, x in zip(live, own))
+        start += sum(out.rest(phase, c, after[c]) for c in range(len(whole)))
+        sent = [n + x for n, x in zip(sent, own)]
+        dry = after
+    return out
+
+
+def place(planned: Plan, source: int, lo: int, hi: int, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Pieces of the ids [lo, hi) of a queue: their starts in the queue and in the sequences."""
     starts, places = [], []
-    for p in phases:
-        first = int(p.before[source])
-        last = first + int(p.sent(source, np.array(p.rounds, object)))
+    kind, rank = planned.kind[source], planned.rank[source]
+    at_phase = max(0, bisect_right(planned.phases, lo, key=lambda p: p.before[kind]) - 1)
+    # phases without a round of their own share their start with the next
+    while at_phase and planned.phases[at_phase - 1].dry_after[kind] > rank:
+        at_phase -= 1
+    for p in islice(planned.phases, at_phase, None):
+        if p.dry[kind] > rank or p.before[kind] >= hi:
+            break
+        first = p.before[kind]
+        last = first + int(p.sent(kind, np.array(p.rounds, object)))
         a, b = max(lo, first), min(hi, last)
         if a < b:
-            num = int(p.share[source])
+            num = p.share[kind]
             k0, k1 = ((a - first) * p.den) // num, ((b - first) * p.den) // num + 1
-            small = (k1 + 1) * max(int(x) for x in p.share) < 1 << 62 and (k1 + 1) * p.den < 1 << 62
+            most = max(max(p.share), p.den, sum(n * x for n, x in zip(p.live, p.share)))
+            small = (k1 + 1) * most < 1 << 62
             rounds = np.arange(max(0, k0 - 1), min(k1, p.rounds) + 1).astype(np.int64 if small else object)
-            cut = first + p.sent(source, rounds)
+            cut = first + p.sent(kind, rounds)
             at = p.start + p.sent_by_all(rounds)
-            at = at + (p.sent_by_all(rounds + 1, source) - p.sent_by_all(rounds, source))
-            end = first + p.sent(source, rounds + 1)
+            at = at + (p.sent_by_all(rounds + 1, kind) - p.sent_by_all(rounds, kind))
+            end = first + p.sent(kind, rounds + 1)
+            at = at + (rank - p.dry[kind]) * (end - cut)
+            # the round behind the last one sends nothing here
             use = (end > a) & (cut < b) & (end > cut)
             cut, at = cut[use].astype(np.int64), at[use].astype(np.int64)
             if len(cut) and cut[0] < a:
@@ -101,12 +145,14 @@ def place(phases: list[Phase], source: int, lo: int, hi: int, length: int) -> tu
                 cut[0] = a
             starts.append(cut)
             places.append(at)
-        rest = int(p.rest[source])
-        a, b = max(lo, last), min(hi, last + rest)
-        if a < b:
-            at = p.start + int(p.sent_by_all(np.array(p.rounds, object))) + int(p.rest[:source].sum())
-            starts.append(np.array([a]))
-            places.append(np.array([at + a - last]))
+        if rank < p.dry_after[kind]:
+            a, b = max(lo, last), hi
+            if a < b:
+                at = p.start + int(p.sent_by_all(np.array(p.rounds, object)))
+                at += sum(planned.rest(p, c, p.dry_after[c]) for c in range(kind)) + planned.rest(p, kind, rank)
+                starts.append(np.array([a]))
+                places.append(np.array([at + a - last]))
+            break
     cut, at = np.concatenate(starts), np.concatenate(places)
     # cut where a piece crosses into the next sequence
     size = np.diff(np.append(cut, hi))
@@ -180,8 +226,8 @@ def pack(
     documents like others. An empty table gives no rows; other columns are not read.
 
     No row is shuffled: ids are stored where they were made, the counts per task and
-    source give each row's place in its queue. One row per source reaches the driver;
-    more than ``MOST_SOURCES`` sources are an error.
+    source give each row's place in its queue. One row per source reaches the driver. Any
+    number of sources is planned; the plan's size is at most that number times the different weights.
     """
     path = tokenizer or default_tokenizer()
     rows = tokenized(df, text, doc_id, source, path, end_id)
@@ -190,14 +236,14 @@ def pack(
     before = Window.partitionBy("queue").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     # one row per task and source
     starts = keep(sums.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))), "packing-starts")
-    totals = starts.groupBy("queue").agg(F.sum("n").alias("n")).limit(MOST_SOURCES + 1).collect()
-    if len(totals) > MOST_SOURCES:
+    totals = starts.groupBy("queue").agg(F.sum("n").alias("n")).collect()
+    if MOST_SOURCES is not None and len(totals) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
     found = sorted((r["queue"], int(r["n"])) for r in totals)
     given = {k: Fraction(v) for k, v in (weights or {}).items() if v > 0}
     least = min(given.values(), default=Fraction(1))
     queues = [q for q, _ in found]
-    phases = plan([n for _, n in found], [given.get(q, least) for q in queues], length)
+    planned = plan([n for _, n in found], [given.get(q, least) for q in queues], length)
     number = {q: i for i, q in enumerate(queues)}
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +262,7 @@ def pack(
             own = np.array(members)[np.argsort(first[members], kind="stable")]
             lo = int(first[own[0]])
             hi = int(first[own[-1]] + sizes[own[-1]])
-            starts, places = place(phases, number[queue], lo, hi, length)
+            starts, places = place(planned, number[queue], lo, hi, length)
             bounds = first[own]
             new = bounds[~np.isin(bounds, starts)]
             before = np.searchsorted(starts, new, "right") - 1

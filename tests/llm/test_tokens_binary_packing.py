@@ -125,6 +125,11 @@ def test_too_many_sources_are_an_error(spark, monkeypatch):
         packing.pack(corpus.frame(spark))
 
 
+def test_more_than_a_thousand_sources(spark):
+    made = [(i, f"a few words of {i}", "en", f"s{i % 1203}", 0) + (None,) * corpus.EXTRA for i in range(1500)]
+    check_pieces(packing.pack(corpus.frame(spark, made), length=128).collect(), made, 128)
+
+
 @given(st.lists(st.integers(0, 400), min_size=1, max_size=5), st.integers(1, 40), st.data())
 @settings(max_examples=60, deadline=None)
 def test_the_plan_sends_every_id_of_each_queue_once(totals, length, data):
