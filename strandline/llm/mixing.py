@@ -34,7 +34,7 @@ WORD_GAP = r"[\x20\x09-\x0D.,]+"  # between the words that are counted
 REGULARISATION = 1e-5
 PULL = 1e-5
 ROUNDS = 500
-ENOUGH = 1e-5  # of a domain's target: tokens that a round still moves when the rounds end
+ENOUGH = 1e-4  # of a domain's target: tokens that a round still moves when the rounds end
 
 
 def fit_domains(
@@ -150,6 +150,14 @@ def descend(
     return steps
 
 
+def reachable(multiples: list[float], max_rate: float | None) -> np.ndarray:
+    """The targets, at most what a domain has when all its documents are at ``max_rate``.
+
+    A gap that never closes would hold up the rates of all documents that have part in the domain.
+    """
+    return np.clip(np.array(multiples, float), None, max_rate)
+
+
 def fit_rates(
     scored: DataFrame, multiples: np.ndarray, max_rate: float | None, rounds: int = ROUNDS
 ) -> list[tuple[np.ndarray, float]]:
@@ -189,7 +197,8 @@ def mix(
     ``domain`` is the label of a row of ``labels`` (doc_id and other columns); rows whose domain or
     id is null are not used, and a document with several labels counts once for each. ``multiples``
     are the targets: per domain the expected tokens wanted, as a multiple of the present ones;
-    a domain without an entry should stay as it is. ``copies`` is the rate rounded up or down by a
+    a domain without an entry should stay as it is. More than ``max_rate`` cannot be reached and
+    counts as ``max_rate``. ``copies`` is the rate rounded up or down by a
     hash of the row, so that totals hold on average, and a rate of 1 or more never gives none.
 
     Without labelled rows all documents form one domain and keep rate 1. Null and empty texts have
@@ -205,7 +214,7 @@ def mix(
         "posteriors",
     )
     domains = domains or ["all"]
-    wanted = np.array([multiples.get(d, 1.0) for d in domains])
+    wanted = reachable([multiples.get(d, 1.0) for d in domains], max_rate)
     steps = fit_rates(scored, wanted, max_rate)
     count = len(domains)
 

@@ -176,6 +176,27 @@ def test_rounds_that_do_not_suffice_are_reported():
         mixing.descend(lambda s: mixing.sums_of(posterior, tokens, s, None), np.array([1.3, 1.0, 0.2]), 2)
 
 
+def test_targets_beyond_the_highest_rate_do_not_hold_up_the_others():
+    draw = np.random.default_rng(5)
+    own = draw.choice(3, 2000, p=[0.75, 0.15, 0.1])
+    leak = np.minimum(draw.exponential(0.05, 2000), 0.9)[:, None]
+    posterior = np.eye(3)[own] * (1 - leak) + np.array([0.9, 0.1, 0.0]) * leak
+    tokens = draw.integers(20, 400, 2000).astype(float)
+    steps = mixing.descend(
+        lambda s: mixing.sums_of(posterior, tokens, s, 1.0), mixing.reachable([1.2, 1.0, 0.2], 1.0)
+    )
+    found, present = mixing.rates_of(posterior, steps, 1.0)[0], tokens @ posterior
+
+    def gaps(rate):
+        return (tokens * rate) @ posterior / present - [1.0, 1.0, 0.2]
+
+    rate = np.ones(2000)
+    for _ in range(5000):  # plain projected gradient towards what a rate of 1 allows
+        rate = np.clip(rate - posterior @ gaps(rate), 0, 1)
+    assert (present * gaps(found) ** 2).sum() < (present * gaps(rate) ** 2).sum() + 1e-4 * present.sum()
+    assert abs(gaps(found)[2]) < 0.005
+
+
 def test_mixing_with_odd_rows(spark):
     docs, labels = labelled(n=120)
     made = [(i, t, "en", "s", 1) + (None,) * corpus.EXTRA for i, t in docs]
