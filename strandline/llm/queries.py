@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from strandline.llm import (
+    audit,
     binary,
+    chunk_codec,
     licenses,
     line_dedup,
     minhash,
     mixing,
+    negatives,
     packing,
     quality,
     substring_dedup,
@@ -253,6 +256,92 @@ def op10_binary(spark: SparkSession, folder: str) -> DataFrame:
     return binary.read_shards(spark, path)
 
 
+def op11_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.interactions(
+        table(spark, folder, "documents"),
+        table(spark, folder, "labels"),
+        {"good_lost": "quality = 1", "toxic_lost": "toxic = 1"},
+    )
+
+
+AUDIT = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), marks AS (
+  SELECT doc_id, max((quality = 1)::INTEGER) AS good, max((toxic = 1)::INTEGER) AS toxic FROM labels GROUP BY doc_id
+), failed AS (
+  SELECT part, doc_id, len(w) < 50 AS fa, 100 * len(list_distinct(w)) < 65 * len(w) AS fb,
+         100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t) AS fc,
+         regexp_matches(t, '[#$%&*|]') AS fd,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), FALSE) AS fe
+  FROM texts
+), masks AS (
+  SELECT part, concat(CASE WHEN fa THEN 'A' END, CASE WHEN fb THEN 'B' END, CASE WHEN fc THEN 'C' END,
+                      CASE WHEN fd THEN 'D' END, CASE WHEN fe THEN 'E' END) AS fails,
+         count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM failed LEFT JOIN marks USING (doc_id) GROUP BY ALL
+), letters(l) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+  FROM letters a JOIN letters b ON b.l <> a.l JOIN letters c ON c.l NOT IN (a.l, b.l)
+  JOIN letters d ON d.l NOT IN (a.l, b.l, c.l) JOIN letters e ON e.l NOT IN (a.l, b.l, c.l, d.l)
+), steps AS (
+  SELECT filter_order, step, filter_order[step] AS f, filter_order[1:step - 1] AS before
+  FROM (SELECT filter_order, unnest(generate_series(1, 5))::INTEGER AS step FROM orders)
+), counts AS (
+  SELECT part, filter_order, step, f,
+         sum(n) FILTER (translate(fails, before || f, '') = fails) AS kept,
+         sum(n) FILTER (contains(fails, f) AND translate(fails, before, '') = fails) AS removed,
+         sum(n) FILTER (contains(fails, f) AND translate(fails, before, '') <> fails) AS redundant,
+         sum(n) FILTER (fails = f) AS unique_fails,
+         sum(good) FILTER (contains(fails, f) AND translate(fails, before, '') = fails) AS good_lost,
+         sum(toxic) FILTER (contains(fails, f) AND translate(fails, before, '') = fails) AS toxic_lost
+  FROM masks, steps GROUP BY ALL
+)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       sum(coalesce(removed, 0)) OVER (PARTITION BY part, f)::BIGINT AS shapley
+FROM counts
+"""
+
+
+def op12_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), "vec_id % 50 = 0")
+
+
+NEGATIVES = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.v::DOUBLE[], b.v::DOUBLE[]) AS BIGINT) AS score
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+def op13_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return chunk_codec.encode_documents(table(spark, folder, "documents"), digests=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_lines": op2_lines,
@@ -264,6 +353,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk": op8_topk,
     "op9_suffix": op9_suffix,
     "op10_binary": op10_binary,
+    "op11_audit": op11_audit,
+    "op12_negatives": op12_negatives,
+    "op13_chunks": op13_chunks,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -274,4 +366,6 @@ TWINS: dict[str, str] = {
     "op6_quality": QUALITY,
     "op7_minhash": NEAR,
     "op8_topk": TOPK,
+    "op11_audit": AUDIT,
+    "op12_negatives": NEGATIVES,
 }
