@@ -1,40 +1,43 @@
 """BPE encoding and decoding with content-defined chunks that documents share.
 
 A rolling hash over the text's bytes cuts it wherever the hash has a given remainder, so
-the same passage is cut in the same places in every document. Each distinct chunk is
-encoded once, whatever number of documents holds it, and its ids go back to the groups of
-documents that asked for it. There a document's chunks are put together again.
+the same passage is cut in the same places in every document. A worker encodes each chunk
+once and puts every further document that holds it together from what it has.
 
 Encoded on its own, a chunk may have other ids at its ends than inside the text, for a cut
 may part a word. The tokenizer drops white space and no id comes from both sides of a blank
 or a line break. So a join is encoded anew from the last such place before the cut to the
 first behind it, and further while a chunk holds none. The ids next to that stretch must be
 those the chunks have, which is checked for every chunk when it is encoded.
+
+No text leaves its task. Sending every chunk to one place where it is encoded once for the
+whole corpus moves the text, and then its ids back, through the network.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from strandline.llm.text import SMALL_BATCHES, prefix_hash, range_hash, texts
-from strandline.llm.tokens import default_tokenizer
+from strandline.llm.tokens import default_tokenizer, encoder
 from strandline.session import keep, settings
 
 WINDOW = 24  # bytes that decide about a cut
-MEAN_BYTES = 1024  # of a chunk
+MEAN_BYTES = 2048  # of a chunk
 MOST_BYTES = 16 * MEAN_BYTES  # a chunk is cut after so many, without a trigger
-GROUP_BYTES = 8 << 20  # of text whose chunks are handed back together, or one text
-KEPT_JOINS = 200_000  # encoded joins that a task remembers,
+KEPT_IDS = 8_000_000  # ids of chunks that a worker remembers at least, if it has seen as many; and twice as many at most
+KEPT_JOINS = 200_000  # encoded joins that a worker remembers,
 SHORT_JOIN = 200  # of so many characters at most
+ROWS = 256  # texts handled at once
 BREAKS = " \n"  # no id comes from both sides of these
 
 
@@ -81,37 +84,34 @@ def chunked(column: pa.Array, mean: int) -> Iterator[tuple[int, list[bytes]]]:
             yield lo + i, [raw[a:b] for a, b in zip(own, own[1:])]
 
 
-class Groups:
-    """Numbers the groups of a task: a new one after so many bytes of text."""
-
-    def __init__(self) -> None:
-        self.first, self.made, self.held = TaskContext.get().partitionId() << 32, 0, 0
-
-    def of(self, size: int) -> int:
-        if self.held and self.held + size > GROUP_BYTES:
-            self.made, self.held = self.made + 1, 0
-        self.held += size
-        return self.first + self.made
-
-
 class Codec:
-    """A task's tokenizer, with the ids of joins it has seen and the texts of the ids."""
+    """A worker's tokenizer, with the chunks and joins it has encoded and the texts of the ids."""
 
     def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        size = self.tokenizer.get_vocab_size()
-        self.names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        if not parted_by_breaks(tokenizer):
+            raise ValueError("ids at a break depend on what stands behind it")
+        self.encoder = encoder(path)
+        size = tokenizer.get_vocab_size()
+        self.names = [tokenizer.id_to_token(i) or "" for i in range(size)]
         self.numbers = [str(i) for i in range(size)]
         self.joins: dict[str, list[int]] = {}
+        # chunks met lately and before; the older ones are forgotten all at once
+        self.recent: dict[bytes, Chunk] = {}
+        self.older: dict[bytes, Chunk] = {}
+        self.held = 0
+        self.encoded = 0  # chunks so far
 
-    def encode(self, pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    def encode(self, pieces: list[str]) -> list[np.ndarray]:
+        ids, counts = self.encoder.encode(pieces)
+        return np.split(ids, np.cumsum(counts)[:-1]) if pieces else []
 
     def encode_joins(self, pieces: list[str]) -> list[list[int]]:
         new = list({p for p in pieces if p not in self.joins})
-        self.joins.update(zip(new, self.encode(new)))
+        self.joins.update(zip(new, [ids.tolist() for ids in self.encode(new)]))
         out = [self.joins[p] for p in pieces]
         for p in new:
             if len(p) > SHORT_JOIN:
@@ -120,6 +120,54 @@ class Codec:
             self.joins = {}
         return out
 
+    def chunks(self, by_name: dict[bytes, bytes]) -> dict[bytes, Chunk]:
+        """All wanted chunks by name; those not remembered are encoded now."""
+        out = {}
+        for name in by_name:
+            found = self.recent.get(name) or self.older.get(name)
+            if found:
+                out[name] = found
+        missing = [name for name in by_name if name not in out]
+        out.update(zip(missing, encoded([by_name[n].decode() for n in missing], self)))
+        self.encoded += len(missing)
+        for name, chunk in out.items():
+            if name not in self.recent:
+                self.recent[name] = chunk
+                self.held += len(chunk.middle) if chunk.middle is not None else len(chunk.head)
+        if self.held > KEPT_IDS:
+            self.older, self.recent, self.held = self.recent, {}, 0
+        return out
+
+
+_codecs: dict[str, Codec] = {}
+
+
+def codec_of(path: str) -> Codec:
+    """The worker's codec for a tokenizer file, with what it has kept so far."""
+    if path not in _codecs:
+        _codecs[path] = Codec(path)
+    return _codecs[path]
+
+
+@dataclass(frozen=True, slots=True)
+class Chunk:
+    """Ids between the first and the last break, and what stands before and behind these.
+
+    A chunk without a break is all head; it has no middle.
+    """
+
+    middle: np.ndarray | None
+    head: str
+    tail: str
+
+
+def parted_by_breaks(tokenizer: Tokenizer) -> bool:
+    """Whether every entry of the vocabulary has its own ids between breaks, whatever its neighbours."""
+    special = {str(t.content) for t in tokenizer.get_added_tokens_decoder().values()}
+    entries = [e.replace("</w>", "") for e in tokenizer.get_vocab() if e not in special]
+    alone = [i for e in tokenizer.encode_batch_fast(entries, add_special_tokens=False) for i in e.ids]
+    return all(tokenizer.encode(mark.join(entries), add_special_tokens=False).ids == alone for mark in BREAKS)
+
 
 def head_and_tail(chunk: str) -> tuple[int, int]:
     """End of what stands before the first break, start of what stands behind the last; -1 without a break."""
@@ -127,113 +175,34 @@ def head_and_tail(chunk: str) -> tuple[int, int]:
     return first, max(map(chunk.rfind, BREAKS)) + 1 if first >= 0 else -1
 
 
-def encoded(chunks: list[str], codec: Codec) -> list[tuple]:
-    """(ids of the middle, head, tail) per chunk; a chunk without a break is all head, its middle null.
-
-    The ids of a whole chunk must begin with those of its head and end with those of its tail.
-    """
+def encoded(chunks: list[str], codec: Codec) -> list[Chunk]:
+    """The ids of a whole chunk must begin with those of its head and end with those of its tail."""
     parts = [head_and_tail(c) for c in chunks]
     heads = [c if a < 0 else c[:a] for c, (a, _) in zip(chunks, parts)]
     tails = ["" if a < 0 else c[b:] for c, (a, b) in zip(chunks, parts)]
     ids, head_ids, tail_ids = codec.encode(chunks), codec.encode_joins(heads), codec.encode_joins(tails)
     out = []
     for whole, head, tail, h, t, (a, _) in zip(ids, heads, tails, head_ids, tail_ids, parts):
-        if a < 0:
-            out.append((None, head, tail))
-            continue
-        end = len(whole) - len(t)
-        if len(h) > end or whole[: len(h)] != h or whole[end:] != t:
-            raise ValueError("ids at a break depend on what stands behind it")
-        out.append((np.array(whole[len(h) : end], "<u4").tobytes(), head, tail))
+        middle = None
+        if a >= 0:
+            end = len(whole) - len(t)
+            if len(h) > end or whole[: len(h)].tolist() != h or whole[end:].tolist() != t:
+                raise ValueError("ids at a break depend on what stands behind it")
+            middle = whole[len(h) : end].copy()
+        out.append(Chunk(middle, head, tail))
     return out
 
 
-def put_together(chunks: list[tuple]) -> tuple[list[str], list[bytes]]:
+def put_together(chunks: list[Chunk]) -> tuple[list[str], list[np.ndarray]]:
     """The stretches to encode anew and the middles of a document, which alternate; stretches are first and last."""
-    joins, middles, open_part = [], [], ""
-    for middle, head, tail in chunks:
-        open_part += head
-        if middle is not None:
-            joins.append(open_part)
-            middles.append(middle)
-            open_part = tail
-    return [*joins, open_part], middles
-
-
-def orders(rows: DataFrame, mean: int) -> DataFrame:
-    """What the groups need: a row per distinct chunk of a group, and one per document.
-
-    A chunk's row has its name as key, and its compressed text if the task meets it for the
-    first time. A document's row has the names of its chunks, one after another; its key is
-    there to spread these rows.
-    """
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups, packer = Groups(), zstandard.ZstdCompressor(3, write_content_size=True)
-        sent: set[bytes] = set()
-        seen: set[bytes] = set()
-        last = -1
-        for batch in batches:
-            numbers = batch.column("doc_id").to_pylist()
-            out = []
-            for row, chunks in chunked(batch.column("text"), mean):
-                group = groups.of(sum(map(len, chunks)))
-                if group != last:
-                    seen, last = set(), group
-                names = list(map(chunk_name, chunks))
-                for name, chunk in zip(names, chunks):
-                    if name not in seen:
-                        seen.add(name)
-                        out.append((name, group, None if name in sent else packer.compress(chunk), None, None))
-                        sent.add(name)
-                out.append((chunk_name(b"%d %d" % (group, len(out))), group, None, numbers[row], b"".join(names)))
-            if out:
-                kinds = [pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["key", "group", "text", "doc_id", "names"]
-                )
-
-    return rows.mapInArrow(cut, "key binary, group long, text binary, doc_id long, names binary")
-
-
-def answers(ordered: DataFrame, tokenizer: str) -> DataFrame:
-    """Chunk rows with the middle ids, head and tail in place of the text; document rows as they are.
-
-    Each distinct chunk is encoded once: its rows are in one task, the one with the text first.
-    """
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, opener = Codec(tokenizer), zstandard.ZstdDecompressor()
-        packer = zstandard.ZstdCompressor(3)
-        last, answer = None, ()  # of the chunk met last; its rows may reach into the next batch
-        for batch in batches:
-            keys, names = batch.column("key").to_pylist(), batch.column("names").to_pylist()
-            wanted = [k if n is None else None for k, n in zip(keys, names)]
-            blobs, fresh, before = batch.column("text"), [], last
-            for i, key in enumerate(wanted):
-                if key is not None and key != before:
-                    fresh.append(opener.decompress(blobs[i].as_py()).decode())
-                    before = key
-            new = iter([(m if m is None else packer.compress(m), h, t) for m, h, t in encoded(fresh, codec)])
-            out = []
-            for key in wanted:
-                if key is not None and key != last:
-                    last, answer = key, next(new)
-                out.append((None, None, None) if key is None else answer)
-            kinds = [pa.binary(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("group"), pa.array(wanted, pa.binary()),
-                    *[pa.array(c, k) for c, k in zip(zip(*out), kinds)],
-                    batch.column("doc_id"), batch.column("names"),
-                ],
-                ["group", "name", "middle", "head", "tail", "doc_id", "names"],
-            )
-
-    by_key = ordered.repartition("key").sortWithinPartitions("key", F.col("text").isNull())
-    return by_key.mapInArrow(
-        encode, "group long, name binary, middle binary, head string, tail string, doc_id long, names binary"
-    )
+    joins, middles, open_parts = [], [], []
+    for chunk in chunks:
+        open_parts.append(chunk.head)
+        if chunk.middle is not None:
+            joins.append("".join(open_parts))
+            middles.append(chunk.middle)
+            open_parts = [chunk.tail]
+    return [*joins, "".join(open_parts)], middles
 
 
 def encode_documents(
@@ -256,52 +225,42 @@ def encode_documents(
     empty: it has no ids. Rows of equal id, null ids included, keep a result each. An empty
     table gives no rows. Other columns are not read.
 
-    A chunk's text crosses the network once per task that meets it, and its ids come back
-    once per group of some ``GROUP_BYTES`` of text; so however many documents share a chunk,
-    they cost a row a group. A group's distinct chunks are held by one task. Rows are told
-    apart by 128-bit hashes of their chunks.
+    Nothing is shuffled. A worker keeps the ids of the chunks it met last (``KEPT_IDS``) for
+    all its tasks, so a chunk that many documents share is encoded once by each worker.
+    Chunks are told apart by 128-bit hashes.
     """
     path = tokenizer or default_tokenizer()
     if Tokenizer.from_file(path).decoder is not None:
         raise ValueError("the tokenizer decodes by rules of its own")
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    spark = df.sparkSession
     last = "ids_sha256 string, decoded_sha256 string" if digests else "ids binary, decoded string"
 
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, opener = Codec(path), zstandard.ZstdDecompressor()
-        group, known = None, {}
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = codec_of(path)
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("group", "name", "middle", "head", "tail", "doc_id", "names")]
-            documents = []
-            for own, name, middle, head, tail, number, names in zip(*columns):
-                if own != group:
-                    group, known = own, {}
-                if name is not None:
-                    known[name] = (middle, head, tail)
-                else:
-                    chunks = [known[names[i : i + 16]] for i in range(0, len(names), 16)]
-                    documents.append((number, *put_together(chunks)))
-            joins = iter(codec.encode_joins([j for _, js, _ in documents for j in js]))
-            out = []
-            for number, stretches, middles in documents:
-                ids = list(next(joins))
-                for middle in middles:
-                    ids += np.frombuffer(opener.decompress(middle), "<u4").tolist()
-                    ids += next(joins)
-                decoded = " ".join(map(codec.names.__getitem__, ids))
-                if digests:
-                    decimal = " ".join(map(codec.numbers.__getitem__, ids))
-                    result = [hashlib.sha256(x.encode()).hexdigest() for x in (decimal, decoded)]
-                else:
-                    result = [np.array(ids, "<u4").tobytes(), decoded]
-                out.append((number, len(ids), *result))
-            if out:
-                kinds = [pa.int64(), pa.int64(), *([pa.string()] * 2 if digests else [pa.binary(), pa.string()])]
+            for lo in range(0, batch.num_rows, ROWS):
+                piece = batch.slice(lo, ROWS)
+                named = [[(chunk_name(c), c) for c in chunks] for _, chunks in chunked(piece.column("text"), mean_bytes)]
+                known = codec.chunks(dict(pair for own in named for pair in own))
+                documents = [put_together([known[name] for name, _ in own]) for own in named]
+                joins = iter(codec.encode_joins([j for stretches, _ in documents for j in stretches]))
+                counts, results = [], []
+                for _, middles in documents:
+                    ids = list(next(joins))
+                    for middle in middles:
+                        ids += middle.tolist()
+                        ids += next(joins)
+                    decoded = " ".join(map(codec.names.__getitem__, ids))
+                    counts.append(len(ids))
+                    if digests:
+                        decimal = " ".join(map(codec.numbers.__getitem__, ids))
+                        results.append([hashlib.sha256(x.encode()).hexdigest() for x in (decimal, decoded)])
+                    else:
+                        results.append((np.array(ids, "<u4").tobytes(), decoded))
+                kinds = [pa.string(), pa.string()] if digests else [pa.binary(), pa.string()]
+                columns = [pa.array(c, k) for c, k in zip(zip(*results), kinds)]
                 names = ["doc_id", "n_tokens", *[x.split()[0] for x in last.split(", ")]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(counts, pa.int64()), *columns], names)
 
-    with settings(spark, SMALL_BATCHES):
-        together = answers(orders(rows, mean_bytes), path).repartition("group")
-        ready = together.sortWithinPartitions("group", F.col("name").isNull())
-        return keep(ready.mapInArrow(assemble, f"doc_id long, n_tokens long, {last}"), "encoded")
+    with settings(df.sparkSession, SMALL_BATCHES):
+        return keep(rows.mapInArrow(code, f"doc_id long, n_tokens long, {last}"), "encoded")

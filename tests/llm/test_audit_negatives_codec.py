@@ -261,17 +261,24 @@ def test_codec_of_an_empty_table(spark):
     assert out.count() == 0 and out.columns == ["doc_id", "n_tokens", "ids", "decoded"]
 
 
-def test_each_shared_chunk_is_encoded_once(spark, library):
-    """Documents share a passage at different places; its inner chunks have one text row each."""
+def test_a_shared_chunk_is_encoded_once(library, monkeypatch):
+    """Documents share a passage at different places; only its ends are encoded again."""
     draw, words = random.Random(8), vocabulary()
     passage = " ".join(draw.choices(words, k=600))
-    docs = [(i, " ".join(draw.choices(words, k=7 * i)) + " " + passage) for i in range(40)]
-    rows = small(spark, *docs).coalesce(1)
-    made = chunk_codec.orders(rows.select("doc_id", "text"), 256).where("names IS NULL")
-    chunks, texts = made.select("key").distinct().count(), made.where("text IS NOT NULL").count()
-    assert chunks == texts  # one task sends a chunk once
-    total = sum(len(c) for _, c in chunk_codec.chunked(pa.array([t for _, t in docs]), 256))
-    assert chunks < total / 2
+    docs = [" ".join(draw.choices(words, k=7 * i)) + " " + passage for i in range(40)]
+    codec = chunk_codec.Codec(default_tokenizer())
+    cut = [c for _, chunks in chunk_codec.chunked(pa.array(docs), 256) for c in chunks]
+    for half in (cut[: len(cut) // 2], cut[len(cut) // 2 :], cut):
+        codec.chunks({chunk_codec.chunk_name(c): c for c in half})
+    assert codec.encoded == len(set(cut)) < len(cut) / 2
+    monkeypatch.setattr(chunk_codec, "KEPT_IDS", 50)  # all is forgotten again, and found anew
+    small = chunk_codec.Codec(default_tokenizer())
+    for chunk in cut * 2:
+        (found,) = small.chunks({chunk_codec.chunk_name(chunk): chunk}).values()
+        again = chunk_codec.encoded([chunk.decode()], codec)[0]
+        assert (found.head, found.tail) == (again.head, again.tail)
+        assert found.middle is again.middle or found.middle.tolist() == again.middle.tolist()
+    assert small.held <= 50 and len(small.recent) + len(small.older) < 10
 
 
 def test_cuts_depend_on_content_alone():
