@@ -25,10 +25,11 @@ from strandline.plans.catalogue.inputs import (
     text_snapshots,
     without_zone,
 )
-from strandline.plans.hospital import medallion_run
-from strandline.schemas import AGE_BANDS, AGE_REST, VITALS
+from strandline.plans.hospital import medallion_run, refresh_gold
+from strandline.schemas import AGE_BANDS, AGE_REST, HOSPITAL, VITALS
 from strandline.session import scratch_path
 from strandline.sources.zones import read_curated, table_path, write_csv, write_parquet
+from strandline.streaming.readings import arriving, silver_exact
 
 
 def silver_patients(spark: SparkSession, folder: str) -> DataFrame:
@@ -153,13 +154,8 @@ FROM events GROUP BY 1 ORDER BY 1
 """
 
 
-def medallion_query(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole batch, fed with the given tables in the shape of the hospital tables.
-
-    Returns the rows of the three Gold tables, and of Silver vitals, below one another.
-    """
-    base = scratch_path(spark, "medallion")
-    bronze, silver, gold = (f"{base}/{zone}" for zone in ("bronze", "silver", "gold"))
+def hospital_rows(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The given tables in the shape of the hospital tables, as they come in Bronze."""
     orders, lines = given(spark, folder, "orders"), given(spark, folder, "lineitem")
     events = given(spark, folder, "events")
     patients = orders.select(
@@ -194,7 +190,18 @@ def medallion_query(spark: SparkSession, folder: str) -> DataFrame:
         F.col("user_id").alias("patients_waiting"),
         F.floor("value").alias("avg_wait_minutes"),
     )
-    for name, df in (("patients", patients), ("vitals", vitals), ("operations", operations)):
+    return {"patients": patients, "vitals": vitals, "operations": operations}
+
+
+def medallion_query(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole batch, fed with the given tables in the shape of the hospital tables.
+
+    Returns the rows of the three Gold tables, and of Silver vitals, below one another.
+    """
+    base = scratch_path(spark, "medallion")
+    bronze, silver, gold = (f"{base}/{zone}" for zone in ("bronze", "silver", "gold"))
+    frames = hospital_rows(spark, folder)
+    for name, df in frames.items():
         write_csv(df, table_path(bronze, name))
     medallion_run(spark, bronze, silver, gold)
 
@@ -265,6 +272,84 @@ FROM (SELECT DISTINCT concat_ws('|', l_orderkey, l_suppkey, strftime(l_shipdate,
       FROM lineitem)
 """
 
+# Days of the second arrival, which sends their odd rows, and their even ones once more. The
+# other days of patients and vitals are quarters here, to have fewer of them.
+LATER = {"patients": "dayofyear({day}) IN (40, 200)", "operations": "dayofmonth({day}) IN (3, 17)"}
+LATER["vitals"] = LATER["patients"]
+
+
+def gold_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Two arrivals by stream, with a refresh of Gold after each; the second has late rows and copies.
+
+    Returns the rows of the four Gold tables below one another, and per Silver table the days
+    that the second refresh read.
+    """
+    base = scratch_path(spark, "incremental")
+    frames = hospital_rows(spark, folder)
+    arrivals = {}
+    for name, ts, number in (
+        ("patients", "admission_ts", "patient_id"),
+        ("vitals", "reading_ts", "patient_id"),
+        ("operations", "snapshot_ts", "patients_waiting"),
+    ):
+        rows, day = frames[name], F.to_date(ts)
+        later = rows.withColumn("day", day).withColumn("later", F.expr(LATER[name].format(day="day")))
+        if name != "operations":
+            quarter = F.trunc(F.col("day"), "quarter")
+            later = later.withColumn(ts, ts_text(F.when(F.col("later"), F.col("day")).otherwise(quarter).cast("timestamp")))
+        odd = F.pmod(F.col(number).cast("long"), F.lit(2)) == 1
+        parts = later.where(~F.col("later") | ~odd), later.where("later")
+        arrivals[name] = [part.select(*rows.columns) for part in parts]
+    for turn in (0, 1):
+        for name, parts in arrivals.items():
+            arrived = f"{base}/arrived/{name}"
+            write_csv(parts[turn], f"{arrived}/{turn}")
+            stream = arriving(spark, arrived, HOSPITAL[name])
+            silver_exact(stream, HOSPITAL[name], f"{base}/silver/{name}", f"{base}/state/{name}").awaitTermination()
+        read = refresh_gold(spark, f"{base}/silver", f"{base}/states", f"{base}/gold")
+    names = {
+        "department_kpis": ("department", "''", "avg_occupancy_pct", "avg_wait_min", "peak_queue"),
+        "readmission_by_age": ("department", "age_group", "readmit_rate_pct", "readmissions", "total_patients"),
+        "vitals_by_admission_type": ("admission_type", "''", "avg_heart_rate", "avg_systolic_bp", "patients"),
+        "daily_trend": ("CAST(snapshot_date AS STRING)", "''", "avg_occupancy_pct", "avg_wait_min", "total_waiting"),
+    }
+    out = spark.createDataFrame(
+        [("refreshed", name, "", None, None, days) for name, days in read.items()],
+        "gold_table string, key_1 string, key_2 string, metric_1 double, metric_2 double, metric_3 long",
+    )
+    for name, columns in names.items():
+        key_1, key_2, one, two, three = columns
+        out = out.unionByName(
+            read_curated(spark, f"{base}/gold", name).selectExpr(
+                f"'{name}' AS gold_table", f"{key_1} AS key_1", f"{key_2} AS key_2", f"CAST({one} AS DOUBLE) AS metric_1",
+                f"CAST({two} AS DOUBLE) AS metric_2", f"CAST({three} AS BIGINT) AS metric_3",
+            )
+        )
+    return out
+
+
+GOLD_INCREMENTAL = f"""
+{MEDALLION[: MEDALLION.index("UNION ALL\nSELECT 'silver_vitals'")]}
+UNION ALL
+SELECT 'vitals_by_admission_type', o_orderstatus, '', ROUND(AVG(heart_rate), 1), ROUND(AVG(bp), 0),
+       COUNT(DISTINCT l_orderkey)
+FROM (SELECT DISTINCT l_orderkey, l_suppkey, l_linestatus, l_quantity AS heart_rate, l_discount, l_tax, l_linenumber AS bp,
+             CASE WHEN {LATER['vitals'].format(day='l_shipdate')} THEN CAST(l_shipdate AS DATE)
+                  ELSE CAST(date_trunc('quarter', l_shipdate) AS DATE) END AS day FROM lineitem)
+JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderstatus
+{"".join(
+    f"""UNION ALL
+SELECT 'refreshed', '{name}', '', NULL, NULL,
+       COUNT(DISTINCT CAST({ts} AS DATE)) FILTER ({LATER[name].format(day=ts)} AND {number} % 2 = 1)
+FROM {table}
+"""
+    for name, ts, number, table in (
+        ("patients", "o_orderdate", "o_orderkey", "orders"),
+        ("vitals", "l_shipdate", "l_orderkey", "lineitem"),
+        ("operations", "ts", "user_id", "events"),
+    )
+)}"""
+
 ENTRIES = {
     "silver_patients": (silver_patients, SILVER_PATIENTS),
     "silver_vitals": (silver_vitals, SILVER_VITALS),
@@ -275,4 +360,5 @@ ENTRIES = {
     "join_kpi": (join_kpi_query, JOIN_KPI),
     "daily_trend": (daily_trend_query, DAILY_TREND),
     "medallion_run": (medallion_query, MEDALLION),
+    "gold_incremental": (gold_incremental, GOLD_INCREMENTAL),
 }

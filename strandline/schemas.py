@@ -76,6 +76,7 @@ PATIENTS = Table(
         "readmitted_30d": WHOLE,
     },
     required=("patient_id",),
+    time="admission_ts",
 )
 
 VITALS = Table(
