@@ -66,8 +66,12 @@ def train_forest(
     depth: int = 8,
     bins: int = 128,
     seed: int = 42,
+    bootstrap: bool = True,
 ) -> PipelineModel:
-    """Random forest; ``bins`` is the number of split candidates per number."""
+    """Random forest; ``bins`` is the number of split candidates per number.
+
+    Without ``bootstrap`` every tree is fitted to all rows as they are.
+    """
     rows, _ = weighted(train, target, numeric)
     classifier = RandomForestClassifier(
         featuresCol=FEATURES,
@@ -77,6 +81,7 @@ def train_forest(
         maxDepth=depth,
         maxBins=bins,
         seed=seed,
+        bootstrap=bootstrap,
     )
     return Pipeline(stages=[*feature_stages(categorical, numeric), classifier]).fit(rows)
 

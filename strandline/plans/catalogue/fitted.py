@@ -16,6 +16,7 @@ from strandline.functions.columns import flag, rule_score
 from strandline.models.features import FEATURES, encoder_stages, feature_names, feature_stages, one_hot_rows
 from strandline.models.scoring import high_risk, report, score
 from strandline.models.training import feature_importance, train_forest, train_logistic, weighted
+from strandline.models.trees import forest_scores, node_importance, node_table
 from strandline.operators.evaluate import accuracy, confusion, roc_auc, roc_curve
 from strandline.operators.split import class_weights, stratified_split
 from strandline.plans.catalogue.inputs import given
@@ -286,18 +287,74 @@ def forest(spark: SparkSession, folder: str):
 
 
 def train_rf(spark: SparkSession, folder: str) -> DataFrame:
-    """Test rows per label as the forest's confusion matrix counts them, and its number of trees."""
+    """Test rows, and whether prediction and score are what the forest's node table gives."""
     model, test = forest(spark, folder)
-    matrix = confusion(score(model, test), TARGET, "prediction")
-    return matrix.select(
+    own = score(model, test).select("doc_id", F.col(TARGET).alias("label"), "prediction", "score")
+    nodes = node_table(spark, model)
+    found = forest_scores(model, nodes, test, "doc_id", "node_")
+    return own.join(found, "doc_id", "left").select(
+        "doc_id",
         "label",
-        (F.col("predicted_0") + F.col("predicted_1")).alias("tested"),
-        F.lit(model.stages[-1].getNumTrees).alias("trees"),
+        "trees",
+        F.coalesce(F.abs(F.col("score") - F.col("node_score")) < 1e-9, F.lit(False)).alias("score_agrees"),
+        # equal votes are a tie that rounding may break either way
+        F.coalesce(
+            (F.col("prediction") == F.col("node_prediction")) | (F.abs(F.col("node_score") - 0.5) < 1e-9), F.lit(False)
+        ).alias("prediction_agrees"),
     )
 
 
 TRAIN_RF = f"""
-SELECT quality AS label, COUNT(*) AS tested, 300 AS trees FROM ({MODEL_SPLIT}) WHERE is_test GROUP BY quality
+SELECT doc_id, quality AS label, 300::BIGINT AS trees, TRUE AS score_agrees, TRUE AS prediction_agrees
+FROM ({MODEL_SPLIT}) WHERE is_test
+"""
+
+
+def forest_root(spark: SparkSession, folder: str) -> DataFrame:
+    """The one split of a tree of depth 1 over all rows and categories: gain, and class weights on either side."""
+    rows = keep(model_input(spark, folder), "model-input")
+    model = train_forest(rows, TARGET, CATEGORICAL, [], trees=1, depth=1, bootstrap=False)
+    nodes = node_table(spark, model)
+    names = F.array(*[F.lit(n) for n in feature_names(model, [])])
+    root = nodes.where("feature IS NOT NULL").select(
+        F.get(names, F.col("feature")).alias("feature"), F.round("gain", 6).alias("gain"), "left_values",
+        F.inline(
+            F.array(
+                F.struct(F.lit(True).alias("left"), F.col("left_node").alias("child")),
+                F.struct(F.lit(False).alias("left"), F.col("right_node").alias("child")),
+            )
+        ),
+    )
+    ends = nodes.select(F.col("node").alias("child"), "votes", "rows")
+    # the slot's value on this side: that of the left values, or the other one
+    value = F.when(F.col("left") == F.array_contains("left_values", F.lit(1.0)), 1).otherwise(0)
+    return root.join(ends, "child").select(
+        "feature", "gain", value.alias("value"), "rows",
+        *[F.round(F.get("votes", F.lit(i)), 6).alias(f"weight_{i}") for i in (0, 1)],
+    )
+
+
+FOREST_ROOT = """
+WITH rows AS (SELECT lang, source, quality FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL),
+weighted AS (
+  SELECT *, (SELECT COUNT(*) FROM rows) / (2.0::DOUBLE * COUNT(*) OVER (PARTITION BY quality)) AS w FROM rows
+), slots AS (
+  SELECT DISTINCT 1 AS part, lang AS level FROM rows WHERE lang IS NOT NULL
+  UNION ALL SELECT DISTINCT 2, source FROM rows WHERE source IS NOT NULL
+), sides AS (
+  SELECT part, level, CASE WHEN coalesce(CASE part WHEN 1 THEN lang ELSE source END = level, FALSE) THEN 1 ELSE 0 END AS value,
+         COUNT(*) AS n, SUM(CASE WHEN quality = 0 THEN w ELSE 0 END) AS w0, SUM(CASE WHEN quality = 1 THEN w ELSE 0 END) AS w1
+  FROM weighted CROSS JOIN slots GROUP BY 1, 2, 3
+), impure AS (
+  SELECT *, w0 + w1 AS w, 1 - (w0 * w0 + w1 * w1) / ((w0 + w1) * (w0 + w1)) AS gini FROM sides
+), gains AS (
+  SELECT part, level,
+         1 - (SUM(w0) * SUM(w0) + SUM(w1) * SUM(w1)) / (SUM(w) * SUM(w)) - SUM(w * gini) / SUM(w) AS gain
+  FROM impure GROUP BY part, level HAVING COUNT(*) = 2
+), best AS (SELECT * FROM gains ORDER BY ROUND(gain, 12) DESC, part, level LIMIT 1)
+SELECT CASE part WHEN 1 THEN 'lang_' ELSE 'source_' END || level AS feature, ROUND(gain, 6) AS gain, value, n AS rows,
+       ROUND(w0, 6) AS weight_0, ROUND(w1, 6) AS weight_1
+FROM best JOIN impure USING (part, level)
 """
 
 
@@ -325,14 +382,16 @@ SCORE = f"SELECT doc_id, TRUE AS score_agrees, TRUE AS prediction_agrees FROM ({
 
 
 def importance_query(spark: SparkSession, folder: str) -> DataFrame:
-    """Per slot whether it has an importance within [0, 1], and the sum over all slots."""
+    """Per slot whether its importance is what the gains of the forest's nodes give, and the sum over all slots."""
     model, test = forest(spark, folder)
     ranked = feature_importance(model, NUMERIC, test)
+    found = node_importance(spark, model, node_table(spark, model)).withColumnRenamed("importance", "of_nodes")
     whole = ranked.agg(F.round(F.sum("importance"), 9)).scalar()
-    return ranked.select("feature", F.col("importance").between(0, 1).alias("in_range"), whole.alias("total"))
+    agrees = F.coalesce(F.abs(F.col("importance") - F.col("of_nodes")) < 1e-9, F.lit(False))
+    return ranked.join(found, "feature", "left").select("feature", agrees.alias("agrees"), whole.alias("total"))
 
 
-IMPORTANCE = f"SELECT feature, TRUE AS in_range, 1.0::DOUBLE AS total FROM ({SLOTS})"
+IMPORTANCE = f"SELECT feature, TRUE AS agrees, 1.0::DOUBLE AS total FROM ({SLOTS})"
 
 
 ENTRIES = {
@@ -346,6 +405,7 @@ ENTRIES = {
     "features": (features_query, FEATURE_ROWS),
     "train_lr": (train_lr, TRAIN_LR),
     "train_rf": (train_rf, TRAIN_RF),
+    "forest_root": (forest_root, FOREST_ROOT),
     "score": (score_query, SCORE),
     "feature_importance": (importance_query, IMPORTANCE),
     "metrics_report": (metrics_report, METRICS_REPORT),

@@ -26,6 +26,7 @@ from strandline.sources.zones import (
     write_parquet,
 )
 from strandline.streaming.readings import (
+    append_bounded,
     arriving,
     ingest,
     read_silver_stream,
@@ -222,6 +223,50 @@ FROM ({TEXT_SNAPSHOTS})
 """
 
 
+# A snapshot's batch: most come in the order of their time, in two halves of the month; some come
+# in the second or third batch whatever their time is, and all are sent once more one batch later.
+BOUNDED_DELAY = 2  # days
+BATCH_OF = """CASE WHEN event_id % 10 = 3 THEN 2 WHEN event_id % 10 = 4 THEN 1
+                   WHEN dayofmonth(ts) > 15 THEN 1 ELSE 0 END"""
+
+
+def stream_bounded_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Bounded Silver of three batches; the stream is started anew from its checkpoint for each."""
+    base = scratch_path(spark, "bounded")
+    rows = given(spark, folder, "events").withColumn("batch", F.expr(BATCH_OF))
+    sent = rows.withColumn("batch", F.explode(F.array("batch", F.least(F.col("batch") + 1, F.lit(2)))))
+    texts = sent.select(
+        F.col("event_id").cast("string").alias("event_id"), ts_text("ts").alias("ts"),
+        F.col("user_id").cast("string").alias("user_id"), "event_type", F.col("value").cast("string").alias("value"),
+        "batch",
+    ).persist()
+    for batch in range(3):
+        write_csv(texts.where(F.col("batch") == batch).drop("batch"), f"{base}/arrived/{batch}")
+        stream = arriving(spark, f"{base}/arrived", SNAPSHOTS)
+        append_bounded(
+            stream, SNAPSHOTS, f"{base}/silver", f"{base}/state", f"{BOUNDED_DELAY} days"
+        ).awaitTermination()
+    texts.unpersist()
+    return without_zone(spark.read.schema(SNAPSHOTS.silver_schema).parquet(f"{base}/silver"))
+
+
+# A batch's watermark lies the delay behind the latest time of the batches before it. What is not
+# later than the watermark is dropped; copies of the rest are still known.
+STREAM_BOUNDED = f"""
+WITH sent AS (
+  SELECT event_id, date_trunc('second', ts) AS ts, user_id, event_type, value,
+         unnest([batch, least(batch + 1, 2)]) AS batch
+  FROM (SELECT *, {BATCH_OF} AS batch FROM events)
+), marks AS (
+  SELECT b AS batch, (SELECT max(ts) FROM sent WHERE batch < b) - INTERVAL {BOUNDED_DELAY} DAY AS watermark
+  FROM (VALUES (0), (1), (2)) AS n(b)
+)
+SELECT DISTINCT CAST(event_id AS VARCHAR) AS event_id, ts, CAST(user_id AS INTEGER) AS user_id, event_type, value,
+       CAST(ts AS DATE) AS day
+FROM sent JOIN marks USING (batch) WHERE watermark IS NULL OR ts > watermark
+"""
+
+
 ENTRIES = {
     "scan_csv": (scan_csv_query, SCAN_CSV),
     "register_zone": (register_zone_query, REGISTER_ZONE),
@@ -231,4 +276,5 @@ ENTRIES = {
     "sql_text": (sql_text_query, SQL_TEXT),
     "stream_ingest": (stream_ingest_query, STREAM_INGEST),
     "stream_silver": (stream_silver_query, STREAM_SILVER),
+    "stream_bounded": (stream_bounded_query, STREAM_BOUNDED),
 }

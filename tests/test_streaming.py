@@ -163,3 +163,25 @@ def test_bounded_stream_removes_near_copies(spark, folders):
     query.awaitTermination()
     stored = spark.read.schema(VITALS.silver_schema).parquet(str(base / "bounded"))
     assert rows(stored) == rows(clean(scan_csv(spark, str(arrived), VITALS.bronze_schema), VITALS))
+
+
+def test_bounded_stream_goes_on_from_its_checkpoint(spark, folders):
+    """State lies in RocksDB; a copy of a row of the first run and a row behind the watermark are dropped by the second."""
+    arrived, base = folders
+    silver, state = str(base / "bounded"), str(base / "state")
+
+    def append(number, *lines):
+        (arrived / f"{number}.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+        stream = R.arriving(spark, str(arrived), VITALS)
+        R.append_bounded(stream, VITALS, silver, state, "1 day").awaitTermination()
+        return sorted(r["heart_rate"] for r in spark.read.schema(VITALS.silver_schema).parquet(silver).collect())
+
+    row = "M1,Q1,Burns,2031-05-{} 08:30:00,{},98.1,36.5,118,77".format
+    assert append(1, row("02", 1), row("02", "1.0"), row("04", 2)) == [1, 2]
+    # the watermark is the 3rd, 08:30
+    assert append(2, row("04", "2.0"), row("03", 3), "M1,Q1,Burns,2031-05-03 08:30:01,4,98.1,36.5,118,77") == [1, 2, 4]
+    assert append(3, row("03", 5), row("09", 6)) == [1, 2, 4, 6]
+    stores = {p.suffix for p in (base / "state" / "state").rglob("*") if p.is_file()}
+    assert stores & {".zip", ".changelog"} and ".delta" not in stores
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    assert "RocksDB" not in spark.conf.get(provider)  # the session is as before
