@@ -6,7 +6,8 @@ level is the bit length of the absolute impact. A block of queries is scored a
 segment level at a time. After each level the part of a vector not yet scored has a
 known norm, so by Cauchy-Schwarz its score lies within norm(query) * norm(rest) of
 what is accumulated. Once few vectors can still reach the k-th best lower bound, no
-further level is processed and exactly these are rescored from their full vectors.
+further level is processed and exactly these are rescored from their full vectors, in
+whole numbers. What is accumulated only bounds the scores; its rounding is allowed for.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.llm.vectors import LONG, fitted, matrix, pair_products, quantised
 from strandline.session import keep, scratch_path
 
 SHARD = 4096  # vectors of a shard
@@ -27,33 +29,9 @@ STEP = 256  # queries scored at once in a task
 FEW = 8  # rescore once on average fewer than FEW * k vectors per query are possible
 
 
-def quantised(column: pa.Array, scale: float) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Positions of the usable vectors, and their components as floor(scale * x)."""
-    at, out = [], []
-    for i, values in enumerate(column):
-        if not values.is_valid:
-            continue
-        own = values.values
-        if own is None or own.null_count:
-            continue
-        x = np.asarray(own.to_numpy(zero_copy_only=False), np.float64)
-        q = np.floor(scale * x)
-        if np.isfinite(x).all() and (np.abs(q) < 1 << 53).all():
-            at.append(i)
-            out.append(q.astype(np.int64))
-    return np.array(at, np.int64), out
-
-
-def matrix(vectors: list[np.ndarray], dims: int) -> np.ndarray:
-    out = np.zeros((len(vectors), dims), np.int64)
-    for row, v in zip(out, vectors):
-        row[: len(v)] = v
-    return out
-
-
 def levels(values: np.ndarray) -> np.ndarray:
     """Bit length of the absolute impact; 0 for no posting."""
-    return np.frexp(np.abs(values).astype(np.float64))[1] * (values != 0)
+    return np.frexp(np.abs(values))[1] * (values != 0)
 
 
 def build_index(df: DataFrame, vec_id: str, vector: str, scale: float) -> DataFrame:
@@ -82,7 +60,7 @@ def build_index(df: DataFrame, vec_id: str, vector: str, scale: float) -> DataFr
                     [
                         pa.array([dims], pa.int32()), pa.array([len(at)], pa.int32()),
                         *(pa.array([x.tobytes()], pa.binary()) for x in (
-                            ids, keys, full, row.astype("<u2"), dim.astype("<u4"), level[row, dim].astype("u1")
+                            ids, keys, full, row.astype("<u2"), dim.astype("<u4"), level[row, dim].astype("<u2")
                         )),
                     ],
                     ["dims", "n", "ids", "keys", "vectors", "post_row", "post_dim", "post_level"],
@@ -102,70 +80,75 @@ def build_index(df: DataFrame, vec_id: str, vector: str, scale: float) -> DataFr
 
 class Shard:
     def __init__(self, row: dict, dims: int):
-        n, own = row["n"], row["dims"]
+        n = row["n"]
         self.ids, self.keys = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["keys"], "<i8")
-        full = np.frombuffer(row["vectors"], "<i8").reshape(n, own)
         # components beyond the shorter of two vectors count as 0
-        self.full = np.zeros((n, dims), np.int64)
-        self.full[:, : min(own, dims)] = full[:, : min(own, dims)]
+        self.full = fitted(row["vectors"], n, dims)
         post_row, post_dim = np.frombuffer(row["post_row"], "<u2"), np.frombuffer(row["post_dim"], "<u4")
-        level = np.frombuffer(row["post_level"], "u1")
+        level = np.frombuffer(row["post_level"], "<u2")
         fits = post_dim < dims
         post_row, post_dim, level = post_row[fits], post_dim[fits], level[fits]
         cuts = np.flatnonzero(np.diff(level.astype(int), prepend=-1))
         self.segments = [
             (post_row[a:b], post_dim[a:b]) for a, b in zip(cuts, [*cuts[1:], len(level)])
         ]
+        # norms of what is left after each segment, summed from the smallest impacts upwards
+        left = np.zeros(n)
+        self.rests = []
+        with np.errstate(over="ignore"):
+            for post_row, post_dim in reversed(self.segments):
+                self.rests.insert(0, np.sqrt(left))
+                left = left + np.bincount(post_row, self.full[post_row, post_dim] ** 2, minlength=n)
+            self.norms = np.sqrt(left)
 
 
 def score_block(shard: Shard, queries: np.ndarray, keys: np.ndarray, floor: np.ndarray, k: int):
     """(query, vector, score) of all vectors of the shard that may be among a query's k best.
 
-    ``floor`` are scores that k other vectors already reach.
+    ``floor`` are scores that k other vectors already reach. A bound that is too large for a
+    double excludes nothing.
     """
-    n = len(shard.ids)
-    top = int(np.abs(queries).max(initial=0)) * int(np.abs(shard.full).max(initial=0)) * queries.shape[1]
-    if top >= 1 << 53:  # too large for exact floating sums
-        exact = queries.astype(object) @ shard.full.T.astype(object)
-        q, v = np.nonzero(keys[:, None] != shard.keys[None, :])
-        return q, v, exact[q, v]
-    kind = np.float32 if top < 1 << 24 else np.float64
-    asked = queries.astype(kind)
-    norms = np.sqrt((queries.astype(np.float64) ** 2).sum(1))
-    left = (shard.full.astype(np.float64) ** 2).sum(1)
-    acc = np.zeros((len(queries), n), kind)
-    self_row = keys[:, None] == shard.keys[None, :]
-    possible = ~self_row
-    for number, (row, dim) in enumerate(shard.segments):
-        plane = np.zeros((n, queries.shape[1]), kind)
-        plane[row, dim] = shard.full[row, dim]
-        acc += asked @ plane.T
-        left -= np.bincount(row, shard.full[row, dim].astype(np.float64) ** 2, minlength=n)
-        last = number == len(shard.segments) - 1
-        rest = np.sqrt(np.maximum(left, 0))
-        if not last and np.median(rest) * 4 > np.sqrt((shard.full[: min(n, 256)].astype(float) ** 2).sum(1)).mean():
-            continue  # most of the weight is still to come
-        slack = 0 if last else norms[:, None] * rest[None, :] * (1 + 1e-6) + 1
-        lower = np.where(self_row, -np.inf, acc - slack)
-        reached = floor
-        if n > k:
-            reached = np.maximum(floor, np.partition(lower, n - k, axis=1)[:, n - k])
-        possible = (acc + slack >= reached[:, None]) & ~self_row
-        if last or possible.sum() <= FEW * k * len(queries):
-            break
+    n, width = len(shard.ids), queries.shape[1]
+    with np.errstate(over="ignore", invalid="ignore"):
+        top = np.abs(queries).max(initial=0) * np.abs(shard.full).max(initial=0) * width
+        kind = np.float32 if top < 1 << 24 else np.float64
+        asked = queries.astype(kind)
+        norms = np.sqrt((queries**2).sum(1))
+        # sums below 2^24, or 2^53, are exact in the numbers used for them
+        rounding = 0.0 if top < 2.0**53 else norms[:, None] * shard.norms[None, :] * (8 * width * 2.0**-53)
+        acc = np.zeros((len(queries), n), kind)
+        self_row = keys[:, None] == shard.keys[None, :]
+        possible = ~self_row
+        typical = shard.norms[: min(n, 256)].mean()
+        for number, ((row, dim), rest) in enumerate(zip(shard.segments, shard.rests)):
+            plane = np.zeros((n, width), kind)
+            plane[row, dim] = shard.full[row, dim]
+            acc += asked @ plane.T
+            last = number == len(shard.segments) - 1
+            if not last and np.median(rest) * 4 > typical:
+                continue  # most of the weight is still to come
+            slack = rounding if last else norms[:, None] * rest[None, :] * (1 + 1e-6) + 1 + rounding
+            lower = np.where(self_row, -np.inf, acc - slack)
+            # scores end at the longs
+            lower = np.clip(np.nan_to_num(lower, nan=-np.inf, posinf=np.inf, neginf=-np.inf), -np.inf, float(LONG.max))
+            reached = floor
+            if n > k:
+                reached = np.maximum(floor, np.partition(lower, n - k, axis=1)[:, n - k])
+            upper = np.maximum(acc + slack, float(LONG.min))
+            possible = ~(upper < reached[:, None]) & ~self_row
+            if last or possible.sum() <= FEW * k * len(queries):
+                break
     q, v = np.nonzero(possible)
     scores = np.empty(len(q), np.int64)
     for lo in range(0, len(q), 100_000):
         a, b = q[lo : lo + 100_000], v[lo : lo + 100_000]
-        scores[lo : lo + 100_000] = np.einsum("ij,ij->i", queries[a], shard.full[b])
+        scores[lo : lo + 100_000] = pair_products(queries[a], shard.full[b])
     return q, v, scores
 
 
 def best(q: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     """Positions of each query's k best by falling score, then rising id."""
-    order = np.lexsort((ids, -scores, q)) if scores.dtype != object else np.array(
-        sorted(range(len(q)), key=lambda i: (q[i], -scores[i], ids[i])), np.int64
-    )
+    order = np.lexsort((ids, ~scores, q))  # ~s is -s - 1, and never overflows
     sorted_q = q[order]
     first = np.flatnonzero(np.diff(sorted_q, prepend=-1))
     rank = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
@@ -186,9 +169,9 @@ def search(
     vec_id, score: the highest inner products of the components floor(scale * x), ties to
     the smaller id. With fewer than ``k`` other rows all are returned.
 
-    A row whose id or vector is null, or whose vector has a null, non-finite or
-    quantised component of 2^53 and more, takes no part. A shorter vector counts as
-    filled up with zeros. Rows with equal ids are rows of their own; a row is excluded
+    A row whose id or vector is null, or whose vector has a null or non-finite component,
+    takes no part. A score beyond a long counts as the nearest long, whatever the components.
+    A shorter vector counts as filled up with zeros. Rows with equal ids are rows of their own; a row is excluded
     only from its own result. An empty table gives no rows; other columns are not read.
 
     Queries go to all shards in blocks of ``BLOCK``, one job for each block; a task hands
@@ -206,7 +189,7 @@ def search(
                 shard = Shard(row, dims)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(shard.keys), pa.array(shard.ids),
-                     pa.array([v.tobytes() for v in shard.full.astype("<i8")], pa.binary())],
+                     pa.array([v.tobytes() for v in shard.full.astype("<f8")], pa.binary())],
                     ["query_key", "vec_id", "vector"],
                 )
 
@@ -217,7 +200,7 @@ def search(
     for number, block in enumerate(blocks_of(chosen, BLOCK)):
         keys = np.array([r["query_key"] for r in block], np.int64)
         names = np.array([r["vec_id"] for r in block], np.int64)
-        wanted = np.frombuffer(b"".join(r["vector"] for r in block), "<i8").reshape(len(block), dims)
+        wanted = np.frombuffer(b"".join(r["vector"] for r in block), "<f8").reshape(len(block), dims)
         sent = session.sparkContext.broadcast((keys, names, wanted))
 
         def answer(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -239,9 +222,10 @@ def search(
                     ends = np.flatnonzero(np.diff(q, append=-1))
                     counts = np.bincount(q, minlength=len(keys))
                     full = ends[counts[q[ends]] == k] if len(q) else ends[:0]
-                    floor[q[full]] = scores[full].astype(np.float64)
+                    # rounded down: a larger floor could cut off a score that reaches it
+                    floor[q[full]] = np.nextafter(scores[full].astype(np.float64), -np.inf)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[q]), pa.array(names[q]), pa.array(ids), pa.array(scores.tolist(), pa.int64())],
+                [pa.array(keys[q]), pa.array(names[q]), pa.array(ids), pa.array(scores)],
                 ["query_key", "query_id", "vec_id", "score"],
             )
 

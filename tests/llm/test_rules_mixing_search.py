@@ -217,3 +217,32 @@ def test_mixing_without_labels_keeps_all(spark):
     out = mixing.mix(frame, known, F.col("domain"), {"good": 3.0}).select("mix__.*").collect()
     assert {(r.rate, r.copies) for r in out} == {(1.0, 1)}
     assert mixing.mix(corpus.frame(spark, []), known, F.col("domain"), {}).collect() == []
+
+
+@pytest.mark.parametrize("size", [1e4, 2e7, 2e14, 1e12, 1e15, 3e38, 1e308])
+def test_search_with_large_components(spark, monkeypatch, size):
+    """On both sides of what doubles and longs hold exactly; beyond a long the nearest long counts."""
+    monkeypatch.setattr(topk, "SHARD", 32)
+    draw = np.random.default_rng(4)
+    made = [(i, draw.normal(size=4).tolist()) for i in range(60)]
+    made += [(100 + i, (draw.uniform(-1, 1, size=4) * size).tolist()) for i in range(50)]
+    made += [(200, [size, 2.0]), (201, [-size]), (220, [size, size, -size, 1.0]), (221, [0.0] * 4), (222, [])]
+    largest = float(np.finfo(np.float64).max)
+    whole = []
+    for i, v in made:
+        with np.errstate(over="ignore"):
+            whole.append((i, [int(x) for x in np.clip(np.floor(64 * np.array(v, float)), -largest, largest)]))
+    want = []
+    for place, (i, v) in enumerate(whole):
+        if i % 20 == 0:
+            scored = [(sum(a * b for a, b in zip(v, w)), j) for p, (j, w) in enumerate(whole) if p != place]
+            ranked = sorted((-max(-(2**63), min(2**63 - 1, s)), j) for s, j in scored)[:5]
+            want += [(i, rank, j, -s) for rank, (s, j) in enumerate(ranked, 1)]
+    table = spark.createDataFrame(made, "vec_id long, embedding array<double>").repartition(3)
+    assert sorted(tuple(r) for r in topk.search(table, "vec_id % 20 = 0", 5).collect()) == sorted(want)
+
+
+def test_finite_components_are_never_left_out(spark):
+    table = spark.createDataFrame([(0, [1.0, 1.0]), (1, [2e14, 2.0]), (2, [1e12, 1e12])], "vec_id long, embedding array<double>")
+    found = [tuple(r) for r in topk.search(table, "vec_id = 0", 5).collect()]
+    assert found == [(0, 1, 1, 64 * (64 * 200_000_000_000_002)), (0, 2, 2, 64 * 64 * 2_000_000_000_000)]
