@@ -22,6 +22,7 @@ from strandline.operators.joins import join_kpi
 from strandline.operators.states import Metric, count, from_states, highest, mean, share, total
 from strandline.schemas import AGE_BANDS, AGE_REST, HOSPITAL, OPERATIONS, PATIENTS, VITALS, Table
 from strandline.session import build_session, sized_for
+from strandline.sources.runs import whole_run
 from strandline.sources.zones import read_bronze, read_curated, table_path, write_parquet
 from strandline.streaming.gold import kpi_of_parents, read_states, refresh_states, state_day
 from strandline.streaming.readings import read_silver_stream
@@ -116,10 +117,10 @@ def at_once(spark: SparkSession, work: Callable[[Any], None], items: list) -> No
 
 
 def medallion_run(spark: SparkSession, bronze_zone: str, silver_zone: str, gold_zone: str) -> None:
-    """Bronze to Silver to Gold. Running it again replaces all six tables."""
-    with sized_for(spark, bronze_zone):
-        silver(spark, bronze_zone, silver_zone)
-        gold(spark, silver_zone, gold_zone)
+    """Bronze to Silver to Gold. Running it again replaces all six tables, or none if it fails."""
+    with sized_for(spark, bronze_zone), whole_run(spark, silver_zone, gold_zone) as (own_silver, own_gold):
+        silver(spark, bronze_zone, own_silver)
+        gold(spark, own_silver, own_gold)
 
 
 # --- Gold that follows the streams ---
@@ -196,7 +197,8 @@ def refresh_gold(spark: SparkSession, silver_zone: str, states_zone: str, gold_z
             some(load_states(), "avg_occupancy_pct", "avg_wait_min", "total_waiting"),
         ).orderBy(F.asc_nulls_last("snapshot_date")),
     }
-    at_once(spark, lambda name: write_parquet(tables[name], table_path(gold_zone, name)), list(tables))
+    with whole_run(spark, gold_zone) as (own_gold,):
+        at_once(spark, lambda name: write_parquet(tables[name], table_path(own_gold, name)), list(tables))
     return read
 
 

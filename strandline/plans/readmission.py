@@ -13,7 +13,8 @@ from strandline.operators.evaluate import roc_curve
 from strandline.operators.split import stratified_split
 from strandline.schemas import PATIENTS
 from strandline.session import build_session, keep, sized_for
-from strandline.sources.zones import read_curated, table_path, write_json, write_parquet
+from strandline.sources.runs import current_path
+from strandline.sources.zones import read_curated, write_json, write_parquet
 
 # The target and the inputs of the model.
 TARGET = "readmitted_30d"
@@ -37,7 +38,7 @@ def readmission_run(
     is missing take no part in the fits; they are listed without a score. Returns the
     report.
     """
-    with sized_for(spark, table_path(silver_zone, PATIENTS.name)):
+    with sized_for(spark, current_path(spark, silver_zone, PATIENTS.name)):
         return _fit_and_report(spark, silver_zone, out, trees, depth, threshold)
 
 

@@ -157,6 +157,22 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
+def child_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly below ``path``; none if there is no such folder."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop_path):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isFile()]
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def create_file(spark: SparkSession, path: str) -> bool:
+    """Make an empty file; False if there is one already."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(hadoop_path)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps now.
 

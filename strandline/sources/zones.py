@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandline.schemas import HOSPITAL, MOMENT, Table
-from strandline.session import child_folders
+from strandline.sources.runs import current_path, current_tables
 
 # The dialect of common CSV writers. A quote inside quoted text is doubled,
 # an empty text is "" and a null is nothing. Files in folders below the table folder belong
@@ -75,12 +75,12 @@ def read_bronze(spark: SparkSession, zone: str, table: Table) -> DataFrame:
 
 
 def read_curated(spark: SparkSession, zone: str, table: str | Table) -> DataFrame:
-    """A Silver or Gold table. Known tables come back in their declared column order."""
+    """A Silver or Gold table as the last whole run left it. Known tables come back in their declared column order."""
     if isinstance(table, Table):
         schema = table.silver_schema
-        df = spark.read.schema(schema).parquet(table_path(zone, table.name))
+        df = spark.read.schema(schema).parquet(current_path(spark, zone, table.name))
         return df.select(*schema.names)  # partition columns are read last
-    return spark.read.parquet(table_path(zone, table))
+    return spark.read.parquet(current_path(spark, zone, table))
 
 
 # --- writing: every write replaces the whole table ---
@@ -140,16 +140,16 @@ def register_zone(
     ``known`` CSV tables are declared, with timestamps left as text; the types of
     any other CSV table are inferred, which reads its files once.
 
-    An external table of the same name is registered anew. A managed table of that name
-    owns its files, so it is left alone and the call fails.
+    An external table of the same name is registered anew; that of a Parquet table without
+    partitions only has its location moved, to the last whole run, so it is there all the
+    time. A managed table of that name owns its files, so it is left alone and the call fails.
 
     Returns (table_name, column_name, data_type, position), one row per column.
     """
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     found = []
-    for name in child_folders(spark, zone):
-        path = table_path(zone, name)
+    for name, path in current_tables(spark, zone).items():
         if source == "csv":
             table = known.get(name)
             declared = crawled_schema(table) if table else None
@@ -159,6 +159,9 @@ def register_zone(
             df = spark.read.parquet(path)
         if database:
             full = f"`{database}`.`{name}`"
+            if source == "parquet" and _moved(spark, full, path, df):
+                found += _described(name, df)
+                continue
             _drop_external(spark, full)
             if source == "csv":
                 spark.catalog.createTable(full, path, source, df.schema, **reading)
@@ -168,14 +171,27 @@ def register_zone(
                     spark.catalog.recoverPartitions(full)
         else:
             df.createOrReplaceTempView(name)
-        found += [
-            (name, f.name, f.dataType.simpleString(), i) for i, f in enumerate(df.schema.fields)
-        ]
+        found += _described(name, df)
     return spark.createDataFrame(
         found, "table_name string, column_name string, data_type string, position int"
     )
 
 
+def _described(name: str, df: DataFrame) -> list[tuple[str, str, str, int]]:
+    return [(name, f.name, f.dataType.simpleString(), i) for i, f in enumerate(df.schema.fields)]
+
+
+def _moved(spark: SparkSession, full: str, path: str, df: DataFrame) -> bool:
+    """Point an external table to new files of the same columns, if it has no partitions."""
+    if not spark.catalog.tableExists(full) or spark.catalog.getTable(full).tableType != "EXTERNAL":
+        return False
+    if spark.table(full).dtypes != df.dtypes or any(c.isPartition for c in spark.catalog.listColumns(full)):
+        return False
+    spark.sql(f"ALTER TABLE {full} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(full)
+    return True
+
+
 def _drop_external(spark: SparkSession, name: str) -> None:
     if not spark.catalog.tableExists(name):
         return
