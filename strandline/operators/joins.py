@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions.columns import as_column
+from strandline.session import keep
 
 BROADCAST_BYTES = 64 << 20
+CELLS = 8  # of a hot key for each even share of the rows
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -34,6 +36,39 @@ def join_checked(
     return big.join(F.broadcast(small) if planned_bytes(small) <= max_bytes else small, on, how)
 
 
+def join_dealt(big: DataFrame, small: DataFrame, on: str, how: str = "inner", parts: int | None = None) -> DataFrame:
+    """Join on a key of which a few values may hold most rows of ``big``.
+
+    Keys are counted first. One with more rows than an even share of ``parts`` tasks (the
+    shuffle partitions) is hot: its rows in ``big`` are dealt out over cells of an eighth of
+    such a share, which spread well, and its rows in ``small`` are copied to each of these
+    cells. There are at most ``parts`` hot keys, which are broadcast, and nine times as many
+    cells. All other keys are joined as they are, in the same join, so nothing depends on
+    what the optimizer may split at run time. ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
+
+    A null key matches nothing; in a left join such rows are dealt out too. It reads the key
+    column of ``big`` once more.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"{how} would see a copied row of the small side more than once")
+    spark = big.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if how in ("inner", "left_semi"):
+        big = big.where(F.col(on).isNotNull())
+    small = small.where(F.col(on).isNotNull())
+    counts = big.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("__rows"))
+    whole = counts.agg(F.sum("__rows")).scalar()
+    cells = F.ceil(F.col("__rows") * parts * CELLS / whole).cast("int").alias("__cells")
+    hot = keep(counts.where(F.col("__rows") * parts > whole).select(on, cells), "hot-keys")
+    own = F.when(F.col(on).isNull(), parts * CELLS).otherwise(F.coalesce("__cells", F.lit(1)))
+    # numbers of neighbouring rows differ by one, so each task deals evenly
+    cell = F.pmod(F.monotonically_increasing_id(), own.cast("long")).cast("int")
+    dealt = big.join(F.broadcast(hot), on, "left").withColumn("__cell", cell).drop("__cells")
+    every = F.sequence(F.lit(0), F.coalesce("__cells", F.lit(1)) - 1)
+    copied = small.join(F.broadcast(hot), on, "left").withColumn("__cell", F.explode(every)).drop("__cells")
+    return dealt.join(copied, [on, "__cell"], how).drop("__cell")
+
+
 def lookup(df: DataFrame, dim: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Add the attributes of a dimension. Rows without a match get nulls."""
     return join_checked(df, dim, on, "left")

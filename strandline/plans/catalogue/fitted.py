@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions.columns import flag, rule_score
-from strandline.models.features import FEATURES, encoder_stages, feature_names, feature_stages, one_hot_rows
+from strandline.models.features import FEATURES, feature_names, feature_stages
+from strandline.models.levels import encoded_rows, level_table
 from strandline.models.scoring import high_risk, report, score
 from strandline.models.training import feature_importance, train_forest, train_logistic, weighted
 from strandline.models.trees import forest_scores, node_importance, node_table
@@ -53,14 +54,16 @@ FROM lineitem GROUP BY l_returnflag
 
 def one_hot(spark: SparkSession, folder: str) -> DataFrame:
     documents = given(spark, folder, "documents").select("doc_id", *CATEGORICAL)
-    encoder = Pipeline(stages=encoder_stages(CATEGORICAL)).fit(documents)
-    return one_hot_rows(encoder, documents, "doc_id")
+    levels = keep(level_table(documents, CATEGORICAL), "level-table")
+    return encoded_rows(documents, levels, CATEGORICAL, "doc_id")
 
 
 ONE_HOT = """
-SELECT doc_id, 'lang' AS feature, lang AS level FROM documents WHERE lang IS NOT NULL
-UNION ALL
-SELECT doc_id, 'source', source FROM documents WHERE source IS NOT NULL
+WITH items AS (
+  SELECT doc_id, 1 AS place, 'lang' AS feature, lang AS level FROM documents WHERE lang IS NOT NULL
+  UNION ALL SELECT doc_id, 2, 'source', source FROM documents WHERE source IS NOT NULL
+)
+SELECT doc_id, feature, level, DENSE_RANK() OVER (ORDER BY place, level) - 1 AS slot FROM items
 """
 
 

@@ -16,7 +16,7 @@ from strandline.operators.aggregates import (
     sum_of,
     top_k,
 )
-from strandline.operators.joins import expand_children, lookup, time_spine
+from strandline.operators.joins import expand_children, join_dealt, lookup, time_spine
 from strandline.plans.catalogue.inputs import given
 
 
@@ -46,6 +46,23 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """
 
 
+def join_dealt_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of which a third have one order, and some have none, with their order if there is one."""
+    lines, orders = given(spark, folder, "lineitem"), given(spark, folder, "orders")
+    key = F.when(F.col("l_partkey") % 3 == 0, 1).when(F.col("l_partkey") % 7 != 0, F.col("l_orderkey"))
+    moved = lines.select("l_orderkey", "l_linenumber", key.cast("long").alias("o_orderkey"))
+    return join_dealt(moved, orders.select("o_orderkey", "o_custkey", "o_totalprice"), "o_orderkey", "left")
+
+
+JOIN_DEALT = """
+SELECT l_orderkey, l_linenumber, moved.o_orderkey, o_custkey, o_totalprice
+FROM (SELECT l_orderkey, l_linenumber,
+             CASE WHEN l_partkey % 3 = 0 THEN 1 WHEN l_partkey % 7 <> 0 THEN l_orderkey END AS o_orderkey
+      FROM lineitem) AS moved
+LEFT JOIN orders ON moved.o_orderkey = orders.o_orderkey
+"""
+
+
 def time_spine_query(spark: SparkSession, folder: str) -> DataFrame:
     events = given(spark, folder, "events")
     start = events.agg(F.date_trunc("hour", F.min("ts"))).scalar()
@@ -155,6 +172,7 @@ def top_k_query(spark: SparkSession, folder: str) -> DataFrame:
 ENTRIES = {
     "dim_lookup": (dim_lookup, DIM_LOOKUP),
     "join_inner": (join_inner, JOIN_INNER),
+    "join_dealt": (join_dealt_query, JOIN_DEALT),
     "time_spine": (time_spine_query, TIME_SPINE),
     "expand_children": (expand_children_query, EXPAND_CHILDREN),
     "agg_avg": (

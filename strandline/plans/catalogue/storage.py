@@ -16,7 +16,7 @@ from strandline.plans.catalogue.inputs import (
     text_snapshots,
     without_zone,
 )
-from strandline.session import scratch_path
+from strandline.session import keep, scratch_path, settings
 from strandline.sources.sql_text import run_sql
 from strandline.sources.zones import (
     register_zone,
@@ -77,6 +77,30 @@ FROM conversations
 """
 
 
+def scan_split_csv_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole documents and conversations with line breaks, read in blocks that cut through texts."""
+    path = scratch_path(spark, "scan_split_csv")
+    turns = _odd_texts(given(spark, folder, "conversations")).select("conv_id", "turn", "role", "text")
+    docs = given(spark, folder, "documents").withColumns({"turn": F.lit(3), "conv_id": F.col("doc_id")})
+    rows = turns.unionByName(_odd_texts(docs).select("conv_id", "turn", F.col("lang").alias("role"), "text"))
+    write_csv(rows, path, multiline=True)
+    blocks = {"spark.sql.files.maxPartitionBytes": "256k", "spark.sql.files.openCostInBytes": "0"}
+    with settings(spark, blocks):
+        found = scan_csv(spark, path, rows.schema, multiline=True, split_bytes=0)
+        return keep(found.withColumn("text", F.md5("text")), "split-csv")
+
+
+SCAN_SPLIT_CSV = """
+WITH rows AS (
+  SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT doc_id, 3, lang, text FROM documents
+)
+SELECT conv_id, turn, role,
+       md5(CASE (turn + conv_id) % 7 WHEN 0 THEN '' WHEN 1 THEN NULL
+           WHEN 2 THEN '"say ""hi"", ok",\\' || chr(10) || text ELSE text || chr(10) || '"' END) AS text
+FROM rows
+"""
+
+
 def register_zone_query(spark: SparkSession, folder: str) -> DataFrame:
     zone = scratch_path(spark, "zone")
     events = given(spark, folder, "events").withColumn("ts", ts_text("ts"))
@@ -269,6 +293,7 @@ FROM sent JOIN marks USING (batch) WHERE watermark IS NULL OR ts > watermark
 
 ENTRIES = {
     "scan_csv": (scan_csv_query, SCAN_CSV),
+    "scan_split_csv": (scan_split_csv_query, SCAN_SPLIT_CSV),
     "register_zone": (register_zone_query, REGISTER_ZONE),
     "sink_parquet": (sink_parquet_query, "SELECT * FROM lineitem"),
     "sink_partitioned": (sink_partitioned_query, "SELECT * FROM events"),

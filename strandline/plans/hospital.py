@@ -7,11 +7,8 @@ the dashboard queries and work on any frame with the columns they use.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
-from typing import Any
+from collections.abc import Mapping
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +18,7 @@ from strandline.operators.clean import clean
 from strandline.operators.joins import join_kpi
 from strandline.operators.states import Metric, count, from_states, highest, mean, share, total
 from strandline.schemas import AGE_BANDS, AGE_REST, HOSPITAL, OPERATIONS, PATIENTS, VITALS, Table
-from strandline.session import build_session, sized_for
+from strandline.session import at_once, build_session, sized_for
 from strandline.sources.runs import whole_run
 from strandline.sources.zones import read_bronze, read_curated, table_path, write_parquet
 from strandline.streaming.gold import kpi_of_parents, read_states, refresh_states, state_day
@@ -109,13 +106,6 @@ def gold(spark: SparkSession, silver_zone: str, gold_zone: str) -> None:
     at_once(spark, lambda name: write_parquet(tables[name], table_path(gold_zone, name)), list(tables))
 
 
-def at_once(spark: SparkSession, work: Callable[[Any], None], items: list) -> None:
-    """Run independent writes from several threads, so that one's tail is filled by the others."""
-    with ThreadPoolExecutor(len(items)) as pool:
-        for done in [pool.submit(inheritable_thread_target(spark)(work), item) for item in items]:
-            done.result()
-
-
 def medallion_run(spark: SparkSession, bronze_zone: str, silver_zone: str, gold_zone: str) -> None:
     """Bronze to Silver to Gold. Running it again replaces all six tables, or none if it fails."""
     with sized_for(spark, bronze_zone), whole_run(spark, silver_zone, gold_zone) as (own_silver, own_gold):

@@ -6,9 +6,12 @@ import gc
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -49,7 +52,7 @@ def sized_for(spark: SparkSession, *paths: str) -> Iterator[None]:
     turn out small. Afterwards the session has the settings it had before, so the
     block must run its actions itself.
     """
-    total = sum(_bytes_below(spark, p) for p in paths)
+    total = sum(bytes_below(spark, p) for p in paths)
     in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
     split = total // MOST_SCAN_TASKS
     raised = {
@@ -80,7 +83,15 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.set(key, value)
 
 
-def _bytes_below(spark: SparkSession, path: str) -> int:
+def at_once(spark: SparkSession, work: Callable[[Any], Any], items: list) -> list:
+    """Run independent jobs from several threads, so that one's tail is filled by the others."""
+    if not items:
+        return []
+    with ThreadPoolExecutor(len(items)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(work), item) for item in items]]
+
+
+def bytes_below(spark: SparkSession, path: str) -> int:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     return fs.getContentSummary(hadoop_path).getLength()

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandline.schemas import HOSPITAL, MOMENT, Table
+from strandline.session import at_once, bytes_below
+from strandline.sources.infer import infer_csv
+from strandline.sources.multiline import largest_file, scan_split_csv
 from strandline.sources.runs import current_path, current_tables
 
 # The dialect of common CSV writers. A quote inside quoted text is doubled,
@@ -38,7 +41,7 @@ CSV_WRITE = {
 
 
 def csv_read(multiline: bool = False) -> dict[str, str]:
-    """Reading options. Files whose texts hold line breaks cannot be split among tasks."""
+    """Reading options. With ``multiline`` a file whose texts hold line breaks is read as a whole."""
     return CSV_READ | {"multiLine": str(multiline).lower()}
 
 
@@ -55,20 +58,32 @@ def scan_csv(
     schema: T.StructType | str | None = None,
     infer: bool = False,
     multiline: bool = False,
+    split_bytes: int | None = None,
 ) -> DataFrame:
     """CSV with a header line.
 
     With a schema the files are read once, and a file whose header does not name
     the columns in that order fails the job instead of filling the wrong columns;
     ``infer=True`` costs a further pass. ``multiline`` is for files with line breaks
-    in quoted text; each of them is then read by one task.
+    in quoted text. Each of them is then read by one task, or, if one is larger than
+    ``split_bytes`` (by default the size of a split), all of them block by block.
     """
     reader = spark.read.options(**csv_read(multiline))
     if schema is not None:
+        if multiline and _needs_splitting(spark, path, split_bytes):
+            kinds = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+            return scan_split_csv(spark, path, kinds, csv_read())
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", str(infer).lower()).csv(path)
 
 
+def _needs_splitting(spark: SparkSession, path: str, split_bytes: int | None) -> bool:
+    if split_bytes is None:
+        in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+        split_bytes = in_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return bytes_below(spark, path) > split_bytes and largest_file(spark, path) > split_bytes
+
+
 def read_bronze(spark: SparkSession, zone: str, table: Table) -> DataFrame:
     path = table_path(zone, table.name)
     return scan_csv(spark, path, table.bronze_schema, multiline=table.multiline)
@@ -138,7 +153,7 @@ def register_zone(
     ``source`` is ``csv`` or ``parquet``. With a ``database`` external tables are
     created in it, else temporary views. Parquet files carry their types, and
     ``known`` CSV tables are declared, with timestamps left as text; the types of
-    any other CSV table are inferred, which reads its files once.
+    any other CSV table are inferred, which reads its files once, all tables at the same time.
 
     An external table of the same name is registered anew; that of a Parquet table without
     partitions only has its location moved, to the last whole run, so it is there all the
@@ -148,15 +163,23 @@ def register_zone(
     """
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    tables = current_tables(spark, zone)
+
+    def schema_of(name: str) -> T.StructType:
+        table = known.get(name)
+        if source == "csv":
+            return crawled_schema(table) if table else infer_csv(spark, tables[name], csv_read())
+        return spark.read.parquet(tables[name]).schema
+
+    schemas = dict(zip(tables, at_once(spark, schema_of, list(tables))))
     found = []
-    for name, path in current_tables(spark, zone).items():
+    for name, path in tables.items():
         if source == "csv":
             table = known.get(name)
-            declared = crawled_schema(table) if table else None
             reading = csv_read(bool(table and table.multiline))
-            df = scan_csv(spark, path, declared, declared is None, bool(table and table.multiline))
+            df = scan_csv(spark, path, schemas[name], multiline=bool(table and table.multiline))
         else:
-            df = spark.read.parquet(path)
+            df = spark.read.schema(schemas[name]).parquet(path)
         if database:
             full = f"`{database}`.`{name}`"
             if source == "parquet" and _moved(spark, full, path, df):

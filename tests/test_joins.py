@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandline.operators import joins as J
+from strandline.session import settings
 from tests.conftest import plan, rows
 
 MEASURES = {"m": ("v", 4, 1), "pct": ("v", 2, 100)}
@@ -102,3 +103,49 @@ def test_a_nondeterministic_number_of_children_loses_no_parent(spark):
     df = spark.range(200).withColumn("n", (F.rand() * 9).cast("int"))
     got = J.expand_children(df, "n", chunk=4).groupBy("id").agg(F.count("*").alias("k"), F.max("child_no").alias("m"))
     assert got.where("k = m").count() == 200
+
+
+# --- a join whose hot keys are dealt out ---
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_dealt_join_equals_the_plain_join(spark, how):
+    key = "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 11 = 0 THEN NULL WHEN id % 5 = 0 THEN 5000 ELSE id % 400 END"
+    big = spark.range(6000).selectExpr(f"{key} AS k", "id AS v", "1 AS n")
+    # keys twice, keys that are missing, a null
+    small = spark.range(700).selectExpr("CASE WHEN id = 3 THEN NULL ELSE id % 350 END AS k", "id AS w")
+    got = J.join_dealt(big, small, "k", how, parts=16)
+    want = big.join(small, "k", how)
+    assert got.columns == want.columns and rows(got) == rows(want)
+
+
+def test_dealt_join_of_empty_sides(spark):
+    big, small = spark.range(9).selectExpr("id AS k", "id AS v"), spark.range(9).selectExpr("id AS k", "id AS w")
+    none = F.lit(False)
+    assert J.join_dealt(big.where(none), small, "k").count() == 0
+    assert J.join_dealt(big, small.where(none), "k", "left").count() == 9
+    only_nulls = big.withColumn("k", F.lit(None).cast("long"))
+    assert J.join_dealt(only_nulls, small, "k", "left").count() == 9
+    with pytest.raises(ValueError, match="more than once"):
+        J.join_dealt(big, small, "k", "full")
+
+
+def test_a_key_with_a_third_of_the_rows_is_spread(spark):
+    """No task gets twice the median, although the optimizer may split nothing."""
+    conf = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    with settings(spark, conf):
+        key = "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 11 = 0 THEN NULL ELSE id % 40000 END"
+        big = spark.range(240_000, numPartitions=8).selectExpr(f"{key} AS k", "id AS v")
+        small = spark.range(40_000).selectExpr("id AS k", "id AS w")
+
+        def per_task(df):
+            counts = df.groupBy(F.spark_partition_id().alias("task")).count().collect()
+            return sorted(r["count"] for r in counts)
+
+        plain, dealt = per_task(big.join(small, "k", "left")), per_task(J.join_dealt(big, small, "k", "left"))
+        assert plain[-1] > 4 * plain[8]
+        assert len(dealt) == 16 and dealt[-1] <= 2 * dealt[8] and sum(dealt) == sum(plain)

@@ -5,13 +5,16 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from strandline.models.features import encoder_stages, feature_names, one_hot_rows
+from strandline.models import levels as levels_module
+from strandline.models.features import encoder_stages, feature_names, level_names, one_hot_rows
+from strandline.models.levels import encoded_rows, level_table
 from strandline.models.scoring import high_risk, report, score, score_all
 from strandline.models.training import feature_importance, train_forest, train_logistic
 from strandline.operators.evaluate import roc_auc
 from strandline.operators.split import stratified_split
+from strandline.session import keep
 from strandline.sources.zones import write_json
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 CATEGORICAL, NUMERIC, TARGET = ["dept"], ["age"], "y"
 
@@ -117,3 +120,41 @@ def test_rows_without_a_number_are_left_out_of_the_fit_and_kept_in_the_scores(sp
     for model in models.values():
         got = {r.id: (r.prediction, r.score) for r in score(model, new).collect()}
         assert got[1] == (None, None) and None not in got[2] + got[3]
+
+
+# --- the level dictionary as a table ---
+
+
+def test_levels_are_those_of_the_encoder(spark):
+    made = [(i, w, x) for i, (w, x) in enumerate([("b", "é"), ("a", None), (None, "Z"), ("a", "z"), ("_", "e"), ("B", "Z")])]
+    df = spark.createDataFrame(made, "id long, w string, x string").repartition(3)
+    levels = level_table(df, ["x", "w"])
+    model = Pipeline(stages=encoder_stages(["x", "w"])).fit(df)
+    wanted = [("x", v) for v in level_names(model)["x"]] + [("w", v) for v in level_names(model)["w"]]
+    assert [(r["feature"], r["level"]) for r in levels.orderBy("slot").collect()] == wanted
+    assert sorted(r["slot"] for r in levels.collect()) == list(range(len(wanted)))
+    new = df.unionByName(spark.createDataFrame([(9, "unseen", "Z"), (10, None, None)], "id long, w string, x string"))
+    stored = keep(levels)
+    got = encoded_rows(new, stored, ["x", "w"], "id")
+    assert rows(got.drop("slot")) == rows(one_hot_rows(model, new, "id").select("id", "feature", "level"))
+
+
+def test_an_empty_dictionary(spark):
+    df = spark.createDataFrame([(1, None)], "id long, w string")
+    levels = keep(level_table(df, ["w"]))
+    assert levels.count() == 0 and encoded_rows(df, levels, ["w"], "id").count() == 0
+
+
+def test_a_million_levels(spark, monkeypatch):
+    """Beyond the size for a broadcast rows meet the dictionary by a join; a third of them have one level."""
+    n = 1_000_000
+    df = spark.range(n).selectExpr("id", "format_string('%07d', id) AS w", "IF(id % 3 = 0, 'often', CAST(id % 50 AS STRING)) AS x")
+    levels = keep(level_table(df, ["w", "x"]))
+    ends = levels.agg(F.count("slot"), F.countDistinct("slot"), F.min("slot"), F.max("slot")).first()
+    assert tuple(ends) == (n + 51, n + 51, 0, n + 50)
+    assert levels.where("feature = 'w' AND slot <> CAST(level AS BIGINT)").count() == 0
+    monkeypatch.setattr(levels_module, "BROADCAST_BYTES", 0)
+    some = df.where("id % 10 = 0")
+    got = encoded_rows(some, levels, ["w", "x"], "id")
+    assert "BroadcastHashJoin [item" not in plan(got)
+    assert got.count() == 2 * n // 10 and got.where("feature = 'w' AND slot <> id").count() == 0

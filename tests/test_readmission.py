@@ -57,10 +57,10 @@ def test_settings_follow_the_input_inside_the_block_only(spark, monkeypatch):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes",
     )
     before = {k: spark.conf.get(k) for k in keys}
-    monkeypatch.setattr(session, "_bytes_below", lambda s, p: 100)
+    monkeypatch.setattr(session, "bytes_below", lambda s, p: 100)
     with session.sized_for(spark, "small"):
         assert {k: spark.conf.get(k) for k in keys} == before
-    monkeypatch.setattr(session, "_bytes_below", lambda s, p: 100 * 10**12)
+    monkeypatch.setattr(session, "bytes_below", lambda s, p: 100 * 10**12)
     with pytest.raises(ZeroDivisionError), session.sized_for(spark, "large"):
         assert int(spark.conf.get(keys[0])) == 100 * 10**12 // session.SHUFFLE_BYTES
         assert int(spark.conf.get(keys[1])) == int(spark.conf.get(keys[2])) == 10**9
