@@ -1,12 +1,13 @@
 """Removal of lines that nearly equal an earlier line, by deletion neighbourhoods.
 
-Lines are compared as word sequences. The edit bound is one word inserted, deleted or
-replaced, for lines of ``MIN_WORDS`` words or more; shorter lines must be equal. Equal lines
-are merged first. The variants of a line are the line with one word left out: two lines
-differ by an inserted word if one equals a variant of the other, and by a replaced word if
-variants with the same place left out are equal. All variants are hashed keys, lines with
-equal keys meet, and the edit distance of a line to the earliest other line of its key is
-verified on the words.
+Lines are compared as sequences of units. For lines of ``MIN_WORDS`` words or more these are
+the words, for shorter ones the characters of the words joined by one blank. The edit bound
+is one unit inserted, deleted or replaced; a line of fewer than ``MIN_WORDS`` words and
+``MIN_CHARS`` characters must be equal. Equal lines are merged first. The variants of a line
+are the line with one unit left out: two lines differ by an inserted unit if one equals a
+variant of the other, and by a replaced unit if variants with the same place left out are
+equal. All variants are hashed keys, lines with equal keys meet, and the edit distance of a
+line to the earliest other line of its key is verified on the units.
 
 Not every line needs its variants. Within the bound, two lines share the first or the second
 half of the shorter one. So halves are joined first, and a line emits the variants of that
@@ -27,13 +28,14 @@ from strandline.llm import text as tx
 from strandline.session import discard, keep, release
 
 MIN_WORDS = 8
+MIN_CHARS = 12
 LAST = (1 << 63) - 1  # place of rows without a doc_id: behind all others
 #: Which half is shared, and whether the line is the longer one of the pair.
 HEAD, TAIL, LONG_HEAD, LONG_TAIL = 1, 2, 4, 8
 
 
 def halves(n: int, shared: int) -> range:
-    """Places of the words that may differ in a line of ``n`` words that shares this half."""
+    """Places of the units that may differ in a line of ``n`` units that shares this half."""
     if shared == HEAD:
         return range(n // 2, n)
     if shared == TAIL:
@@ -52,13 +54,48 @@ def identified(df: DataFrame, text: str, doc_id: str) -> DataFrame:
     )
 
 
-def lines(df: DataFrame) -> DataFrame:
-    """(h1, h2, n, doc, tag, line, head, tail, long_head, long_tail) of each line with a word."""
+def characters(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of lines, whose words are joined by a blank, and the lines' boundaries in them.
+
+    ``last`` marks the words that end a line.
+    """
+    lengths = ends - starts + ~last
+    source = tx.ragged(starts, lengths)
+    out = data[np.minimum(source, len(data) - 1)]
+    edges = np.cumsum(lengths)
+    out[edges[~last] - 1] = 32
+    begins = np.concatenate([[0], np.cumsum((out & 0xC0) != 0x80)])
+    points = np.frombuffer(out.tobytes().decode().encode("utf-32-le"), "<u4")
+    return points, begins[np.concatenate([[0], edges[last]])]
+
+
+def half_hashes(units: np.ndarray, first: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+    """Keys of the halves of sequences of units: as they are, and as lines with one unit more."""
+    prefix, n = tx.prefix_hash(units), end - first
+
+    def key(a: np.ndarray, b: np.ndarray, shorter: np.ndarray, side: int) -> np.ndarray:
+        mark = (shorter * 2 + side).astype(np.uint64) * tx.MIX_2
+        return tx.mix(tx.range_hash(prefix, a, b) + mark)
+
+    less = np.maximum(n - 1, 1)
+    return [
+        key(first, first + n // 2, n, 0),
+        key(first + n // 2, end, n, 1),
+        key(first, first + less // 2, less, 0),
+        key(end - (less - less // 2), end, less, 1),
+    ]
+
+
+def lines(df: DataFrame, min_words: int) -> DataFrame:
+    """(h1, h2, n, chars, doc, tag, line, head, tail, long_head, long_tail) of each line with a word.
+
+    ``n`` counts the units, which are characters if ``chars``.
+    """
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, bounds in tx.texts(batch.column("text")):
-                starts, _, rows, words = tx.word_hashes(data, bounds)
+                starts, ends, rows, words = tx.word_hashes(data, bounds)
                 breaks = np.flatnonzero(data == 10)
                 line = np.searchsorted(breaks, starts)
                 row = np.repeat(np.arange(hi - lo), np.diff(rows))
@@ -69,51 +106,55 @@ def lines(df: DataFrame) -> DataFrame:
                 prefix, second = tx.prefix_hash(words), tx.prefix_hash(words, tx.SECOND_BASE)
                 n = end - first
                 own = row[first]
-
-                def key(a: np.ndarray, b: np.ndarray, shorter: np.ndarray, side: int) -> np.ndarray:
-                    mark = (shorter * 2 + side).astype(np.uint64) * tx.MIX_2
-                    return tx.mix(tx.range_hash(prefix, a, b) + mark)
-
-                less = np.maximum(n - 1, 1)
+                keys = half_hashes(words, first, end)
+                short = n < min_words
+                if short.any():
+                    inside = np.repeat(short, n)
+                    last = np.zeros(len(starts), bool)
+                    last[end - 1] = True
+                    points, edges = characters(data, starts[inside], ends[inside], last[inside])
+                    for mine, other in zip(keys, half_hashes(points, edges[:-1], edges[1:])):
+                        mine[short] = other
+                units = n.copy()
+                if short.any():
+                    units[short] = np.diff(edges)
                 columns = [
                     tx.range_hash(prefix, first, end),
                     tx.range_hash(second, first, end, tx.SECOND_BASE),
-                    n,
+                    units,
+                    short.astype(np.int64),
                     batch.column("doc").to_numpy()[lo:hi][own],
                     batch.column("tag").to_numpy()[lo:hi][own],
                     line[first] - np.searchsorted(breaks, bounds[:-1])[own],
-                    key(first, first + n // 2, n, 0),
-                    key(first + n // 2, end, n, 1),
-                    key(first, first + less // 2, less, 0),
-                    key(end - (less - less // 2), end, less, 1),
+                    *keys,
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns],
-                    ["h1", "h2", "n", "doc", "tag", "line", "head", "tail", "long_head", "long_tail"],
+                    [pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns], names
                 )
 
-    names = ("h1", "h2", "n", "doc", "tag", "line", "head", "tail", "long_head", "long_tail")
+    names = ["h1", "h2", "n", "chars", "doc", "tag", "line", "head", "tail", "long_head", "long_tail"]
     return df.mapInArrow(parse, ", ".join(f"{c} long" for c in names))
 
 
-def half_keys(different: DataFrame, min_words: int) -> DataFrame:
+def half_keys(different: DataFrame, min_words: int, min_chars: int) -> DataFrame:
     """(h1, h2, shared): the halves that a line shares with another one."""
+    least = F.when(F.col("chars") == 1, min_chars).otherwise(min_words)
     kinds = (("head", HEAD, 0), ("tail", TAIL, 0), ("long_head", LONG_HEAD, 1), ("long_tail", LONG_TAIL, 1))
 
     def entry(name: str, kind: int, more: int) -> Column:
         return F.when(
-            F.col("n") >= min_words + more, F.struct(F.col(name).alias("key"), F.lit(kind).alias("shared"))
+            F.col("n") >= least + more, F.struct(F.col(name).alias("key"), F.lit(kind).alias("shared"))
         )
 
     every = F.filter(F.array(*[entry(*k) for k in kinds]), lambda x: x.isNotNull())
-    keyed = different.where(F.col("n") >= min_words).select("h1", "h2", F.inline(every))
+    keyed = different.where(F.col("n") >= least).select("h1", "h2", F.inline(every))
     # stored, so that the join is one of two plain tables, in which Spark may split a hot key
     often = keep(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key"), "often")
     return keyed.join(often, "key", "left_semi").groupBy("h1", "h2").agg(F.bit_or("shared").alias("shared"))
 
 
 def variants(words: DataFrame) -> DataFrame:
-    """(key, kind, h1, h2): hashed variants; kind 0 the line itself, 1 a word left out, 2 a word
+    """(key, kind, h1, h2): hashed variants; kind 0 the line itself, 1 a unit left out, 2 a unit
     left out at a stated place."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,8 +164,13 @@ def variants(words: DataFrame) -> DataFrame:
                 h1, h2 = (batch.column(c).to_numpy()[lo:hi] for c in ("h1", "h2"))
                 shared = batch.column("shared").to_numpy()[lo:hi]
                 out: list[tuple[np.ndarray, int, int]] = []
+                chars = batch.column("chars").to_numpy()[lo:hi]
                 for i, (a, b) in enumerate(zip(rows[:-1].tolist(), rows[1:].tolist())):
-                    out += [(key, kind, i) for key, kind in variant_keys(hashes[a:b], int(shared[i]))]
+                    units = hashes[a:b]
+                    if chars[i]:
+                        points = joined_words(batch.column("words")[lo + i].as_py())
+                        units = np.frombuffer(points.encode("utf-32-le"), "<u4").astype(np.uint64)
+                    out += [(key, kind, i) for key, kind in variant_keys(units, int(shared[i]))]
                 keys = np.concatenate([o[0] for o in out]) if out else np.zeros(0, np.uint64)
                 sizes = [len(o[0]) for o in out]
                 row = np.repeat(np.array([o[2] for o in out], np.int64), sizes)
@@ -137,11 +183,15 @@ def variants(words: DataFrame) -> DataFrame:
     return words.mapInArrow(emit, "key long, kind long, h1 long, h2 long")
 
 
+def joined_words(line: str) -> str:
+    return b" ".join(line.encode().split()).decode()
+
+
 def variant_keys(words: np.ndarray, shared: int) -> Iterator[tuple[np.ndarray, int]]:
     n = len(words)
     powers = tx.powers(tx.BASE, n)
     ahead = np.concatenate([[np.uint64(0)], np.cumsum((words + np.uint64(1)) * powers)])
-    # behind the word left out everything moves up by one place
+    # behind the unit left out everything moves up by one place
     inverse = np.uint64(pow(tx.BASE, -1, 1 << 64))
     places = np.arange(n)
     left_out = ahead[:-1] + (ahead[-1] - ahead[1:]) * inverse
@@ -160,8 +210,8 @@ def variant_keys(words: np.ndarray, shared: int) -> Iterator[tuple[np.ndarray, i
     yield np.unique(left_out[cut]), 1
 
 
-def within_one(a: list[bytes], b: list[bytes]) -> bool:
-    """Whether the edit distance of two word sequences is at most one."""
+def within_one(a: list[bytes] | str, b: list[bytes] | str) -> bool:
+    """Whether the edit distance of two sequences of words, or of characters, is at most one."""
     if abs(len(a) - len(b)) > 1:
         return False
     short, long = sorted((a, b), key=len)
@@ -173,26 +223,26 @@ def within_one(a: list[bytes], b: list[bytes]) -> bool:
 
 
 def verified(pairs: DataFrame) -> DataFrame:
-    """(h1, h2) of the pairs whose words (w, v) are within the bound."""
+    """(h1, h2) of the pairs whose lines (w, v) are within the bound, in characters if ``chars``."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fine = [
-                within_one(a.encode().split(), b.encode().split())
-                for a, b in zip(batch.column("w").to_pylist(), batch.column("v").to_pylist())
+                within_one(joined_words(a), joined_words(b)) if chars else within_one(a.encode().split(), b.encode().split())
+                for a, b, chars in zip(*(batch.column(c).to_pylist() for c in ("w", "v", "chars")))
             ]
             yield batch.select(["h1", "h2"]).filter(pa.array(fine, pa.bool_()))
 
-    return pairs.select("h1", "h2", "w", "v").mapInArrow(check, "h1 long, h2 long")
+    return pairs.select("h1", "h2", "w", "v", "chars").mapInArrow(check, "h1 long, h2 long")
 
 
-def near_lines(different: DataFrame, rows: DataFrame, min_words: int) -> tuple[DataFrame, list[DataFrame]]:
+def near_lines(different: DataFrame, rows: DataFrame, min_words: int, min_chars: int) -> tuple[DataFrame, list[DataFrame]]:
     """(h1, h2) of the lines that are within the bound of an earlier different line, and what was
     stored for that and can go once they are stored."""
-    shared = keep(half_keys(different, min_words), "half-keys")
-    wanted = shared.join(different.select("h1", "h2", "one"), ["h1", "h2"])
+    shared = keep(half_keys(different, min_words, min_chars), "half-keys")
+    wanted = shared.join(different.select("h1", "h2", "one", "chars"), ["h1", "h2"])
     per_doc = wanted.groupBy(F.col("one.doc").alias("doc"), F.col("one.tag").alias("tag")).agg(
-        F.collect_list(F.struct("h1", "h2", "shared", "one")).alias("found")
+        F.collect_list(F.struct("h1", "h2", "shared", "one", "chars")).alias("found")
     )
     found = rows.join(per_doc, ["doc", "tag"]).select(
         F.split(F.coalesce("text", F.lit("")), "\n").alias("all"), F.explode("found").alias("x")
@@ -203,12 +253,12 @@ def near_lines(different: DataFrame, rows: DataFrame, min_words: int) -> tuple[D
         "line-words",
     )
     release(rows.sparkSession)
-    keyed = keep(variants(words).join(words.select("h1", "h2", "one"), ["h1", "h2"]), "variants")
+    keyed = keep(variants(words).join(words.select("h1", "h2", "one", "chars"), ["h1", "h2"]), "variants")
 
     def earliest(kind: int) -> Column:
         return F.min(F.when(F.col("kind") == kind, F.struct("one", "h1", "h2")))
 
-    firsts = keyed.groupBy("key").agg(
+    firsts = keyed.groupBy("key", "chars").agg(
         *[earliest(k).alias(f"first{k}") for k in (0, 1, 2)], F.count(F.lit(1)).alias("k")
     ).where("k > 1")
     firsts = keep(firsts, "firsts")
@@ -218,32 +268,32 @@ def near_lines(different: DataFrame, rows: DataFrame, min_words: int) -> tuple[D
         .otherwise(F.col("first2"))
     )
     pairs = (
-        keyed.join(firsts, "key")
+        keyed.join(firsts, ["key", "chars"])
         .select("h1", "h2", "one", partner.alias("p"))
         .where("p.one < one")
         .select("h1", "h2", F.col("p.h1").alias("p1"), F.col("p.h2").alias("p2"))
         .distinct()
     )
-    first = words.select("h1", "h2", F.col("words").alias("w"))
+    first = words.select("h1", "h2", "chars", F.col("words").alias("w"))
     second = words.select(F.col("h1").alias("p1"), F.col("h2").alias("p2"), F.col("words").alias("v"))
     near = verified(pairs.join(first, ["h1", "h2"]).join(second, ["p1", "p2"])).distinct()
     return near, [shared, words, keyed, firsts]
 
 
-def dropped_lines(rows: DataFrame, min_words: int) -> DataFrame:
+def dropped_lines(rows: DataFrame, min_words: int, min_chars: int) -> DataFrame:
     """(doc, tag, dropped): line numbers from 0 to be removed of each row (doc, tag, text)."""
     # parsed twice: once more is less than storing the lines with all their keys
-    every = lines(rows)
+    every = lines(rows, min_words)
     place = F.struct("doc", "tag", "line")
     different = keep(
         every.groupBy("h1", "h2").agg(
-            F.min(F.struct(place.alias("one"), "n", "head", "tail", "long_head", "long_tail")).alias("x"),
+            F.min(F.struct(place.alias("one"), "n", "chars", "head", "tail", "long_head", "long_tail")).alias("x"),
             F.count(F.lit(1)).alias("met"),
         ).select("h1", "h2", "met", "x.*"),
         "different-lines",
     )
     release(rows.sparkSession)
-    near, stored = near_lines(different, rows, min_words)
+    near, stored = near_lines(different, rows, min_words, min_chars)
     judged = keep(
         different.join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left").where("near OR met > 1").select(
             "h1", "h2", "one", F.coalesce("near", F.lit(False)).alias("near")
@@ -261,7 +311,11 @@ def dropped_lines(rows: DataFrame, min_words: int) -> DataFrame:
 
 
 def dedup_lines(
-    df: DataFrame, text: str = "text", doc_id: str = "doc_id", min_words: int = MIN_WORDS
+    df: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    min_words: int = MIN_WORDS,
+    min_chars: int = MIN_CHARS,
 ) -> DataFrame:
     """``df`` without the lines that are within the bound of an earlier line of the table.
 
@@ -279,7 +333,7 @@ def dedup_lines(
     rows = marked.select(
         F.col("doc__").alias("doc"), F.col("tag__").alias("tag"), F.col(text).cast("string").alias("text")
     )
-    gone = dropped_lines(rows, min_words).select(
+    gone = dropped_lines(rows, min_words, min_chars).select(
         F.col("doc").alias("doc__"), F.col("tag").alias("tag__"), F.col("dropped").alias("dropped__")
     )
     release(df.sparkSession)

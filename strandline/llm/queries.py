@@ -50,15 +50,22 @@ WITH lines AS (
   SELECT doc_id, line, w, len(w) AS n, array_to_string(w, ' ') AS x FROM lines WHERE len(w) > 0
 ), firsts AS (
   SELECT x, any_value(w) AS w, any_value(n) AS n, min((doc_id, line)) AS one FROM worded GROUP BY x
+), short AS (
+  SELECT x, length(x) AS n, one FROM firsts WHERE n < 8 AND length(x) >= 12
 ), cuts AS (
-  SELECT x, n, one, p, array_to_string(list_concat(w[1:p - 1], w[p + 1:]), ' ') AS v
+  SELECT 'words' AS units, x, n, one, p, array_to_string(list_concat(w[1:p - 1], w[p + 1:]), ' ') AS v
   FROM (SELECT *, unnest(generate_series(1, n)) AS p FROM firsts WHERE n >= 8)
+  UNION ALL
+  SELECT 'chars', x, n, one, p, substring(x, 1, p - 1) || substring(x, p + 1)
+  FROM (SELECT *, unnest(generate_series(1, n)) AS p FROM short)
 ), replaced AS (
-  SELECT x FROM cuts QUALIFY one > min(one) OVER (PARTITION BY n, p, v)
+  SELECT x FROM cuts QUALIFY one > min(one) OVER (PARTITION BY units, n, p, v)
+), whole AS (
+  SELECT 'words' AS units, x, one FROM firsts WHERE n >= 8 UNION ALL SELECT 'chars', x, one FROM short
 ), near AS (
   SELECT x FROM replaced
   UNION SELECT CASE WHEN c.one > f.one THEN c.x ELSE f.x END
-  FROM cuts c JOIN firsts f ON f.x = c.v WHERE f.n >= 8
+  FROM cuts c JOIN whole f ON f.x = c.v AND f.units = c.units
 ), gone AS (
   SELECT doc_id, line FROM worded JOIN firsts USING (x)
   WHERE (doc_id, line) > one OR x IN (SELECT x FROM near)

@@ -90,7 +90,7 @@ def test_suffixes_are_sorted_to_the_depth(strings):
 
 
 def brute_lines(made):
-    """Per row the numbers of the lines that are within one word of an earlier line."""
+    """Per row the numbers of the lines that are within one unit of an earlier line."""
     rows = sorted({(r[0], r[1]) for r in made if r[1] is not None}, key=lambda r: (r[0] is None, r[0] or 0))
     places = [
         ((r[0] is None, r[0] or 0, i), tuple(line.encode().split()))
@@ -102,13 +102,14 @@ def brute_lines(made):
     near = set()
     by_size = defaultdict(list)
     for words in first:
-        by_size[len(words)].append(words)
-    for n, group in by_size.items():
-        if n < line_dedup.MIN_WORDS:
-            continue
-        for a in group:
-            for b in [*group, *by_size.get(n + 1, [])]:
-                if a != b and line_dedup.within_one(list(a), list(b)):
+        if len(words) >= line_dedup.MIN_WORDS:
+            by_size["words", len(words)].append((words, list(words)))
+        elif len(text := b" ".join(words).decode()) >= line_dedup.MIN_CHARS:
+            by_size["chars", len(text)].append((words, text))
+    for (units, n), group in by_size.items():
+        for a, own in group:
+            for b, other in [*group, *by_size.get((units, n + 1), [])]:
+                if a != b and line_dedup.within_one(own, other):
                     near.add(a if first[a] > first[b] else b)
     gone = defaultdict(set)
     for place, words in places:
@@ -134,6 +135,43 @@ def test_lines_against_brute_force(spark):
     assert sorted(got, key=repr) == sorted(wanted, key=repr)
 
 
+def test_short_lines_are_compared_by_characters(spark):
+    made = [
+        (1, "Share this page with your friends (12)\nHome é page nr 1\nfew words"),
+        (2, "Share this page with your friends (13)\n  Home \té page nr 2 \nfew wordz"),
+        (3, "Share this page with your friend (12)\nHome e page nr 12\nHome é page nr 12"),
+        (4, "Share this page with your friends (12) now again\nShare thispage with your friends (12)\nHomé é page nr 3"),
+        (5, "Home page é nr 1\nHome é page nr\n\n Share this page with your fri ends (12)"),
+    ]
+    found = {r.doc_id: r.text for r in line_dedup.dedup_lines(corpus.small(spark, *made)).collect()}
+    gone = brute_lines(made)
+    for i, text in made:
+        assert found[i] == "\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone[False, i])
+    assert found[2] == "few wordz" and found[1] == made[0][1]
+    assert found[4].startswith("Share this page with your friends (12) now again")
+    assert "friends (12)\n" not in found[4] and found[5].startswith("Home page é nr 1\n\n")
+
+
+def test_many_short_lines_against_brute_force(spark):
+    draw = random.Random(6)
+    base = ["page é of the list", "日本語のテキスト行です。", "aaaaaaaaaaaaaaaa", "one two three four"]
+    made = []
+    for i in range(60):
+        lines = []
+        for _ in range(6):
+            line = list(draw.choice(base))
+            for _ in range(draw.randint(0, 2)):
+                at = draw.randint(0, len(line) - 1)
+                line[at : at + draw.randint(0, 1)] = draw.choice(["", "x", "é", " ", "ab"])
+            lines.append("".join(line))
+        made.append((i, "\n".join(lines)))
+    found = {r.doc_id: r.text for r in line_dedup.dedup_lines(corpus.small(spark, *made)).collect()}
+    gone = brute_lines(made)
+    for i, text in made:
+        assert found[i] == "\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone[False, i])
+    assert 100 < sum(map(len, gone.values())) < 360
+
+
 def test_lines_of_a_row_without_an_id_come_last(spark):
     line = "a b c d e f g h i"
     found = line_dedup.dedup_lines(corpus.small(spark, (None, line), (9, line + " j"))).collect()

@@ -70,7 +70,7 @@ def test_line_dedup(outputs):
         if not drop or left.split():
             wanted.append((doc_id, left, lang, source, len(left)))
     assert sorted(as_rows(outputs[2]), key=repr) == sorted(wanted, key=repr)
-    assert line_dedup.MIN_WORDS == 8
+    assert (line_dedup.MIN_WORDS, line_dedup.MIN_CHARS) == (8, 12)
 
 
 def test_near_dedup(outputs):
