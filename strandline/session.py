@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -70,17 +71,33 @@ def sized_for(spark: SparkSession, *paths: str) -> Iterator[None]:
         yield
 
 
+# Per session and setting: what it was, and the values of the blocks that are running.
+_held: dict[tuple[int, str], list[tuple[object, str]]] = {}
+_lock = threading.Lock()
+
+
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    """Session settings for the actions that run inside the block."""
-    before = {key: spark.conf.get(key) for key in values}
-    try:
+    """Session settings for the actions that run inside the block.
+
+    Blocks of several threads may overlap: the value of the block that began last is in
+    force, and when all have ended the settings are what they were.
+    """
+    block, session = object(), id(spark._jsparkSession)
+    with _lock:
         for key, value in values.items():
+            held = _held.setdefault((session, key), [(None, spark.conf.get(key))])
+            held.append((block, value))
             spark.conf.set(key, value)
+    try:
         yield
     finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+        with _lock:
+            for key in values:
+                held = [h for h in _held.pop((session, key)) if h[0] is not block]
+                spark.conf.set(key, held[-1][1])
+                if len(held) > 1:
+                    _held[session, key] = held
 
 
 def at_once(spark: SparkSession, work: Callable[[Any], Any], items: list) -> list:

@@ -29,9 +29,8 @@ PARSER = ("quote", "escape", "nullValue", "emptyValue")
 
 def largest_file(spark: SparkSession, path: str) -> int:
     """Bytes of the largest file of a folder; only the folder is read."""
-    with settings(spark, {"spark.sql.files.maxPartitionBytes": str(1 << 50)}):
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        return files.agg(F.max("length")).first()[0] or 0
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("length")
+    return files.coalesce(spark.sparkContext.defaultParallelism).agg(F.max("length")).first()[0] or 0
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:

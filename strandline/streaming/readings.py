@@ -110,9 +110,9 @@ def silver_exact(stream: DataFrame, table: Table, silver: str, checkpoint: str)
 def silver_files(spark: SparkSession, silver: str) -> DataFrame:
     """The files of a streamed Silver table: day, stream, path. Only the folders are read."""
     listing = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
+    files = spark.read.format("binaryFile").options(**listing).load(silver).select("path")
     # a task per core lists its share, whatever the files' sizes
-    with settings(spark, {"spark.sql.files.maxPartitionBytes": str(1 << 50)}):
-        files = spark.read.format("binaryFile").options(**listing).load(silver).select("path")
+    files = files.coalesce(spark.sparkContext.defaultParallelism)
 
     def folder(name: str):
         return F.regexp_extract("path", f"/{name}=([^/]*)/", 1).alias(name)

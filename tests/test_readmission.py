@@ -68,6 +68,27 @@ def test_settings_follow_the_input_inside_the_block_only(spark, monkeypatch):
     assert {k: spark.conf.get(k) for k in keys} == before
 
 
+def test_blocks_that_overlap_leave_the_settings_as_they_were(spark):
+    """Threads enter and leave in any order; at the end nothing of their values is left."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    first, second = session.settings(spark, {key: "1000"}), session.settings(spark, {key: "2000"})
+    first.__enter__()
+    second.__enter__()
+    assert spark.conf.get(key) == "2000"
+    first.__exit__(None, None, None)
+    assert spark.conf.get(key) == "2000"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(key) == before
+    session.at_once(spark, lambda i: [_use(spark, key, i) for _ in range(20)], list(range(1, 9)))
+    assert spark.conf.get(key) == before
+
+
+def _use(spark, key, i):
+    with session.settings(spark, {key: str(i)}):
+        assert spark.conf.get(key).isdigit()
+
+
 def test_kept_rows_are_shared_and_can_be_discarded(spark, tmp_path, monkeypatch):
     kept = session.keep(spark.range(10), "some")
     assert kept.count() == 10
