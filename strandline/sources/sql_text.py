@@ -44,8 +44,8 @@ def run_sql(
     """Run one query; optionally in a database and with its rows stored.
 
     With ``output`` the query runs once and the stored rows are returned. As ``parquet`` they
-    keep every type, nested ones too, and with the column ``_row`` their order, in which they
-    are returned. As ``csv`` the files are for other programs: there is no order, and types
+    keep every type, nested ones too. Rows of a query that orders them have the column
+    ``_row``, in whose order they are returned; those of any other query are not sorted. As ``csv`` the files are for other programs: there is no order, and types
     that CSV has no form for are an error.
 
     The text is Spark SQL, so an ascending ``ORDER BY`` puts nulls first unless it says
@@ -64,6 +64,9 @@ def run_sql(
     if form == "csv":
         write_csv(df, output, multiline=True)
         return df.sparkSession.read.options(**csv_read(multiline=True)).schema(df.schema).csv(output)
+    if df._jdf.queryExecution().optimizedPlan().outputOrdering().isEmpty():
+        write_parquet(df, output)
+        return spark.read.parquet(output)
     # numbers grow with the partitions and inside them, which is the order of a sorted result
     write_parquet(df.withColumn(ROW, F.monotonically_increasing_id()), output)
     return spark.read.parquet(output).orderBy(ROW).drop(ROW)

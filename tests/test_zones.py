@@ -192,3 +192,13 @@ def test_json_document(spark, tmp_path):
     df = spark.sql("SELECT named_struct('a', 1, 'b', array(1, 2)) AS doc")
     write_json(df, str(tmp_path / "j"))
     assert rows(spark.read.schema(df.schema).json(str(tmp_path / "j"))) == rows(df)
+
+
+def test_only_ordered_results_are_sorted_on_reading(spark, tmp_path):
+    spark.range(50).createOrReplaceTempView("some_ids")
+    plain = run_sql(spark, "SELECT id % 5 AS k, COUNT(*) AS n FROM some_ids GROUP BY 1", output=str(tmp_path / "plain"))
+    assert plain.columns == ["k", "n"] and "Sort" not in plan(plain) and plain.count() == 5
+    assert "_row" not in spark.read.parquet(str(tmp_path / "plain")).columns
+    for i, text in enumerate(("SELECT id FROM some_ids ORDER BY id % 7, id DESC", "SELECT id FROM some_ids ORDER BY id % 7, id DESC LIMIT 9")):
+        ordered = run_sql(spark, text, output=str(tmp_path / str(i)))
+        assert [r["id"] for r in ordered.collect()] == [r["id"] for r in spark.sql(text).collect()]
