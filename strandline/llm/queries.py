@@ -115,12 +115,12 @@ def _template_rows() -> str:
     rows = []
     for name, text in licenses.TEMPLATES.items():
         grams = ", ".join(f"'{g}'" for g in licenses.template_bigrams(text))
-        rows.append(f"('{name}', [{grams}])")
+        rows.append(f"('{name}', {len(licenses.template_words(text)) - 1}, [{grams}])")
     return ", ".join(rows)
 
 
 LICENSES = rf"""
-WITH templates(license, t) AS (VALUES {_template_rows()}),
+WITH templates(license, m, t) AS (VALUES {_template_rows()}),
 blocks AS (
   SELECT doc_id, unnest(list_distinct(list_concat(
     string_split(text, chr(10)), string_split_regex(text, '\n[ \t\r]*\n'), [text]))) AS block
@@ -131,12 +131,30 @@ blocks AS (
   SELECT doc_id, list_distinct(list_transform(
     generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) AS g
   FROM words WHERE len(w) > 1
-), hits AS (
+), matches AS (
   SELECT doc_id, license, 2.0::DOUBLE * len(list_intersect(g, t)) / (len(g) + len(t)) AS dice
   FROM grams, templates
+), whole AS (
+  SELECT doc_id, string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM documents
+), ordered AS (
+  SELECT doc_id, list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]) AS b
+  FROM whole WHERE len(w) > 1
+), likely AS (
+  SELECT doc_id, b, license, m, t FROM ordered JOIN templates ON len(b) >= m AND len(list_intersect(b, t)) > 0.6 * len(t)
+), starts AS (
+  SELECT doc_id, license, s, list_distinct(b[s:s + m - 1]) AS g, t
+  FROM (SELECT *, unnest(generate_series(1, len(b) - m + 1)) AS s FROM likely)
+), windows AS (
+  SELECT doc_id, license, s, 2.0::DOUBLE * len(list_intersect(g, t)) / (len(g) + len(t)) AS dice FROM starts
+), places AS (
+  SELECT doc_id, license, dice, s - coalesce(lag(s) OVER (PARTITION BY doc_id, license ORDER BY s), -1) > 1 AS fresh
+  FROM windows WHERE dice >= {licenses.THRESHOLD}
+), hits AS (
+  SELECT doc_id, license, 1 AS n_blocks, 0 AS n_places, dice FROM matches WHERE dice >= {licenses.THRESHOLD}
+  UNION ALL SELECT doc_id, license, 0, fresh::INT, dice FROM places
 )
-SELECT doc_id, license, count(*) AS n_blocks, max(dice) AS dice FROM hits
-WHERE dice >= {licenses.THRESHOLD} GROUP BY doc_id, license
+SELECT doc_id, license, sum(n_blocks)::BIGINT AS n_blocks, sum(n_places)::BIGINT AS n_places, max(dice) AS dice
+FROM hits GROUP BY doc_id, license
 """
 
 

@@ -69,11 +69,83 @@ def test_license_scan(spark):
         (4, "Released under the terms of another agreement"),
         (None, mit), (5, None), (6, ""), (7, "license " * 5000), (1, "nothing here"),
     ]
-    found = {(r.doc_id, r.license): (r.n_blocks, r.dice) for r in licenses.scan(corpus.small(spark, *made)).collect()}
-    # of 2 the whole text and its first line; of 3 two lines and the whole text
-    assert found.pop((2, "apache-2.0-header"))[0] == 1
-    assert found.pop((2, "apache-2.0")) == (1, 2 * 7 / (7 + 9))
-    assert found == {(1, "mit"): (1, 1.0), (3, "mit"): (3, 1.0), (None, "mit"): (1, 1.0)}
+    rows = licenses.scan(corpus.small(spark, *made)).collect()
+    found = {(r.doc_id, r.license): (r.n_blocks, r.n_places, r.dice) for r in rows}
+    # of 2 the whole text, a window in it as long as its first line, and that line as a shorter block
+    assert found.pop((2, "apache-2.0-header")) == (1, 1, 1.0)
+    assert found.pop((2, "apache-2.0")) == (1, 1, 1.0)
+    assert found == {(1, "mit"): (1, 1, 1.0), (3, "mit"): (3, 3, 1.0), (None, "mit"): (1, 1, 1.0)}
+
+
+def commented(text, mark):
+    words = text.split()
+    return "\n".join(mark + " " + " ".join(words[i : i + 9]) for i in range(0, len(words), 9))
+
+
+def test_notices_inside_longer_blocks(spark):
+    t = licenses.TEMPLATES
+    header = t["apache-2.0-header"] + " " + t["apache-2.0-warranty"]
+    block = "MIT License. " + t["mit-header"] + " " + t["mit-condition"] + " " + t["mit-warranty"]
+    made = [
+        (1, "This project is released under the MIT License. Copyright 2020 Foo."),
+        (2, f"# Copyright 2020 Foo\n#\n{commented(header, '#')}\n#\nimport os"),
+        (3, block), (4, f"/*\n{commented(block, ' *')}\n */ int main"),
+        (5, f"{t['isc']} {'and so on ' * 20} {t['isc']}"),
+        (6, t["mit"].replace("Released", "Given out")),
+    ]
+    found = {}
+    for r in licenses.scan(corpus.small(spark, *made)).collect():
+        assert r.n_places >= 1
+        if r.dice == 1.0:
+            found.setdefault(r.doc_id, {})[r.license] = r.n_places
+    parts = {"mit-header": 1, "mit-condition": 1, "mit-warranty": 1}
+    assert found == {
+        1: {"mit": 1}, 2: {"apache-2.0": 1, "apache-2.0-header": 1, "apache-2.0-warranty": 1}, 3: parts, 4: parts, 5: {"isc": 2},
+    }
+
+
+def brute_places(text, template):
+    words, wanted = licenses.template_words(text), licenses.template_words(template)
+    mine, places, best, last = set(zip(wanted, wanted[1:])), 0, 0.0, -2
+    for i in range(len(words) - len(wanted) + 1):
+        part = words[i : i + len(wanted)]
+        grams = set(zip(part, part[1:]))
+        dice = 2.0 * len(grams & mine) / (len(grams) + len(mine))
+        if dice >= licenses.THRESHOLD:
+            places, best, last = places + (i - last > 1), max(best, dice), i
+    return places, best
+
+
+def test_license_windows_against_brute_force(spark):
+    draw = random.Random(5)
+    filler = corpus.vocabulary()
+    # repeated bigrams, and a template of two words
+    templates = {**licenses.TEMPLATES, "again": "free as free as free as in beer", "two": "all wrongs", "it's\\": "an odd name"}
+    made = []
+    for i in range(120):
+        words = draw.choices(filler, k=draw.randint(0, 60))
+        for _ in range(draw.randint(0, 4)):
+            notice = draw.choice(list(templates.values())).split()
+            for _ in range(draw.randint(0, max(1, len(notice) // 6))):
+                at = draw.randrange(len(notice))
+                notice[at : at + draw.randint(0, 1)] = draw.choices(notice + filler[:20], k=draw.randint(0, 2))
+                notice = notice or ["x"]
+            at = draw.randint(0, len(words))
+            words[at:at] = notice
+        made.append((i, " ".join(words)))
+    made.append((500, " ".join([licenses.TEMPLATES["mit-condition"]] * 40 + ["free as"] * 3000)))
+    want = {}
+    for doc, text in made:
+        for name, template in templates.items():
+            places, best = brute_places(text, template)
+            if places:
+                want[doc, name] = (places, best)
+    found = licenses.scan(corpus.small(spark, *made), templates=templates).where("n_places > 0").collect()
+    assert {k: v[0] for k, v in want.items()} == {(r.doc_id, r.license): r.n_places for r in found}
+    assert all(r.dice >= want[r.doc_id, r.license][1] for r in found)
+    assert len({name for _, name in want}) == len(templates)
+    with pytest.raises(ValueError):
+        licenses.scan(corpus.small(spark, *made), templates={"none": "one"})
 
 
 def test_size_bounds_lose_no_match():
