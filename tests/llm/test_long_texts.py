@@ -1,0 +1,103 @@
+"""Texts longer than the pieces in which the operators handle a table, against brute force."""
+
+import random
+from collections import Counter
+
+import pytest
+
+from strandline.llm import licenses, line_dedup, minhash, quality, substring_dedup, suffix_dedup
+from strandline.llm.text import CHUNK_BYTES
+from tests.llm import corpus
+from tests.llm.test_dedup import brute_components, brute_lines, shingles
+from tests.llm.test_rules_mixing_search import brute_metrics, brute_places
+
+
+def long_lines(draw, words, size):
+    lines, total = [], 0
+    while total < size:
+        lines.append(corpus.sentence(draw, words, draw.randint(40, 400)))
+        total += len(lines[-1].encode()) + 1
+    return lines
+
+
+@pytest.fixture(scope="module")
+def made():
+    draw, words = random.Random(11), corpus.vocabulary()
+    first = long_lines(draw, words, CHUNK_BYTES + 200_000)
+    first[-3] += " " + licenses.TEMPLATES["isc"] + " " + corpus.sentence(draw, words, 60)
+    second = long_lines(draw, words, CHUNK_BYTES + 50_000)
+    second[5:5] = first[-6:-1]  # from behind the first piece of the other text
+    second.append(second[2] + " " + second[3])  # a passage of its own once more
+    near = list(first)
+    for i in range(0, len(near), 25):
+        own = near[i].split(" ")
+        own[len(own) // 2] = "changed"
+        near[i] = " ".join(own)
+    out = [
+        (1, "\n".join(first)), (2, "\n".join(second)), (3, "\n".join(near)),
+        (4, " ".join(first[-2].split(" ")[:39]) + " and words of its own"), (5, corpus.sentence(draw, words, 300)), (6, ""),
+    ]
+    assert [len(t.encode()) > CHUNK_BYTES for _, t in out] == [True] * 3 + [False] * 3
+    return out
+
+
+def covered(sequences, window, key):
+    """What windows cover that start at two places or more."""
+    keys = [[key(s[i : i + window]) for i in range(len(s) - window + 1)] for s in sequences]
+    met = Counter(k for own in keys for k in own)
+    out = []
+    for s, own in zip(sequences, keys):
+        until, mask = 0, []
+        for i in range(len(s)):
+            if i < len(own) and met[own[i]] > 1:
+                until = i + window
+            mask.append(i < until)
+        out.append(mask)
+    return out
+
+
+def test_word_sequences(spark, made):
+    words = [t.split() for _, t in made]
+    wanted = [
+        (doc, len(w), sum(m), " ".join(x for x, gone in zip(w, m) if not gone))
+        for (doc, _), w, m in zip(made, words, covered(words, 35, tuple))
+    ]
+    found = [tuple(r) for r in substring_dedup.remove_repeats(corpus.small(spark, *made)).collect()]
+    assert sorted(found) == wanted
+    assert wanted[3][2] == 39 and wanted[4][2] == 0 and wanted[0][2] > 50_000
+
+
+def test_byte_strings(spark, made):
+    raw = [t.encode() for _, t in made]
+    wanted = []
+    for (doc, _), b, m in zip(made, raw, covered(raw, 400, hash)):
+        spans = sum(gone and not before for gone, before in zip(m, [False, *m]))
+        wanted.append((doc, len(b), sum(m), spans, bytes(x for x, gone in zip(b, m) if not gone)))
+    found = suffix_dedup.remove_repeats(corpus.small(spark, *made)).collect()
+    assert sorted((*r[:4], bytes(r[4])) for r in found) == wanted
+    assert wanted[0][2] > 400_000 and wanted[4][2] == 0
+
+
+def test_near_duplicates(spark, made):
+    of = brute_components(made)
+    found = [tuple(r) for r in minhash.near_duplicates(corpus.small(spark, *made)).collect()]
+    assert sorted(found) == [(doc, len(shingles(t)), of[doc], of[doc] == doc) for doc, t in made]
+    assert of[3] == 1 and of[2] == 2
+
+
+def test_lines(spark, made):
+    gone = brute_lines(made)
+    found = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(corpus.small(spark, *made)).collect()}
+    for doc, text in made:
+        drop = gone[False, doc]
+        assert found[doc] == ("\n".join(x for i, x in enumerate(text.split("\n")) if i not in drop), len(drop))
+    assert len(gone[False, 3]) == made[2][1].count("\n") + 1
+
+
+def test_rules_and_notices(spark, made):
+    frame = corpus.small(spark, *made).selectExpr("*", "'s' AS source")
+    assert {r.doc_id: tuple(r.quality__)[:6] for r in quality.judge(frame).collect()} == {
+        doc: brute_metrics(t) for doc, t in made
+    }
+    places = {(r.doc_id, r.license): (r.n_places, r.dice) for r in licenses.scan(frame).collect()}
+    assert places == {(doc, "isc"): brute_places(made[doc - 1][1], licenses.TEMPLATES["isc"]) for doc in (1, 2, 3)}
