@@ -1,7 +1,8 @@
 """A training corpus from ``documents``: rules, line and near dedup, mixing, packing.
 
 Every stage works on all that its predecessor kept. ``run`` stores what a stage returns before
-the next one reads it, so a lost executor costs tasks of one stage only.
+the next one reads it, so a lost executor costs tasks of one stage only. Shuffles get as many
+partitions as the size of the documents asks for.
 """
 
 from __future__ import annotations
@@ -12,11 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import line_dedup, minhash, mixing, packing, quality
-from strandline.session import keep
+from strandline.session import keep, sized_for
 
-#: Expected tokens wanted of each domain, as a multiple of those at hand. No document is
-#: repeated, so more good tokens than there are means that all of them stay.
-DOMAIN_MULTIPLES = {"good": 1.2, "plain": 1.0, "toxic": 0.2}
+#: Expected tokens wanted of each domain, as a multiple of those at hand; no document is repeated.
+DOMAIN_MULTIPLES = {"good": 1.0, "plain": 1.0, "toxic": 0.2}
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,9 +62,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for number, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES) - 1:
-            docs = keep(docs, name.replace(" ", "-"))
+    path = f"{sf_dir}/documents.parquet"
+    docs = spark.read.parquet(path)
+    # the shuffles of all stages grow with the documents
+    with sized_for(spark, path):
+        for number, (name, stage) in enumerate(STAGES):
+            docs = stage(spark, docs, sf_dir)
+            if number < len(STAGES) - 1:
+                docs = keep(docs, name.replace(" ", "-"))
     return docs
