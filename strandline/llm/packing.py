@@ -32,7 +32,8 @@ from strandline.llm.tokens import default_tokenizer, encoder
 from strandline.session import keep, settings
 
 LENGTH = 4096
-MOST_SOURCES = None  # any number of sources, unless a limit is set
+SHARE_BITS = 4  # significant bits of a source's total that its default weight keeps
+SHARE_RANGE = 20  # a source below the longest's 2^-20 weighs that much
 NO_SOURCE = "\x00none"  # queue of rows without a source
 
 
@@ -76,6 +77,19 @@ class Plan:
         return self.ahead[kind][last] - self.ahead[kind][first] - (last - first) * each
 
 
+def share_weights(totals: list[int]) -> list[Fraction]:
+    """Each queue's share of all ids, in few classes: its total to ``SHARE_BITS`` significant bits.
+
+    So a queue lasts for about as many rounds as any other.
+    """
+    most, out = max(totals, default=0), []
+    for n in totals:
+        n = max(n, most >> SHARE_RANGE, 1)
+        drop = max(0, n.bit_length() - SHARE_BITS)
+        out.append(Fraction(((n >> drop) + (n >> drop - 1 & 1 if drop else 0)) << drop))
+    return out
+
+
 def plan(totals: list[int], weights: list[Fraction], length: int = LENGTH) -> Plan:
     """The phases that send all ids; at least one queue runs dry in each."""
     scale = lcm(*(w.denominator for w in weights))
@@ -217,7 +231,8 @@ def pack(
     """Cut all documents into pieces and place them in sequences of ``length`` ids.
 
     ``weights`` are the token shares that every sequence should have of each source;
-    a source without one gets the smallest of them, and without any all are alike.
+    a source without one gets the smallest of them. Without any each source's share of all ids
+    is its target (``share_weights``), so the mixture lasts almost to the last sequence.
     Returns doc_id, source, start, length, doc_tokens, sequence_id, offset, ids_crc32
     and, unless ``with_ids`` is false, ids: the piece's as little-endian numbers of 2 or 4 bytes.
 
@@ -237,13 +252,12 @@ def pack(
     # one row per task and source
     starts = keep(sums.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))), "packing-starts")
     totals = starts.groupBy("queue").agg(F.sum("n").alias("n")).collect()
-    if MOST_SOURCES is not None and len(totals) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
     found = sorted((r["queue"], int(r["n"])) for r in totals)
     given = {k: Fraction(v) for k, v in (weights or {}).items() if v > 0}
     least = min(given.values(), default=Fraction(1))
     queues = [q for q, _ in found]
-    planned = plan([n for _, n in found], [given.get(q, least) for q in queues], length)
+    sizes = [n for _, n in found]
+    planned = plan(sizes, [given.get(q, least) for q in queues] if given else share_weights(sizes), length)
     number = {q: i for i, q in enumerate(queues)}
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

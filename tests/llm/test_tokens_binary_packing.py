@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 from fractions import Fraction
@@ -119,10 +120,33 @@ def test_packing_of_an_empty_table(spark):
     assert packing.pack(corpus.frame(spark, [])).collect() == []
 
 
-def test_too_many_sources_are_an_error(spark, monkeypatch):
-    monkeypatch.setattr(packing, "MOST_SOURCES", 2)
-    with pytest.raises(ValueError, match="sources"):
-        packing.pack(corpus.frame(spark))
+def test_packing_keeps_the_sources_shares_without_weights(spark):
+    draw, words = random.Random(2), corpus.vocabulary()
+    own = {"a": 60, "b": 23, "c": 9, "d": 9, None: 3}
+    sources = [k for k, n in own.items() for _ in range(n)]
+    draw.shuffle(sources)
+    made = [(i, corpus.sentence(draw, words, 80), "en", k, 0) + (None,) * corpus.EXTRA for i, k in enumerate(sources)]
+    pieces = packing.pack(corpus.frame(spark, made), length=256).collect()
+    check_pieces(pieces, made, 256)
+    total, share = defaultdict(int), defaultdict(int)
+    for p in pieces:
+        total[p.source] += p.length
+        share[p.source, p.sequence_id] += p.length
+    every = sum(total.values())
+    for number in range(int(0.88 * every / 256)):
+        for k in own:
+            assert share[k, number] == pytest.approx(256 * total[k] / every, rel=0.13, abs=2)
+
+
+@given(st.lists(st.integers(0, 1 << 50), max_size=60))
+def test_default_weights_are_the_shares_in_few_classes(totals):
+    weights = packing.share_weights(totals)
+    least = max(totals, default=0) >> packing.SHARE_RANGE
+    assert all(abs(w - max(n, least, 1)) * 16 <= max(n, least, 1) for n, w in zip(totals, weights))
+
+
+def test_many_totals_have_few_weights():
+    assert len(set(packing.share_weights([*range(100_000)]))) < 8 * 17
 
 
 def test_more_than_a_thousand_sources(spark):
