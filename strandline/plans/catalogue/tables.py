@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions.columns import flag, ts_text
@@ -27,7 +29,7 @@ from strandline.plans.catalogue.inputs import (
 )
 from strandline.plans.hospital import medallion_run, refresh_gold
 from strandline.schemas import AGE_BANDS, AGE_REST, HOSPITAL, VITALS
-from strandline.session import scratch_path
+from strandline.session import at_once, scratch_path
 from strandline.sources.zones import read_curated, table_path, write_csv, write_parquet
 from strandline.streaming.readings import arriving, silver_exact
 
@@ -154,8 +156,13 @@ FROM events GROUP BY 1 ORDER BY 1
 """
 
 
-def hospital_rows(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The given tables in the shape of the hospital tables, as they come in Bronze."""
+def hospital_rows(
+    spark: SparkSession, folder: str, moment: Callable[[str], Column] = ts_text
+) -> dict[str, DataFrame]:
+    """The given tables in the shape of the hospital tables, as they come in Bronze.
+
+    ``moment`` makes the event times, which are text unless it says otherwise.
+    """
     orders, lines = given(spark, folder, "orders"), given(spark, folder, "lineitem")
     events = given(spark, folder, "events")
     patients = orders.select(
@@ -165,7 +172,7 @@ def hospital_rows(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         F.col("o_orderpriority").alias("department"),
         F.col("o_orderstatus").alias("admission_type"),
         F.col("o_orderstatus").alias("diagnosis"),
-        ts_text("o_orderdate").alias("admission_ts"),
+        moment("o_orderdate").alias("admission_ts"),
         ts_text("o_orderdate").alias("discharge_ts"),
         F.lit(1).alias("length_of_stay"),
         flag(F.col("o_orderstatus") == "F").alias("readmitted_30d"),
@@ -174,7 +181,7 @@ def hospital_rows(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         F.col("l_suppkey").alias("device_id"),
         F.col("l_orderkey").alias("patient_id"),
         F.col("l_linestatus").alias("department"),
-        ts_text("l_shipdate").alias("reading_ts"),
+        moment("l_shipdate").alias("reading_ts"),
         F.col("l_quantity").alias("heart_rate"),
         F.col("l_discount").alias("spo2"),
         F.col("l_tax").alias("temperature"),
@@ -182,7 +189,7 @@ def hospital_rows(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         F.col("l_linenumber").alias("bp_diastolic"),
     )
     operations = events.select(
-        ts_text("ts").alias("snapshot_ts"),
+        moment("ts").alias("snapshot_ts"),
         F.col("event_type").alias("department"),
         F.lit(100).alias("beds_total"),
         F.floor("value").alias("beds_occupied"),
@@ -285,7 +292,7 @@ def gold_incremental(spark: SparkSession, folder: str) -> DataFrame:
     that the second refresh read.
     """
     base = scratch_path(spark, "incremental")
-    frames = hospital_rows(spark, folder)
+    frames = hospital_rows(spark, folder, F.col)  # event times become text below, once
     arrivals = {}
     for name, ts, number in (
         ("patients", "admission_ts", "patient_id"),
@@ -294,18 +301,24 @@ def gold_incremental(spark: SparkSession, folder: str) -> DataFrame:
     ):
         rows, day = frames[name], F.to_date(ts)
         later = rows.withColumn("day", day).withColumn("later", F.expr(LATER[name].format(day="day")))
+        moment = F.col(ts)
         if name != "operations":
             quarter = F.trunc(F.col("day"), "quarter")
-            later = later.withColumn(ts, ts_text(F.when(F.col("later"), F.col("day")).otherwise(quarter).cast("timestamp")))
+            moment = F.when(F.col("later"), F.col("day")).otherwise(quarter).cast("timestamp")
+        later = later.withColumn(ts, ts_text(moment))
         odd = F.pmod(F.col(number).cast("long"), F.lit(2)) == 1
         parts = later.where(~F.col("later") | ~odd), later.where("later")
         arrivals[name] = [part.select(*rows.columns) for part in parts]
+
+    def arrive(name: str) -> None:
+        arrived = f"{base}/arrived/{name}"
+        write_csv(arrivals[name][turn], f"{arrived}/{turn}")
+        stream = arriving(spark, arrived, HOSPITAL[name])
+        silver_exact(stream, HOSPITAL[name], f"{base}/silver/{name}", f"{base}/state/{name}").awaitTermination()
+
     for turn in (0, 1):
-        for name, parts in arrivals.items():
-            arrived = f"{base}/arrived/{name}"
-            write_csv(parts[turn], f"{arrived}/{turn}")
-            stream = arriving(spark, arrived, HOSPITAL[name])
-            silver_exact(stream, HOSPITAL[name], f"{base}/silver/{name}", f"{base}/state/{name}").awaitTermination()
+        # the three tables at the same time, the largest first
+        at_once(spark, arrive, ["vitals", "patients", "operations"])
         read = refresh_gold(spark, f"{base}/silver", f"{base}/states", f"{base}/gold")
     names = {
         "department_kpis": ("department", "''", "avg_occupancy_pct", "avg_wait_min", "peak_queue"),

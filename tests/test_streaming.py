@@ -1,6 +1,10 @@
+import threading
+
 import pytest
+from pyspark.sql import DataFrame
 
 from strandline.operators.clean import clean
+from strandline.plans.catalogue import tables as T
 from strandline.schemas import VITALS
 from strandline.sources.zones import read_bronze, scan_csv
 from strandline.streaming import readings as R
@@ -149,6 +153,51 @@ def test_merged_days_hold_the_same_rows(spark, folders, monkeypatch):
     assert run(spark, base) == got
 
 
+def test_a_batch_is_stored_nowhere_but_in_silver(spark, folders, monkeypatch):
+    """Caching a batch's text costs more than parsing its files once more."""
+    arrived, base = folders
+
+    def stored(*_):
+        raise AssertionError("a batch was cached")
+
+    for kind in {DataFrame, type(spark.range(1))}:
+        for name in ("persist", "cache"):
+            monkeypatch.setattr(kind, name, stored)
+    put(arrived, *FILES)
+    assert len(run(spark, base)) == 4
+
+
+def test_three_tables_arrive_at_the_same_time(spark, tmp_path, monkeypatch):
+    """No stream of gold_incremental waits for another to end."""
+    tables = {
+        "orders": "SELECT 2L AS o_orderkey, 9e4D AS o_totalprice, 'low' AS o_orderpriority, 'F' AS o_orderstatus, "
+        "TIMESTAMP_NTZ '2031-02-09 00:00:00' AS o_orderdate",
+        "lineitem": "SELECT 5L AS l_suppkey, 2L AS l_orderkey, 'O' AS l_linestatus, 64D AS l_quantity, 0.1D AS l_discount, "
+        "0.2D AS l_tax, 1 AS l_linenumber, TIMESTAMP_NTZ '2031-05-02 00:00:00' AS l_shipdate",
+        "events": "SELECT TIMESTAMP_NTZ '2031-05-02 08:30:00' AS ts, 'view' AS event_type, 2D AS value, 7L AS user_id",
+    }
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(str(tmp_path / f"{name}.parquet"))
+    started, begin = threading.Barrier(3, timeout=60), T.silver_exact
+
+    def together(*args):
+        started.wait()
+        return begin(*args)
+
+    monkeypatch.setattr(T, "silver_exact", together)
+    out = T.gold_incremental(spark, str(tmp_path)).collect()
+    got = {(r["gold_table"], r["key_1"]): (r["metric_1"], r["metric_3"]) for r in out}
+    assert got == {
+        ("department_kpis", "view"): (200.0, 7),
+        ("readmission_by_age", "low"): (100.0, 1),
+        ("vitals_by_admission_type", "F"): (64.0, 1),
+        ("daily_trend", "2031-05-02"): (200.0, 7),
+        ("refreshed", "patients"): (None, 0),
+        ("refreshed", "vitals"): (None, 0),
+        ("refreshed", "operations"): (None, 0),
+    }
+
+
 def test_bounded_stream_removes_near_copies(spark, folders):
     arrived, base = folders
     put(arrived, "1.csv", "2.csv")
