@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.llm.text import SMALL_BATCHES, buffer_of
-from strandline.llm.tokens import default_tokenizer, encoder
+from strandline.llm.tokens import default_tokenizer, encoder, release
 from strandline.session import keep, settings
 
 LENGTH = 4096
@@ -206,6 +206,7 @@ def tokenized(df: DataFrame, text: str, doc_id: str, source: str, tokenizer: str
                     ],
                     ["task", "queue", "doc_id", "inside", "n", "ids"],
                 )
+            pa.default_memory_pool().release_unused()
 
     chosen = df.select(
         F.col(doc_id).cast("long").alias("doc_id"),
@@ -261,6 +262,7 @@ def pack(
     number = {q: i for i, q in enumerate(queues)}
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release(path)  # the ids are stored, no text is encoded any more
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 yield cut(batch.slice(at, 1000))

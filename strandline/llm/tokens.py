@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from strandline.llm.text import ragged
@@ -37,6 +38,16 @@ def encoder(path: str) -> PieceEncoder:
     return _encoders[path]
 
 
+def release(path: str) -> None:
+    """Let go of the worker's encoder and of the buffers that Arrow holds ready.
+
+    A worker that waits for its next task keeps both otherwise, some 130 MB once the encoder has
+    met many pieces, while the stages after it need the memory.
+    """
+    _encoders.pop(path, None)
+    pa.default_memory_pool().release_unused()
+
+
 def lowered(text: str) -> str:
     """The text in lower case if it is Latin-1 without special tokens, else as it is."""
     if not text.isascii():

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from strandline.llm import binary, packing
+from strandline.llm import binary, packing, tokens
 from strandline.llm.tokens import PieceEncoder, default_tokenizer
 from tests.llm import corpus
 
@@ -116,6 +116,23 @@ def test_packing_keeps_the_shares_until_a_source_is_dry(spark):
         assert abs(share[number] - 192) <= 1
 
 
+def test_cutting_stored_ids_lets_go_of_the_encoder(spark, monkeypatch):
+    """Workers wait for later stages without the pieces they have met."""
+    passes, kind = [], type(spark.range(1))
+    through = kind.mapInArrow
+
+    def seen(self, work, *args, **options):
+        passes.append(work)
+        return through(self, work, *args, **options)
+
+    monkeypatch.setattr(kind, "mapInArrow", seen)
+    packing.pack(spark.createDataFrame([(1, "a few words", "x")], "doc_id long, text string, source string"))
+    path = default_tokenizer()
+    tokens.encoder(path).encode(["a few words"])
+    assert not list(passes[-1](iter([])))
+    assert path not in tokens._encoders
+
+
 def test_packing_of_an_empty_table(spark):
     assert packing.pack(corpus.frame(spark, [])).collect() == []
 
